@@ -89,40 +89,41 @@ def validate(
     Every other column, the raw fields included, is kept. A missing field counts as empty text.
     """
     raw = {f: F.coalesce(F.col(f), F.lit("")) for f in _FIELDS}
-    # each cleaned field is computed once, then used by its check and by the verdict
-    cleaned = df.withColumns(
-        {
-            "_title": clean_title(raw["title"]),
-            "_description": clean_description(raw["description"], cfg),
-            "_published": parse_published(raw["published"], as_of, cfg.date_mode),
-            "_source": unicode_trim(raw["source"]),
-        }
+    parts = F.struct(
+        clean_title(raw["title"]).alias("title"),
+        link_error(raw["link"], cfg.allowed_url_schemes).alias("link_error"),
+        clean_link(raw["link"]).alias("link"),
+        clean_description(raw["description"], cfg).alias("description"),
+        parse_published(raw["published"], as_of, cfg.date_mode).alias("at"),
+        unicode_trim(raw["source"]).alias("source"),
     )
+    # Unfolding a one-element array keeps filters on the verdict from being
+    # pushed below, where they would repeat the cleaning for every use of it.
+    rows = df.select("*", F.explode(F.array(parts)).alias("_c"))
+    c = F.col("_c")
     error = F.coalesce(
-        title_error(F.col("_title"), cfg),
-        link_error(raw["link"], cfg.allowed_url_schemes),
-        description_error(F.col("_description"), cfg),
-        date_error(raw["published"], F.col("_published"), as_of, cfg),
-        source_error(F.col("_source")),
+        title_error(c["title"], cfg),
+        c["link_error"],
+        description_error(c["description"], cfg),
+        date_error(raw["published"], c["at"], as_of, cfg),
+        source_error(c["source"]),
     )
     article = F.struct(
-        F.col("_title").alias("title"),
-        clean_link(raw["link"]).alias("link"),
-        F.col("_description").alias("description"),
-        rfc3339(F.col("_published")).alias("published"),
-        F.col("_published").alias("published_time"),
-        F.col("_source").alias("source"),
+        c["title"].alias("title"),
+        c["link"].alias("link"),
+        c["description"].alias("description"),
+        rfc3339(c["at"]).alias("published"),
+        c["at"].alias("published_time"),
+        c["source"].alias("source"),
     )
-    checked = cleaned.withColumn("_error", error)
+    rows = rows.withColumn("_error", error)
     verdict = F.struct(
         F.col("_error").isNull().alias("success"),
         reason_code(F.col("_error")).alias("error_code"),
         F.col("_error").alias("error"),
         F.when(F.col("_error").isNull(), article).alias("validated_article"),
     )
-    return checked.withColumn(column, verdict).drop(
-        "_title", "_description", "_published", "_source", "_error"
-    )
+    return rows.withColumn(column, verdict).drop("_c", "_error")
 
 
 def split_valid(

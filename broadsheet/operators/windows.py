@@ -43,6 +43,10 @@ def _keys_of(kind: str) -> Column:
     }[kind]
 
 
+def _tagged(kind: str) -> Column:
+    return F.transform(_keys_of(kind), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
+
+
 def key_rows(articles: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """One row per article and key of each kind: ``ts, kind, key``."""
     if len(kinds) == 1:
@@ -50,11 +54,8 @@ def key_rows(articles: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
         if kind in ("source", "source_type"):
             return articles.select("ts", F.lit(kind).alias("kind"), F.col(kind).alias("key"))
         return articles.select("ts", F.lit(kind).alias("kind"), F.explode(_keys_of(kind)).alias("key"))
-    tagged = [
-        F.transform(_keys_of(k), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x.alias("key")))
-        for k in kinds
-    ]
-    return articles.select("ts", F.explode(F.concat(*tagged)).alias("_k")).select("ts", "_k.kind", "_k.key")
+    tagged = F.concat(*[_tagged(k) for k in kinds])
+    return articles.select("ts", F.explode(tagged).alias("_k")).select("ts", "_k.kind", "_k.key")
 
 
 def pane_totals(articles: DataFrame, spec: WindowSpec) -> DataFrame:

@@ -85,7 +85,7 @@ TITLE = r"regexp_replace(title, '^\s+|\s+$', '', 'g')"
 SANITIZE = (
     r"regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace({c}, "
     r"'<script[^>]*>[^\n]*?</script>', '', 'g'), 'on[\pL\p{{M}}\p{{Nd}}\p{{Pc}}]+\s*=', 'data-removed=', 'g'), "
-    r"'<[^>]*>', '', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), "
+    r"'<[^>]*>', '', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), "
     r"'^\s+|\s+$', '', 'g')"
 )
 PAGE_LINK = r"regexp_extract(url, '^(https?://[^/?#\s]*[^?#\s]*)', 1)"
@@ -103,17 +103,17 @@ LENIENT = """case {id} % 10 when 3 then date_trunc('second', {ts}) when 5 then d
 
 VERDICTS = f"""v as (
   select *, {TITLE} as t, {SANITIZE.format(c='description')} as body,
-    {STRICT.format(id='doc_id', ts='ts')} as at from a),
+    {STRICT.format(id='doc_id', ts='ts')} as moment from a),
 v2 as (
   select *, case when t = '' then 'Title is empty or too short'
     when strlen(t) > 500 then 'Title is too long (max 500 characters)'
     when strlen(body) > 5000 then 'Description is too long (max 5000 characters)'
-    when at is null then 'Invalid date format: ' || published
-    when at > {NOW} then 'Date is in the future: ' || {RFC.format(t='at')}
-    when year(at) < 2000 then 'Date is too old (before 2000): ' || {RFC.format(t='at')} end as error,
+    when moment is null then 'Invalid date format: ' || published
+    when moment > {NOW} then 'Date is in the future: ' || {RFC.format(t='moment')}
+    when year(moment) < 2000 then 'Date is too old (before 2000): ' || {RFC.format(t='moment')} end as error,
   case when t = '' then 'title_empty' when strlen(t) > 500 then 'title_too_long'
-    when strlen(body) > 5000 then 'description_too_long' when at is null then 'date_invalid'
-    when at > {NOW} then 'date_future' when year(at) < 2000 then 'date_too_old' end as code
+    when strlen(body) > 5000 then 'description_too_long' when moment is null then 'date_invalid'
+    when moment > {NOW} then 'date_future' when year(moment) < 2000 then 'date_too_old' end as code
   from v)"""
 
 LOCKS = f"""l as (
@@ -273,7 +273,7 @@ from sh s left join sh p on p.key = s.key and p.window_start + interval 1 hour =
             case when event_id % 2 = 0 then date_trunc('second', ts) else ts end as t from events)""",
         "validation_verdicts": with_(A, VERDICTS) + f"""select doc_id, error is null as success, code as error_code,
             error, case when error is null then t end as title, case when error is null then link end as link,
-            case when error is null then {RFC.format(t='at')} end as published,
+            case when error is null then {RFC.format(t='moment')} end as published,
             case when error is null then strlen(body) end as desc_bytes from v2""",
         "valid_and_invalid": with_(A, VERDICTS) + "select doc_id, source_type, code as error_code from v2",
         "verdict_messages": with_(A, VERDICTS) + """select doc_id, case when error is null then 'true' else 'false' end

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import sys
 import time
@@ -66,6 +67,7 @@ def main() -> int:
     names = sys.argv[2:] or list(entry.queries())
     spark, con = local_session(8), database(folder)
     spark.sparkContext.setLogLevel("OFF")
+    logging.disable(logging.ERROR)
     bad = 0
     for name in names:
         t = time.time()
