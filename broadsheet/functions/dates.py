@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from broadsheet.functions.text import is_blank
+
 # Accepted text forms.
 ISO_SECONDS = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
 SQL_SECONDS = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
@@ -57,7 +59,7 @@ def parse_published(c: Column, as_of: Column, mode: str = "strict") -> Column:
     month-first and day-first calendar dates.
     """
     parsed = (
-        F.when(~c.rlike(r"(?U)\S"), as_of)
+        F.when(is_blank(c), as_of)
         .when(c.rlike(SQL_SECONDS), F.try_to_timestamp(F.concat(c, F.lit("Z"))))
         .when(c.rlike(RFC_3339), F.try_to_timestamp(F.upper(c)))
         .when(c.rlike(RFC_1123), _rfc_1123_instant(c))

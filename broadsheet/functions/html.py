@@ -24,7 +24,8 @@ ENTITIES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#3
 def _replace_up_to_last(c: Column, closer: str, pattern: str) -> Column:
     tail = F.substring_index(c, closer, -1)
     head = F.left(c, F.length(c) - F.length(tail))
-    return F.when(F.contains(c, F.lit(closer)), F.concat(F.regexp_replace(head, pattern, ""), tail)).otherwise(c)
+    replaced = F.concat(F.regexp_replace(head, pattern, ""), tail)
+    return F.when(F.contains(c, F.lit(closer)), replaced).otherwise(c)
 
 
 def strip_tags(c: Column) -> Column:
@@ -41,7 +42,8 @@ def sanitize_html(c: Column, *, sanitize: bool = True, remove_scripts: bool = Tr
     """Scripts out, event handlers defused, tags out, basic entities decoded, trimmed."""
     if remove_scripts:
         c = _replace_up_to_last(c, "</script>", SCRIPT)
-    c = F.regexp_replace(c, HANDLER, HANDLER_REPLACEMENT)
+    # most texts have no "=" and need no scan
+    c = F.when(F.contains(c, F.lit("=")), F.regexp_replace(c, HANDLER, HANDLER_REPLACEMENT)).otherwise(c)
     if sanitize:
         c = decode_entities(strip_tags(c))
     return unicode_trim(c)

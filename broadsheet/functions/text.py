@@ -6,13 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The characters with the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def unicode_trim(c: Column) -> Column:
     """Strip Unicode white space at both ends (``trim`` alone strips only spaces)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def is_blank(c: Column) -> Column:
-    return ~c.rlike(r"(?U)\S")
+    return unicode_trim(c) == ""
 
 
 def text_length(c: Column, unit: str = "chars") -> Column:

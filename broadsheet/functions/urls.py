@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from broadsheet.functions.text import is_blank
+
 # Accepted link text, and the characters a path must escape.
 LINK = r"(?Ud)^https?://[^\s/$.?#].[^\s]*\z"
 DEFAULT_PORTS = {"http": "80", "https": "443"}
@@ -75,7 +77,7 @@ def link_error(c: Column, schemes: tuple[str, ...] = ("http", "https")) -> Colum
         )
     )
     return (
-        F.when(~c.rlike(r"(?U)\S"), "Invalid URL: URL is empty")
+        F.when(is_blank(c), "Invalid URL: URL is empty")
         .when(~c.rlike(LINK), F.concat(F.lit("Invalid URL: "), c))
         .when(detail.isNotNull(), F.concat(F.lit("Invalid URL: "), c, F.lit(": "), detail))
         .when(~p["scheme"].isin(*schemes), F.concat(F.lit("URL scheme not allowed: "), p["scheme"]))

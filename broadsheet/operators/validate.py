@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.config import ValidationConfig
+from broadsheet.functions.barrier import compute_once
 from broadsheet.functions.dates import parse_published, rfc3339
 from broadsheet.functions.html import sanitize_html
 from broadsheet.functions.text import text_length, unicode_trim
@@ -97,9 +98,7 @@ def validate(
         parse_published(raw["published"], as_of, cfg.date_mode).alias("at"),
         unicode_trim(raw["source"]).alias("source"),
     )
-    # Unfolding a one-element array keeps filters on the verdict from being
-    # pushed below, where they would repeat the cleaning for every use of it.
-    rows = df.select("*", F.explode(F.array(parts)).alias("_c"))
+    rows = compute_once(df, parts, "_c")
     c = F.col("_c")
     error = F.coalesce(
         title_error(c["title"], cfg),

@@ -15,22 +15,27 @@ from broadsheet.config import WindowSpec
 from broadsheet.functions.text import keywords, text_length
 from broadsheet.operators.ranking import newest, running_index, top_k
 
-_SUMS = ("n", "title_chars", "title_bytes", "desc_chars", "desc_bytes")
+SUMS = ("n", "title_chars", "title_bytes", "desc_chars", "desc_bytes")
 
 
 def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def _measures() -> list[Column]:
-    return [
-        _count().alias("n"),
-        F.sum(text_length(F.col("title"), "chars").cast("long")).alias("title_chars"),
-        F.sum(text_length(F.col("title"), "bytes").cast("long")).alias("title_bytes"),
-        F.sum(text_length(F.col("description"), "chars").cast("long")).alias("desc_chars"),
-        F.sum(text_length(F.col("description"), "bytes").cast("long")).alias("desc_bytes"),
-        F.max("ts").alias("last_at"),
-    ]
+def lengths(articles: DataFrame, *keep: str) -> DataFrame:
+    """Text lengths in place of the texts, so that no text is shuffled."""
+    return articles.select(
+        *dict.fromkeys((*keep, "ts", "source")),
+        text_length(F.col("title"), "chars").alias("title_chars"),
+        text_length(F.col("title"), "bytes").alias("title_bytes"),
+        text_length(F.col("description"), "chars").alias("desc_chars"),
+        text_length(F.col("description"), "bytes").alias("desc_bytes"),
+    )
+
+
+def measures() -> list[Column]:
+    """Aggregates over rows of ``lengths``."""
+    return [_count().alias("n"), *[F.sum(c).alias(c) for c in SUMS[1:]], F.max("ts").alias("last_at")]
 
 
 def _keys_of(kind: str) -> Column:
@@ -61,37 +66,43 @@ def key_rows(articles: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
 def pane_totals(articles: DataFrame, spec: WindowSpec) -> DataFrame:
     """Count, length sums and last arrival per pane and source."""
     pane = F.window("ts", f"{spec.pane_s} seconds").start
-    return articles.groupBy(pane.alias("pane"), "source").agg(*_measures())
+    return lengths(articles).groupBy(pane.alias("pane"), "source").agg(*measures())
 
 
 def pane_keys(articles: DataFrame, spec: WindowSpec, kinds: tuple[str, ...]) -> DataFrame:
     """Count per pane, kind and key."""
-    pane = F.window("ts", f"{spec.pane_s} seconds").start
-    return key_rows(articles, kinds).groupBy(pane.alias("pane"), "kind", "key").agg(_count().alias("n"))
+    pane = F.window("ts", f"{spec.pane_s} seconds").start.alias("pane")
+    rows = key_rows(articles, kinds)
+    if len(kinds) > 1:
+        return rows.groupBy(pane, "kind", "key").agg(_count().alias("n"))
+    return rows.groupBy(pane, "key").agg(_count().alias("n"))
 
 
 def to_windows(panes: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Assign each pane row to every window that contains it."""
+    """Assign each pane row to every window that contains it, named by its start."""
     if spec.size_s == spec.pane_s:
-        end = F.col("pane") + F.expr(f"INTERVAL {spec.size_s} SECONDS")
-        return panes.withColumns({"window_start": F.col("pane"), "window_end": end}).drop("pane")
-    return (
-        panes.withColumn("_w", F.window("pane", spec.size, spec.slide))
-        .withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")})
-        .drop("_w", "pane")
-    )
+        return panes.withColumnRenamed("pane", "window_start")
+    start = F.window("pane", spec.size, spec.slide).alias("_w")
+    return panes.select("*", start).withColumn("window_start", F.col("_w.start")).drop("_w", "pane")
 
 
-_W = ["window_start", "window_end"]
+def with_end(df: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Add the end of each window. It follows from the start, so it is never a grouping key."""
+    end = (F.col("window_start") + F.expr(f"INTERVAL {spec.size_s} SECONDS")).alias("window_end")
+    rest = [c for c in df.columns if c != "window_start"]
+    return df.select("window_start", end, *rest)
 
 
 def window_key_counts(articles: DataFrame, spec: WindowSpec, kinds: tuple[str, ...] | None = None) -> DataFrame:
     """Count per window, kind and key: sources, source types, categories, keywords."""
-    panes = pane_keys(articles, spec, kinds or spec.kinds)
-    windows = to_windows(panes, spec)
-    if spec.size_s == spec.pane_s:
-        return windows.select(*_W, "kind", "key", "n")
-    return windows.groupBy(*_W, "kind", "key").agg(F.sum("n").alias("n"))
+    kinds = kinds or spec.kinds
+    by = ["window_start", "key"] if len(kinds) == 1 else ["window_start", "kind", "key"]
+    counts = to_windows(pane_keys(articles, spec, kinds), spec)
+    if spec.size_s != spec.pane_s:
+        counts = counts.groupBy(*by).agg(F.sum("n").alias("n"))
+    if len(kinds) == 1:
+        counts = counts.withColumn("kind", F.lit(kinds[0]))
+    return with_end(counts, spec).select("window_start", "window_end", "kind", "key", "n")
 
 
 def window_source_totals(articles: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -99,8 +110,8 @@ def window_source_totals(articles: DataFrame, spec: WindowSpec) -> DataFrame:
     windows = to_windows(pane_totals(articles, spec), spec)
     if spec.size_s == spec.pane_s:
         return windows
-    return windows.groupBy(*_W, "source").agg(
-        *[F.sum(c).alias(c) for c in _SUMS], F.max("last_at").alias("last_at")
+    return windows.groupBy("window_start", "source").agg(
+        *[F.sum(c).alias(c) for c in SUMS], F.max("last_at").alias("last_at")
     )
 
 
@@ -126,17 +137,17 @@ def rate_per_sec(n: Column, start: Column, last: Column) -> Column:
 
 def window_stats(articles: DataFrame, spec: WindowSpec) -> DataFrame:
     """One row per non-empty window: volume, sources, mean lengths, rates, last arrival."""
-    stats = window_source_totals(articles, spec).groupBy(*_W).agg(*stats_columns(spec))
-    return stats.withColumn(
-        "rate_per_sec",
-        rate_per_sec(F.col("total_articles"), F.col("window_start"), F.col("last_article_at")),
-    )
+    stats = window_source_totals(articles, spec).groupBy("window_start").agg(*stats_columns(spec))
+    rate = rate_per_sec(F.col("total_articles"), F.col("window_start"), F.col("last_article_at"))
+    return with_end(stats, spec).withColumn("rate_per_sec", rate)
 
 
 def top_keywords(counts: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most frequent keywords of each window; equal counts order by word."""
-    words = counts.filter("kind = 'keyword'").select(*_W, F.col("key").alias("word"), F.col("n").alias("frequency"))
-    return top_k(words, _W, [F.desc("frequency"), F.asc("word")], k)
+    words = counts.filter("kind = 'keyword'").select(
+        "window_start", "window_end", F.col("key").alias("word"), F.col("n").alias("frequency")
+    )
+    return top_k(words, ["window_start"], [F.desc("frequency"), F.asc("word")], k)
 
 
 def _pairs(kind: str) -> Column:
@@ -152,10 +163,16 @@ def window_view(articles: DataFrame, spec: WindowSpec, rounded: bool = True) ->
     """
     kinds = tuple(dict.fromkeys(("source", *spec.kinds)))
     counts = window_key_counts(articles, spec, kinds)
-    nested = counts.filter("kind <> 'keyword'").withColumn("rank", F.lit(0))
+    nested = counts.filter("kind <> 'keyword'").select(
+        "window_start", "kind", "key", "n", F.lit(0).alias("rank")
+    )
     if "keyword" in kinds:
         best = top_keywords(counts, spec.top_keywords).select(
-            *_W, F.lit("keyword").alias("kind"), F.col("word").alias("key"), F.col("frequency").alias("n"), "rank"
+            "window_start",
+            F.lit("keyword").alias("kind"),
+            F.col("word").alias("key"),
+            F.col("frequency").alias("n"),
+            "rank",
         )
         nested = nested.unionByName(best)
     columns = [
@@ -176,8 +193,8 @@ def window_view(articles: DataFrame, spec: WindowSpec, rounded: bool = True) ->
             lambda x: F.struct(x["word"].alias("word"), x["frequency"].alias("frequency")),
         )
         columns.append(words.alias("top_keywords"))
-    breakdowns = nested.groupBy(*_W).agg(*columns)
-    view = window_stats(articles, spec).join(breakdowns, _W)
+    breakdowns = nested.groupBy("window_start").agg(*columns)
+    view = window_stats(articles, spec).join(breakdowns, "window_start")
     if rounded:
         for c in ("avg_title_length", "avg_description_length", "rate_per_min"):
             view = view.withColumn(c, F.bround(c, 2))
@@ -214,12 +231,9 @@ def dense_windows(stats: DataFrame, spec: WindowSpec) -> DataFrame:
     starts = spans.repartition("lo").select(
         F.explode(F.sequence(F.col("lo"), last, F.lit(slide).cast("long"))).alias("s")
     )
-    calendar = starts.select(
-        F.timestamp_seconds("s").alias("window_start"),
-        F.timestamp_seconds(F.col("s") + spec.size_s).alias("window_end"),
-    )
+    calendar = starts.select(F.timestamp_seconds("s").alias("window_start"))
     zero = {c: F.coalesce(F.col(c), F.lit(0).cast(t)) for c, t in stats.dtypes if t in ("bigint", "int", "double")}
-    return calendar.join(stats, _W, "left").withColumns(zero)
+    return with_end(calendar.join(stats.drop("window_end"), "window_start", "left"), spec).withColumns(zero)
 
 
 def newest_in_windows(articles: DataFrame, spec: WindowSpec, tie: str = "link") -> DataFrame:
@@ -234,20 +248,21 @@ def newest_in_windows(articles: DataFrame, spec: WindowSpec, tie: str = "link")
     members = to_windows(cut, spec)
     if spec.size_s == spec.pane_s:
         return members
-    return top_k(members, _W, order, spec.max_articles, "_rn").drop("_rn")
+    return top_k(members, ["window_start"], order, spec.max_articles, "_rn").drop("_rn")
 
 
 def capped_window_stats(articles: DataFrame, spec: WindowSpec, tie: str = "link") -> DataFrame:
     """Window statistics over the newest ``max_articles`` rows only."""
-    kept = newest_in_windows(articles, spec, tie)
-    return kept.groupBy(*_W, "source").agg(*_measures()).groupBy(*_W).agg(*stats_columns(spec))
+    kept = newest_in_windows(lengths(articles, tie), spec, tie)
+    per_source = kept.groupBy("window_start", "source").agg(*measures())
+    return with_end(per_source.groupBy("window_start").agg(*stats_columns(spec)), spec)
 
 
 def dropped_per_window(articles: DataFrame, spec: WindowSpec) -> DataFrame:
     """Rows arrived, kept and evicted per window under the cap."""
-    counts = window_source_totals(articles, spec).groupBy(*_W).agg(F.sum("n").alias("arrived"))
+    counts = window_source_totals(articles, spec).groupBy("window_start").agg(F.sum("n").alias("arrived"))
     cap = F.lit(spec.max_articles).cast("long")
-    return counts.withColumns(
+    return with_end(counts, spec).withColumns(
         {
             "kept": F.least(F.col("arrived"), cap),
             "dropped": F.greatest(F.col("arrived") - cap, F.lit(0).cast("long")),
@@ -256,7 +271,7 @@ def dropped_per_window(articles: DataFrame, spec: WindowSpec) -> DataFrame:
 
 
 def _batch_stats(rows: DataFrame, by: list[str], spec: WindowSpec) -> DataFrame:
-    per_source = rows.groupBy(*by, "source").agg(*_measures(), F.min("ts").alias("first_at"))
+    per_source = rows.groupBy(*by, "source").agg(*measures(), F.min("ts").alias("first_at"))
     return per_source.groupBy(*by).agg(*stats_columns(spec), F.min("first_at").alias("first_article_at"))
 
 
@@ -266,11 +281,11 @@ def count_windows(
     """Windows of ``size`` consecutive rows per key; the last one may be unfilled."""
     keys = keys or []
     spec = WindowSpec(length_unit=length_unit)
-    numbered = running_index(articles, keys, ["ts", tie])
+    numbered = running_index(lengths(articles, *keys, tie), keys, ["ts", tie])
     rows = numbered.withColumn("window_no", F.floor((F.col("rn") - 1) / F.lit(size)).cast("long"))
     by = [*keys, "window_no"]
     if "source" in keys:
-        stats = rows.groupBy(*by).agg(*_measures(), F.min("ts").alias("first_article_at"))
+        stats = rows.groupBy(*by).agg(*measures(), F.min("ts").alias("first_article_at"))
         unit = length_unit
         stats = stats.select(
             *by,
@@ -287,11 +302,9 @@ def count_windows(
 
 def forced_close_windows(articles: DataFrame, spec: WindowSpec, tie: str = "link") -> DataFrame:
     """Time windows closed early after every ``max_articles`` rows."""
-    at = articles.withColumn("_w", F.window("ts", spec.size)).withColumns(
-        {"window_start": F.col("_w.start"), "window_end": F.col("_w.end")}
-    ).drop("_w")
-    numbered = running_index(at, ["window_start"], ["ts", tie])
+    start = F.window("ts", spec.size).start
+    placed = lengths(articles, tie).withColumn("window_start", start)
+    numbered = running_index(placed, ["window_start"], ["ts", tie])
     part = F.floor((F.col("rn") - 1) / F.lit(spec.max_articles)).cast("long")
-    rows = numbered.withColumn("part", part)
-    stats = _batch_stats(rows, [*_W, "part"], spec).drop("rate_per_min")
-    return stats.withColumn("forced", F.col("total_articles") == spec.max_articles)
+    stats = _batch_stats(numbered.withColumn("part", part), ["window_start", "part"], spec).drop("rate_per_min")
+    return with_end(stats, spec).withColumn("forced", F.col("total_articles") == spec.max_articles)

@@ -79,7 +79,7 @@ def gathered_articles(spark, d):
 
 @query
 def unique_links(spark, d):
-    p = views.table(spark, d, "pages").select("page_id", clean_link(F.col("url")).alias("link"))
+    p = views.text_table(spark, d, "pages").select("page_id", clean_link(F.col("url")).alias("link"))
     return art.unique_links(p, [F.asc("page_id")])
 
 
@@ -264,7 +264,7 @@ def validate_titles(spark, d):
 
 @query
 def validate_links(spark, d):
-    p = views.table(spark, d, "pages")
+    p = views.text_table(spark, d, "pages")
     # every third address is broken in one of two ways
     k = F.col("page_id") % 6
     url = F.when(k == 2, F.concat(F.lit("ftp"), F.col("url"))).when(k == 5, F.concat(F.lit(" "), F.col("url")))
@@ -275,12 +275,12 @@ def validate_links(spark, d):
 
 @query
 def sanitize_pages(spark, d):
-    return views.table(spark, d, "pages").select("page_id", sanitize_html(F.col("html")).alias("text"))
+    return views.text_table(spark, d, "pages").select("page_id", sanitize_html(F.col("html")).alias("text"))
 
 
 @query
 def validate_descriptions(spark, d):
-    p = views.table(spark, d, "pages")
+    p = views.text_table(spark, d, "pages")
     text = validate.clean_description(F.col("html"))
     return p.select("page_id", F.octet_length(text).alias("n_bytes"), validate.description_error(text).alias("error"))
 
@@ -439,7 +439,7 @@ def _page_columns(df: DataFrame) -> DataFrame:
 
 @query
 def html_articles(spark, d):
-    p = views.table(spark, d, "pages")
+    p = views.text_table(spark, d, "pages")
     return _page_columns(pages.page_articles(p, views.as_of(), ["page_id"], link_fallback="page_url"))
 
 
@@ -447,7 +447,7 @@ def html_articles(spark, d):
 def html_articles_strict(spark, d):
     """Pages whose heading is a relative link, as listing pages have it."""
     linked = F.regexp_replace("html", r"<h1>(.*?)</h1>", r'<h3><a class="x" href="/story?a=1&amp;b=2">$1</a></h3>')
-    p = views.table(spark, d, "pages").withColumn("html", linked)
+    p = views.text_table(spark, d, "pages").withColumn("html", linked)
     return _page_columns(pages.page_articles(p, views.as_of(), ["page_id"]))
 
 
@@ -458,7 +458,7 @@ def html_articles_nested(spark, d):
         F.replace("html", F.lit("<article>"), F.lit('<div class="news-list"><article>')),
         F.lit("</article>"), F.lit("</article></div>"),
     )
-    p = views.table(spark, d, "pages").withColumn("html", wrapped)
+    p = views.text_table(spark, d, "pages").withColumn("html", wrapped)
     rows = pages.page_articles_nested(p, views.as_of(), ["page_id"], link_fallback="page_url")
     return _page_columns(rows)
 
@@ -514,10 +514,8 @@ def atom_articles(spark, d):
 
 def _messages(spark, d):
     """Messages as a broker hands them out, every tenth one cut short."""
-    a = views.articles(spark, d)
-    out = messages.to_messages(a.select(*[c for c in a.columns if c not in ("doc_id", "ts")], "doc_id"))
-    link_id = F.get_json_object(F.col("value").cast("string"), "$.doc_id").cast("long")
-    rows = out.withColumn("offset", link_id)
+    a = views.articles(spark, d).drop("ts").withColumnRenamed("doc_id", "offset")
+    rows = messages.to_messages(a, beside=("offset",))
     text = F.col("value").cast("string")
     broken = F.when(F.col("offset") % 10 == 3, F.left(text, F.length(text) - 5)).otherwise(text)
     return rows.select(

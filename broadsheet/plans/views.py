@@ -27,6 +27,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of long texts; one stored in fewer splits than cores is dealt out to all of them."""
+    df = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
@@ -71,14 +78,14 @@ def _as_articles(docs: DataFrame, events: DataFrame) -> DataFrame:
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
     """One article per document, scraped when its event happened."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    docs = text_table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     events = table(spark, folder, "events").select("event_id", "ts", "event_type")
     return _as_articles(docs, events)
 
 
 def article_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same articles, with the events arriving as a stream."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    docs = text_table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     # as a pattern the path may be one file or a folder of part files
     events = prepare(spark).readStream.schema(EVENTS).parquet(f"{folder}/events.parque[t]")
     return _as_articles(docs, events.select("event_id", "ts", "event_type"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions.barrier import compute_once
 from broadsheet.operators.articles import from_wire
 from broadsheet.schema import ARTICLE_WIRE
 
@@ -33,10 +34,11 @@ def read_kafka(spark: SparkSession, servers: str, topic: str = TOPIC, **options)
 def _parsed(df: DataFrame, meta: tuple[str, ...], value: str) -> DataFrame:
     text = F.col(value).cast("string")
     parsed = F.from_json(
-        text, f"{ARTICLE_WIRE}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT}
+        F.col("_text"), f"{ARTICLE_WIRE}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT}
     )
     kept = [c for c in meta if c in df.columns]
-    rows = df.select(text.alias("_text"), F.struct(*kept).alias("_meta"), parsed.alias("_a"))
+    rows = df.select(text.alias("_text"), F.struct(*kept).alias("_meta"))
+    rows = compute_once(rows, parsed, "_a")
     bad = (
         F.col("_text").isNull()
         | ~F.is_valid_utf8("_text")
@@ -57,15 +59,19 @@ def dead_letters(df: DataFrame, meta: tuple[str, ...] = KAFKA_META, value: str =
     return _parsed(df, meta, value).filter("_bad").select(F.col("_text").alias("value"), "_meta")
 
 
-def to_messages(articles: DataFrame, topic: str = TOPIC) -> DataFrame:
-    """Rows of the Kafka sink: source as key, article JSON as value, source and type as headers."""
-    fields = [c for c in articles.columns if not c.startswith("_")]
+def to_messages(articles: DataFrame, topic: str = TOPIC, beside: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of the Kafka sink: source as key, article JSON as value, source and type as headers.
+
+    ``beside`` names columns to carry next to the message rather than in it, such as ``partition``.
+    """
+    fields = [c for c in articles.columns if not c.startswith("_") and c not in beside]
     header = lambda c: F.struct(F.lit(c).alias("key"), F.col(c).cast("binary").alias("value"))
     return articles.select(
         F.lit(topic).alias("topic"),
         F.col("source").cast("binary").alias("key"),
         F.to_json(F.struct(*fields)).cast("binary").alias("value"),
         F.array(header("source"), header("source_type")).alias("headers"),
+        *beside,
     )
 
 

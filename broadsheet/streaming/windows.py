@@ -9,9 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 from broadsheet.config import StreamSpec, WindowSpec
 from broadsheet.operators import windows as batch
 
-_W = ["window_start", "window_end"]
-
-
 def _flat(df: DataFrame, column: str = "w") -> DataFrame:
     return df.withColumns(
         {"window_start": F.col(f"{column}.start"), "window_end": F.col(f"{column}.end")}
@@ -26,8 +23,9 @@ def stream_window_stats(articles: DataFrame, spec: WindowSpec, stream: StreamSpe
     a timestamp with zone; late rows beyond the watermark are not counted.
     """
     marked = articles.withWatermark("ts", stream.watermark)
-    panes = marked.groupBy(F.window("ts", f"{spec.pane_s} seconds").alias("pane"), "source").agg(*batch._measures())
-    sums = [F.sum(c).alias(c) for c in batch._SUMS]
+    pane = F.window("ts", f"{spec.pane_s} seconds").alias("pane")
+    panes = batch.lengths(marked).groupBy(pane, "source").agg(*batch.measures())
+    sums = [F.sum(c).alias(c) for c in batch.SUMS]
     per_source = panes.groupBy(F.window("pane", spec.size, spec.slide).alias("w"), "source").agg(
         *sums, F.max("last_at").alias("last_at")
     )
