@@ -1,9 +1,9 @@
 """HTML to plain text with native regular expressions.
 
 ``(?d)`` makes ``.`` stop only at a line feed and ``(?U)`` makes classes
-Unicode. Before a pattern runs, the text is split after the last character
-that can close a match: in the left part every opener finds its closer, so
-the scan stays linear on text with many stray openers.
+Unicode. Where an opener has no closer in the rest of the text, the pattern's
+last alternative takes the rest and puts it back, so text with many stray
+openers is still scanned once.
 """
 
 from __future__ import annotations
@@ -14,22 +14,22 @@ from pyspark.sql import functions as F
 from broadsheet.functions.text import unicode_trim
 
 # What counts as script, handler attribute and tag, and how entities decode, in order.
-SCRIPT = r"(?d)<script[^>]*>.*?</script>"
+SCRIPT = r"(?d)<script[^>]*+>.*?</script>|(<script[^>]*+\z)"
 HANDLER = r"(?U)on\w++\s*+="
 HANDLER_REPLACEMENT = "data-removed="
-TAG = r"<[^>]*>"
+TAG = r"<[^>]*+>|(<[^>]*+\z)"
 ENTITIES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")]
 
+_UNCLOSED = "$1"
 
-def _replace_up_to_last(c: Column, closer: str, pattern: str) -> Column:
-    tail = F.substring_index(c, closer, -1)
-    head = F.left(c, F.length(c) - F.length(tail))
-    replaced = F.concat(F.regexp_replace(head, pattern, ""), tail)
-    return F.when(F.contains(c, F.lit(closer)), replaced).otherwise(c)
+
+def _replace_where(c: Column, needle: str, pattern: str, replacement: str) -> Column:
+    """Replace a pattern in texts that hold ``needle``; a plain search spares the others the scan."""
+    return F.when(F.contains(c, F.lit(needle)), F.regexp_replace(c, pattern, replacement)).otherwise(c)
 
 
 def strip_tags(c: Column) -> Column:
-    return _replace_up_to_last(c, ">", TAG)
+    return _replace_where(c, "<", TAG, _UNCLOSED)
 
 
 def decode_entities(c: Column) -> Column:
@@ -41,9 +41,8 @@ def decode_entities(c: Column) -> Column:
 def sanitize_html(c: Column, *, sanitize: bool = True, remove_scripts: bool = True) -> Column:
     """Scripts out, event handlers defused, tags out, basic entities decoded, trimmed."""
     if remove_scripts:
-        c = _replace_up_to_last(c, "</script>", SCRIPT)
-    # most texts have no "=" and need no scan
-    c = F.when(F.contains(c, F.lit("=")), F.regexp_replace(c, HANDLER, HANDLER_REPLACEMENT)).otherwise(c)
+        c = _replace_where(c, "</script>", SCRIPT, _UNCLOSED)
+    c = _replace_where(c, "=", HANDLER, HANDLER_REPLACEMENT)
     if sanitize:
         c = decode_entities(strip_tags(c))
     return unicode_trim(c)

@@ -1,4 +1,8 @@
-"""Link checks and normalisation, all native."""
+"""Link checks and normalisation, all native.
+
+Every part is taken from the whole link by one anchored pattern, so that parts
+do not nest and the expressions stay small.
+"""
 
 from __future__ import annotations
 
@@ -7,92 +11,83 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.text import is_blank
 
-# Accepted link text, and the characters a path must escape.
+# Accepted link text, default ports, and the characters a host may not and a path must escape.
 LINK = r"(?Ud)^https?://[^\s/$.?#].[^\s]*\z"
-DEFAULT_PORTS = {"http": "80", "https": "443"}
-HOST_FORBIDDEN = r'[\x00-\x20#%/:<>?@\[\\\]^|\x7f]'
-PATH_ESCAPED = r'[^\x21\x23-\x3b\x3d\x3f-\x5f\x61-\x7a\x7c\x7e]'
-
-_PARTS = r"^(https?)://([^/\\?#]*)([^?#]*)"
-
-
-def _part(c: Column, i: int) -> Column:
-    return F.regexp_extract(c, _PARTS, i)
+HTTP_PORT, HTTPS_PORT = "80", "443"
+HOST_CHAR = r"[^\x00-\x20#%/:<>?@\[\\\]^|\x7f]"
+PATH_ESCAPED = r"[^\x21\x23-\x3b\x3d\x3f-\x5f\x61-\x7a\x7c\x7e]"
+MAX_PORT = r"(?:\d{1,4}|[1-5]\d{4}|6[0-4]\d{3}|65[0-4]\d{2}|655[0-2]\d|6553[0-5])"
+
+_END = r"(?:[/\\?#]|\z)"
+_USER = r"(?:[^/\\?#]*@)?"
+_HOST = r"(?:\[[^\]/\\?#]*\]|[^:/\\?#]*)"
+
+NO_HOST = rf"^https?://{_USER}(?::[^/\\?#]*)?{_END}"
+GOOD_HOST = rf"^https?://{_USER}(?:\[[0-9A-Fa-f:.]+\]|{HOST_CHAR}+)(?::[^/\\?#]*)?{_END}"
+GOOD_PORT = rf"^https?://{_USER}{_HOST}(?::(?:0*{MAX_PORT})?)?{_END}"
+
+_PREFIX = rf"^(https?://{_USER})"
+_HOST_PART = rf"^https?://{_USER}({_HOST})"
+_PORT_PART = (
+    rf"^(?:http://{_USER}{_HOST}:(?!0*{HTTP_PORT}{_END})|https://{_USER}{_HOST}:(?!0*{HTTPS_PORT}{_END}))0*(\d+)"
+)
+_PATH_PART = r"^https?://[^/\\?#]*([^?#]*)"
+# links whose path needs escaping or has dot segments
+_ODD_PATH = rf"^https?://[^/\\?#]*[^?#]*?(?:{PATH_ESCAPED}|\\|(?i:[/\\](?:\.|%2e)))"
+_DOT_END = r"(?i)/(?:\.|%2e){1,2}\z"
 
 
 def _resolve_dots(path: Column) -> Column:
-    """Apply ``.`` and ``..`` segments of an absolute path."""
-    segments = F.split(F.substring(path, 2, 1 << 30), "/")
+    """Apply ``.`` and ``..`` segments of an absolute path; the last one leaves a trailing slash."""
+    closed = F.regexp_replace(path, _DOT_END, "$0/")
 
     def step(acc: Column, seg: Column) -> Column:
-        low = F.lower(F.replace(F.lower(seg), F.lit("%2e"), F.lit(".")))
+        name = F.replace(F.lower(seg), F.lit("%2e"), F.lit("."))
         return (
-            F.when(low == ".", acc)
-            .when(low == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+            F.when(name == ".", acc)
+            .when(name == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
             .otherwise(F.concat(acc, F.array(seg)))
         )
 
+    segments = F.split(F.substring(closed, 2, 1 << 30), "/")
     kept = F.aggregate(segments, F.array().cast("array<string>"), step)
-    last = F.lower(F.element_at(segments, -1))
-    ends_in_dots = last.isin(".", "..", "%2e", "%2e%2e", ".%2e", "%2e.")
-    resolved = F.concat(F.lit("/"), F.array_join(kept, "/"))
-    return F.when(ends_in_dots & (F.size(kept) > 0), F.concat(resolved, F.lit("/"))).otherwise(resolved)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
 
 
 def _escape_path(path: Column) -> Column:
     """Percent-encode the characters that may not stand in a path."""
-    chars = F.split(path, "")
-    escaped = F.transform(chars, lambda ch: F.when(ch.rlike(PATH_ESCAPED), F.url_encode(ch)).otherwise(ch))
+    escaped = F.transform(
+        F.split(path, ""), lambda ch: F.when(ch.rlike(PATH_ESCAPED), F.url_encode(ch)).otherwise(ch)
+    )
     return F.array_join(escaped, "")
 
 
-def split_link(c: Column) -> dict[str, Column]:
-    """Scheme, credentials, host, port and path of a link that matched ``LINK``."""
-    authority = _part(c, 2)
-    credentials = F.regexp_extract(authority, r"^(.*@)", 1)
-    host_port = F.regexp_extract(authority, r"^(?:.*@)?(.*)\z", 1)
-    path = F.replace(_part(c, 3), F.lit("\\"), F.lit("/"))
-    path = F.when(path == "", F.lit("/")).otherwise(path)
-    path = F.when(path.rlike(PATH_ESCAPED), _escape_path(path)).otherwise(path)
-    path = F.when(path.rlike(r"(?i)/(?:\.|%2e)"), _resolve_dots(path)).otherwise(path)
-    return {
-        "scheme": _part(c, 1),
-        "credentials": credentials,
-        "host": F.lower(F.regexp_extract(host_port, r"^(\[.*\]|[^:]*)", 1)),
-        "port": F.regexp_extract(host_port, r"^(?:\[.*\]|[^:]*):(.*)\z", 1),
-        "path": path,
-    }
-
-
 def link_error(c: Column, schemes: tuple[str, ...] = ("http", "https")) -> Column:
     """Why a link is refused, NULL when it is accepted."""
-    p = split_link(c)
-    detail = (
-        F.when(p["host"] == "", "empty host")
-        .when(~p["host"].startswith("[") & p["host"].rlike(HOST_FORBIDDEN), "invalid domain character")
-        .when(
-            (p["port"] != "")
-            & (~p["port"].rlike(r"^\d+\z") | (F.coalesce(p["port"].try_cast("int"), F.lit(65536)) > 65535)),
-            "invalid port number",
-        )
-    )
+    invalid = F.concat(F.lit("Invalid URL: "), c)
+    scheme = F.substring_index(c, ":", 1)
     return (
         F.when(is_blank(c), "Invalid URL: URL is empty")
-        .when(~c.rlike(LINK), F.concat(F.lit("Invalid URL: "), c))
-        .when(detail.isNotNull(), F.concat(F.lit("Invalid URL: "), c, F.lit(": "), detail))
-        .when(~p["scheme"].isin(*schemes), F.concat(F.lit("URL scheme not allowed: "), p["scheme"]))
+        .when(~c.rlike(LINK), invalid)
+        .when(c.rlike(NO_HOST), F.concat(invalid, F.lit(": empty host")))
+        .when(~c.rlike(GOOD_HOST), F.concat(invalid, F.lit(": invalid domain character")))
+        .when(~c.rlike(GOOD_PORT), F.concat(invalid, F.lit(": invalid port number")))
+        .when(~scheme.isin(*schemes), F.concat(F.lit("URL scheme not allowed: "), scheme))
     )
 
 
 def clean_link(c: Column) -> Column:
     """Link cut after its path: lower-case host, default port, query and fragment dropped."""
-    p = split_link(c)
-    port_text = F.regexp_replace(p["port"], r"^0+(?=\d)", "")
-    default = F.when(p["scheme"] == "https", DEFAULT_PORTS["https"]).otherwise(DEFAULT_PORTS["http"])
-    port = F.when((port_text == "") | (port_text == default), F.lit("")).otherwise(
-        F.concat(F.lit(":"), port_text)
+    port = F.regexp_extract(c, _PORT_PART, 1)
+    path = F.regexp_extract(c, _PATH_PART, 1)
+    odd = _resolve_dots(_escape_path(F.concat(F.lit("/"), F.substring(F.replace(path, F.lit("\\"), F.lit("/")), 2, 1 << 30))))
+    plain = F.concat(F.lit("/"), F.substring(path, 2, 1 << 30))
+    return F.concat(
+        F.regexp_extract(c, _PREFIX, 1),
+        F.lower(F.regexp_extract(c, _HOST_PART, 1)),
+        F.when(port != "", F.concat(F.lit(":"), port)).otherwise(""),
+        F.when(c.rlike(_ODD_PATH), odd).otherwise(plain),
     )
-    return F.concat(p["scheme"], F.lit("://"), p["credentials"], p["host"], port, p["path"])
 
 
 def site_of(url: Column) -> Column:

@@ -143,20 +143,24 @@ def top_keywords(spark, d):
 def window_view_flat(spark, d):
     """The nested window rows, unfolded again."""
     v = windows.window_view(views.articles(spark, d), SIX_HOURS, rounded=False)
-    part = lambda kind, c: v.select(
-        "window_start", F.lit(kind).alias("kind"), F.explode(c).alias("key", "n")
-    )
-    words = v.select("window_start", F.lit("keyword").alias("kind"), F.inline("top_keywords")).toDF(
-        "window_start", "kind", "key", "n"
-    )
-    sources = v.select(
-        "window_start", F.lit("sources").alias("kind"), F.array_join("sources", ",").alias("key"),
+
+    def rows(kind, entries, key="key", n="value"):
+        return F.transform(
+            entries, lambda x: F.struct(F.lit(kind).alias("kind"), x[key].alias("key"), x[n].alias("n"))
+        )
+
+    sources = F.struct(
+        F.lit("sources").alias("kind"), F.array_join("sources", ",").alias("key"),
         F.col("metadata.article_count").alias("n"),
     )
-    return art.gather(
-        [part("source", "articles_per_source"), part("source_type", "articles_per_type"),
-         part("category", "categories"), words, sources]
+    parts = F.concat(
+        rows("source", F.map_entries("articles_per_source")),
+        rows("source_type", F.map_entries("articles_per_type")),
+        rows("category", F.map_entries("categories")),
+        rows("keyword", F.col("top_keywords"), "word", "frequency"),
+        F.array(sources),
     )
+    return v.select("window_start", F.inline(parts))
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from broadsheet.config import StreamSpec, WindowSpec
 from broadsheet.operators import windows as batch
 
+
 def _flat(df: DataFrame, column: str = "w") -> DataFrame:
     return df.withColumns(
         {"window_start": F.col(f"{column}.start"), "window_end": F.col(f"{column}.end")}
