@@ -115,8 +115,5 @@ def heatmap(stats: DataFrame, value: str = "total_articles", min_windows: int =
 def heatmap_grid(cells: DataFrame, days: list[str]) -> DataFrame:
     """Cells as an hour by date grid for the given dates."""
     label = F.format_string("%02d:00", F.col("hour"))
-    return (
-        cells.groupBy(label.alias("hour"))
-        .pivot("day", [F.lit(d).cast("date") for d in days])
-        .agg(F.sum("articles"))
-    )
+    dated = cells.withColumn("day", F.col("day").cast("string"))
+    return dated.groupBy(label.alias("hour")).pivot("day", days).agg(F.sum("articles"))

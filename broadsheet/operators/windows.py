@@ -218,10 +218,10 @@ def window_view(articles: DataFrame, spec: WindowSpec, rounded: bool = True) ->
 def dense_windows(stats: DataFrame, spec: WindowSpec) -> DataFrame:
     """Every window between the first and the last one; windows without rows are zero.
 
-    The calendar spans a day per step first, then a slide within the day.
+    The calendar is built in steps of about a day, then in slides within a step.
     """
-    day, slide = 86_400, spec.slide_s
-    stride = day if day % slide == 0 else slide
+    slide = spec.slide_s
+    stride = slide * max(1, 86_400 // slide)
     bounds = stats.agg(
         F.min(F.unix_seconds("window_start")).alias("lo"), F.max(F.unix_seconds("window_start")).alias("hi")
     ).filter("lo is not null")

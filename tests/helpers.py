@@ -36,5 +36,9 @@ def frame(spark, rows: list[tuple]):
     return spark.createDataFrame(rows, ARTICLE)
 
 
+def order(rows) -> list[tuple]:
+    return sorted((tuple(r) for r in rows), key=lambda r: [(v is None, v if v is not None else 0) for v in r])
+
+
 def values(df, *columns) -> list[tuple]:
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    return order(df.select(*columns).collect())
