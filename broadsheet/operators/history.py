@@ -107,9 +107,9 @@ def heatmap(stats: DataFrame, value: str = "total_articles", min_windows: int =
     cells = stats.groupBy(
         F.to_date("window_start").alias("day"), F.hour("window_start").alias("hour")
     ).agg(F.sum(value).alias("articles"), F.count(F.lit(1)).alias("_n"))
-    # counted from the cells, so the windows themselves are grouped once
-    total = cells.agg(F.sum("_n")).scalar()
-    return cells.filter(total >= min_windows).drop("_n")
+    # the calendar bounds the cells: 24 rows a day
+    total = F.sum("_n").over(Window.partitionBy())
+    return cells.withColumn("_total", total).filter(F.col("_total") >= min_windows).drop("_n", "_total")
 
 
 def heatmap_grid(cells: DataFrame, days: list[str]) -> DataFrame:

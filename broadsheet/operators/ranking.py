@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.session import ensure_checkpoint_dir
+from broadsheet.session import materialise
 
 _PARTITION_SHIFT = 33  # layout of monotonically_increasing_id: partition above, row below
 
@@ -24,20 +24,19 @@ def running_index(
 ) -> DataFrame:
     """Add the 1-based position of each row within its key, ordered by ``order``.
 
-    ``order`` must end in a unique column. The range-split rows are checkpointed,
-    because a second sampling of the range bounds could cut them elsewhere.
+    ``order`` must end in a unique column. The range-split rows are written to a
+    table, because a second sampling of the range bounds could cut them
+    elsewhere. So are the counts: their known size decides whether they are
+    broadcast or joined by a shuffle.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in [*keys, *order]]
-    placed = (
+    numbered = (
         df.repartitionByRange(n, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("_at", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_at", _PARTITION_SHIFT))
     )
+    placed = materialise(numbered, "placed").withColumn("_part", F.shiftright("_at", _PARTITION_SHIFT))
     # at most one row per key and partition
     spans = placed.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = (
@@ -47,6 +46,7 @@ def running_index(
     spans = spans.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"), "_first", "_before"
     )
+    spans = materialise(spans, "spans")
     on = F.col("_part") == F.col("_p")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
@@ -56,7 +56,7 @@ def running_index(
     )
 
 
-def newest(df: DataFrame, keys: list[str], order: list[Column], n: int, slices: int = 64) -> DataFrame:
+def newest(df: DataFrame, keys: list[str], order: list[Column], n: int, slices: int = 256) -> DataFrame:
     """The first ``n`` rows of each key in ``order``, which must be total."""
 
     def cut(rows: DataFrame, by: list[str]) -> DataFrame:

@@ -40,15 +40,10 @@ def source_distribution(articles: DataFrame) -> DataFrame:
 
 def top_source(articles: DataFrame) -> DataFrame:
     """Number of sources and the source with the most articles."""
-    best = F.first("source").alias("top_source")
-    counts = source_counts(articles)
-    leader = counts.orderBy(F.desc("n"), F.asc("source")).limit(1)
-    totals = counts.agg(F.count(F.lit(1)).alias("total_sources"))
-    return totals.withColumns(
-        {
-            "top_source": leader.agg(best).scalar(),
-            "top_count": leader.agg(F.first("n")).scalar(),
-        }
+    lead = F.min(F.struct((-F.col("n")).alias("n"), "source"))
+    totals = source_counts(articles).agg(F.count(F.lit(1)).alias("total_sources"), lead.alias("_lead"))
+    return totals.select(
+        "total_sources", F.col("_lead.source").alias("top_source"), (-F.col("_lead.n")).alias("top_count")
     )
 
 

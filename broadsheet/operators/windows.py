@@ -142,6 +142,20 @@ def window_stats(articles: DataFrame, spec: WindowSpec) -> DataFrame:
     return with_end(stats, spec).withColumn("rate_per_sec", rate)
 
 
+def window_leaders(articles: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Window statistics with the leading source of each window; equal counts go to the first name.
+
+    The leader is a minimum over the per-source rows the statistics are made of,
+    so it costs no further pass or shuffle.
+    """
+    lead = F.min(F.struct((-F.col("n")).alias("n"), "source")).alias("_lead")
+    stats = window_source_totals(articles, spec).groupBy("window_start").agg(*stats_columns(spec), lead)
+    stats = stats.select(
+        "*", F.col("_lead.source").alias("top_source"), (-F.col("_lead.n")).alias("top_count")
+    ).drop("_lead")
+    return with_end(stats, spec)
+
+
 def top_keywords(counts: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most frequent keywords of each window; equal counts order by word."""
     words = counts.filter("kind = 'keyword'").select(

@@ -173,12 +173,8 @@ def byte_vs_char_length(spark, d):
 @query
 def top_source_per_window(spark, d):
     """Volume, rate and leading source of each sliding window."""
-    a = views.articles(spark, d)
-    stats = windows.window_stats(a, SLIDING)
-    counts = windows.window_key_counts(a, SLIDING, ("source",))
-    lead = windows.top_k(counts, ["window_start"], [F.desc("n"), F.asc("key")], 1)
-    lead = lead.select("window_start", F.col("key").alias("top_source"), F.col("n").alias("top_count"))
-    return stats.join(lead, "window_start").select(
+    leaders = windows.window_leaders(views.articles(spark, d), SLIDING)
+    return leaders.select(
         "window_start", "window_end", "total_articles", "sources_count", "rate_per_min", "top_source", "top_count"
     )
 
@@ -364,6 +360,13 @@ def _history(spark, d):
     return windows.window_stats(views.articles(spark, d), FIVE_MINUTES)
 
 
+def _stored_history(spark, d):
+    """The history as a table, for views that read it more than once."""
+    path = scratch_path(spark, "history")
+    window_store.store(_history(spark, d), path)
+    return window_store.read_windows(spark, path)
+
+
 @query
 def history_slice(spark, d):
     h = _history(spark, d)
@@ -373,7 +376,7 @@ def history_slice(spark, d):
 
 @query
 def moving_average(spark, d):
-    return history.moving_average(_history(spark, d), block=64)
+    return history.moving_average(_stored_history(spark, d), block=64)
 
 
 @query
@@ -388,7 +391,7 @@ def heatmap(spark, d):
 
 @query
 def rate_reference(spark, d):
-    r = history.rate_reference(_history(spark, d))
+    r = history.rate_reference(_stored_history(spark, d))
     return r.withColumn("mean_rate", F.round("mean_rate", 6))
 
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     # all times are UTC instants; text without a zone is read as UTC
@@ -58,18 +58,22 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable."""
-    root = shared_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared root."""
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write rows to a table under the shared root and read them back.
+
+    Cuts the lineage without depending on any executor, and gives the planner
+    the true size of the rows.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the duration of a block; a query started in it keeps them."""

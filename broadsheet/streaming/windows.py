@@ -46,9 +46,27 @@ def stream_key_counts(
     return _flat(panes.groupBy(w, "kind", "key").agg(F.sum("n").alias("n")))
 
 
-def stream_unique_links(articles: DataFrame, keep_for: str, key: str = "link") -> DataFrame:
-    """First arrival of each link; a link is remembered for ``keep_for`` of event time."""
-    return articles.withWatermark("ts", keep_for).dropDuplicatesWithinWatermark([key])
+def stream_unique_links(articles: DataFrame, keep_for: str, key: str = "link", salts: int = 16) -> DataFrame:
+    """One arrival of each link; a link is remembered for ``keep_for`` of event time.
+
+    Copies are first dropped within salted groups, so the copies of one link
+    meet in one task only after at most ``salts`` of them are left.
+    """
+    salted = articles.withWatermark("ts", keep_for).withColumn("_salt", F.pmod(F.xxhash64("ts"), F.lit(salts)))
+    few = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return few.dropDuplicatesWithinWatermark([key])
+
+
+def capped_closed_windows(closed: DataFrame, articles: DataFrame, spec: WindowSpec, tie: str = "link") -> DataFrame:
+    """Capped statistics of closed windows, from the stored articles of their time range.
+
+    For use on the batches of ``stream_window_stats``: a stream cannot rank, but
+    a closed window gets no more rows.
+    """
+    lo = closed.agg(F.min("window_start")).scalar()
+    hi = closed.agg(F.max("window_end")).scalar()
+    rows = articles.filter((F.col("ts") >= lo) & (F.col("ts") < hi))
+    return batch.capped_window_stats(rows, spec, tie).join(closed.select("window_start"), "window_start", "left_semi")
 
 
 def write_table(df: DataFrame, path: str, checkpoint: str, stream: StreamSpec = StreamSpec()) -> StreamingQuery:

@@ -56,7 +56,7 @@ def test_range_reaches_the_scan(spark):
     assert "PartitionFilters: [isnotnull(day" in text and "GreaterThanOrEqual(window_start" in text
 
 
-@pytest.mark.parametrize("name", ["top_keywords", "capped_window_stats", "unique_links", "top_source_per_window"])
+@pytest.mark.parametrize("name", ["top_keywords", "capped_window_stats", "unique_links"])
 def test_ranks_are_cut_before_the_shuffle(spark, name):
     text = plan(spark, name)
     assert re.search(r"WindowGroupLimit.*Partial", text) and re.search(r"WindowGroupLimit.*Final", text)
@@ -75,3 +75,7 @@ def test_single_partition_windows_are_bounded(spark, name):
     text = plan(spark, name)
     single = text.count("SinglePartition")
     assert single <= {"trend": 3, "moving_average": 2, "heatmap": 1, "count_windows": 0, "top_sources_other": 1}[name]
+
+
+def test_leaders_need_one_scan(spark):
+    assert plan(spark, "top_source_per_window").count("FileScan") == 2  # documents and events

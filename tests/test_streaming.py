@@ -4,9 +4,9 @@ import json
 from datetime import datetime
 
 import pytest
-from helpers import ARTICLE, T0, article, at, frame, order, values
+from helpers import ARTICLE, article, at, frame, order, values
 from pyspark.sql import functions as F
-from test_windows import grouped, table
+from test_windows import table
 
 from broadsheet.config import StreamSpec, WindowSpec
 from broadsheet.operators import articles as art
@@ -207,15 +207,24 @@ def test_counters(spark, folder):
     assert got["query"]["input_rows"] == 9
 
 
-def test_capped_windows_in_a_batch_function(spark, folder):
-    """Rank per closed window inside the sink, as a stream cannot rank."""
-    rows, _ = in_order(60, 1)
+def test_capped_windows_as_they_close(spark, folder):
+    rows, chunks = in_order(120, 3)
+    write_files(spark, folder, chunks)
     spec = WindowSpec.tumbling(60, max_articles=2)
-    sink = lambda b, i: windows.newest_in_windows(b, spec, "doc_id").write.mode("overwrite").parquet(f"{folder}/k/{i}")
-    batches(spark, folder, sink, [rows])
-    want = {w: min(2, len(m)) for w, m in grouped(rows, spec).items()}
-    got = spark.read.option("recursiveFileLookup", True).parquet(f"{folder}/k").groupBy("window_start").count()
-    assert {r.window_start: r["count"] for r in got.collect()} == want
+    stored = frame(spark, rows)
+
+    def sink(closed, batch_id):
+        capped = streams.capped_closed_windows(closed, stored, spec, "doc_id")
+        capped.write.mode("overwrite").parquet(sinks.batch_path(f"{folder}/capped", batch_id))
+
+    stats = streams.stream_window_stats(stream(spark, folder), spec)
+    with settings(spark, state_settings(spark)):
+        q = sinks.start(stats, sink, f"{folder}/checkpoint")
+    q.awaitTermination()
+    until = F.lit(streams.closed_until(q)).cast("timestamp")
+    want = windows.capped_window_stats(stored, spec, "doc_id").filter(F.col("window_end") <= until)
+    got = sinks.read_batches(spark, f"{folder}/capped")
+    assert values(got, "window_start", "total_articles", "avg_title_length") == values(want, "window_start", "total_articles", "avg_title_length")
 
 
 def test_named_aggregators(spark, folder):
@@ -226,4 +235,3 @@ def test_named_aggregators(spark, folder):
         closed, q = run(spark, df, folder, name)
         tail = streams.finalize(frame(spark, rows), specs[name], streams.closed_until(q))
         assert values(closed.unionByName(tail), *STATS) == values(windows.window_stats(frame(spark, rows), specs[name]), *STATS)
-    assert T0 == at(0)
