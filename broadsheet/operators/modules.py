@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.config import WindowSpec
-from broadsheet.functions.text import words
+from broadsheet.functions.text import keywords, words
+from broadsheet.session import materialise
+
 
 class AnalysisModule(ABC):
     """A named set of aggregates over articles."""
@@ -80,3 +82,59 @@ def emerging_keys(counts: DataFrame, spec: WindowSpec, kind: str = "keyword", mi
             F.coalesce("previous_share", F.lit(0.0)).alias("previous_share"),
         )
     )
+
+
+def sentiment(articles: DataFrame, lexicon: DataFrame, by: list[str], text: str = "title") -> DataFrame:
+    """Mean sentiment per group: an article scores the sum of its words' weights.
+
+    ``lexicon`` has ``word, weight``. Words are counted per group before they
+    meet the lexicon, so the join carries one row per distinct word.
+    """
+    n = articles.groupBy(*by).agg(F.count(F.lit(1)).alias("articles"))
+    counted = (
+        articles.select(*by, F.explode(words(F.col(text))).alias("word"))
+        .groupBy(*by, "word")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    scored = counted.join(lexicon, "word").groupBy(*by).agg(
+        F.sum(F.col("times") * F.col("weight")).alias("score"), F.sum("times").alias("scored_words")
+    )
+    total = F.coalesce(F.col("score"), F.lit(0.0))
+    return n.join(scored, by, "left").select(
+        *by,
+        "articles",
+        F.coalesce("scored_words", F.lit(0)).alias("scored_words"),
+        (total / F.col("articles")).alias("mean_sentiment"),
+    )
+
+
+def topics(
+    articles: DataFrame, k: int, text: str = "title", vocabulary: int = 10_000, iterations: int = 10, seed: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """LDA topics: ``topic, word, weight`` rows, and the articles with their topic shares.
+
+    Only the vocabulary, which is bounded, is held by the driver.
+    """
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizer
+    from pyspark.ml.functions import vector_to_array
+
+    worded = articles.withColumn("_words", keywords(F.col(text)))
+    counts = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocabulary).fit(worded)
+    rows = counts.transform(worded)
+    lda = LDA(k=k, maxIter=iterations, seed=seed, featuresCol="_counts", topicDistributionCol="_shares")
+    # read once per iteration, so the words are split and counted before
+    model = lda.fit(materialise(rows.select("_counts"), "term-counts"))
+    names = articles.sparkSession.createDataFrame(list(enumerate(counts.vocabulary)), "i int, word string")
+    pairs = F.arrays_zip(F.col("termIndices").alias("i"), F.col("termWeights").alias("weight"))
+    described = model.describeTopics(10).select("topic", F.inline(pairs)).join(names, "i")
+    described = described.select("topic", "word", "weight")
+    shares = model.transform(rows).withColumn("topic_shares", vector_to_array("_shares"))
+    return described, shares.drop("_words", "_counts", "_shares")
+
+
+def topic_evolution(shares: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Mean share of each topic per window."""
+    start = F.window("ts", spec.size).start.alias("window_start")
+    rows = shares.select(start, F.posexplode("topic_shares").alias("topic", "share"))
+    return rows.groupBy("window_start", "topic").agg(F.avg("share").alias("mean_share"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from broadsheet.config import WindowSpec, kinds_for
 from broadsheet.functions.dates import parse_iso, parse_published, rfc3339
 from broadsheet.functions.html import sanitize_html
+from broadsheet.functions.text import words
 from broadsheet.functions.urls import clean_link, link_error
 from broadsheet.operators import articles as art
 from broadsheet.operators import counters, history, modules, registry, runs, snapshot, validate, windows
@@ -316,7 +317,7 @@ def validation_verdicts(spark, d):
     return v.select(
         "doc_id", "verdict.success", "verdict.error_code", "verdict.error",
         out["title"].alias("title"), out["link"].alias("link"), out["published"].alias("published"),
-        F.octet_length(out["description"]).alias("desc_bytes"),
+        F.coalesce(F.octet_length(out["description"]), F.lit(0)).alias("desc_bytes"),
     )
 
 
@@ -432,7 +433,7 @@ def stored_results(spark, d):
     return r.select(
         "window_start", "window_end", "analysis_type",
         F.get_json_object("results", "$.total_articles").cast("long").alias("total_articles"),
-        F.get_json_object("results", "$.articles_per_source.src3").cast("long").alias("from_src3"),
+        F.coalesce(F.get_json_object("results", "$.articles_per_source.src3").cast("long"), F.lit(0)).alias("from_src3"),
         F.get_json_object("results", "$.top_keywords[0].frequency").cast("long").alias("best_frequency"),
     )
 
@@ -737,3 +738,21 @@ def emerging_keywords(spark, d):
 def source_popularity(spark, d):
     counts = windows.window_key_counts(views.articles(spark, d), HOURLY, ("source",))
     return modules.emerging_keys(counts, HOURLY, kind="source", min_count=1)
+
+
+@query
+def source_sentiment(spark, d):
+    """Sentiment per source, with words of good and of poor documents as the lexicon."""
+    a = views.articles(spark, d)
+    marks = views.table(spark, d, "labels")
+    marked = a.join(marks, "doc_id").select(F.explode(words(F.col("title"))).alias("word"), "quality")
+    weight = F.when(F.sum(F.col("quality") * 2 - 1) > 0, 1.0).otherwise(-1.0)
+    lexicon = marked.groupBy("word").agg(weight.alias("weight"))
+    return modules.sentiment(a, lexicon, ["source"])
+
+
+@query
+def title_topics(spark, d):
+    """Mean share of each of four title topics per six hours."""
+    _, shares = modules.topics(views.articles(spark, d), 4, vocabulary=500, iterations=3)
+    return modules.topic_evolution(shares.select("ts", "topic_shares"), WindowSpec.tumbling(21_600))

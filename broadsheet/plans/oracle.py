@@ -274,7 +274,7 @@ from sh s left join sh p on p.key = s.key and p.window_start + interval 1 hour =
         "validation_verdicts": with_(A, VERDICTS) + f"""select doc_id, error is null as success, code as error_code,
             error, case when error is null then t end as title, case when error is null then link end as link,
             case when error is null then {RFC.format(t='moment')} end as published,
-            case when error is null then strlen(body) end as desc_bytes from v2""",
+            case when error is null then strlen(body) else 0 end as desc_bytes from v2""",
         "valid_and_invalid": with_(A, VERDICTS) + "select doc_id, source_type, code as error_code from v2",
         "verdict_messages": with_(A, VERDICTS) + """select doc_id, case when error is null then 'true' else 'false' end
             as success, error, case when error is null then link end as link from v2""",
@@ -312,7 +312,7 @@ from sh s left join sh p on p.key = s.key and p.window_start + interval 1 hour =
             where window_start >= TIMESTAMP '2024-01-01 06:00:00' and window_end <= TIMESTAMP '2024-01-02 12:00:00'""",
         "stored_results": with_(A, HOURLY, KEYS, COUNTS) + f"""select {W}, 'sliding_window' as analysis_type,
             sum(n) filter (kind = 'source')::bigint as total_articles,
-            max(n) filter (kind = 'source' and key = 'src3') as from_src3,
+            coalesce(max(n) filter (kind = 'source' and key = 'src3'), 0) as from_src3,
             max(n) filter (kind = 'keyword') as best_frequency from counts group by all""",
         "html_articles": f"""select page_id, 0 as pos, {PAGE_TITLE} as title, url as link, 'html' as source_type
             from pages where {PAGE_TITLE} <> ''""",
@@ -376,5 +376,13 @@ from sh s left join sh p on p.key = s.key and p.window_start + interval 1 hour =
             len(regexp_extract_all(description, '\\S+')) as n from a)""") + """
             select n // 100 * 100 as words_from, count(*) as n from w group by 1""",
         "emerging_keywords": with_(A, HOURLY, KEYS, COUNTS).rstrip() + emerging.format(kind="keyword", n=2),
+        "source_sentiment": with_(A, """aw as (select doc_id, source,
+              unnest(regexp_extract_all(lower(title), '\\S+')) as word from a)""", """lex as (select word,
+              case when sum(quality * 2 - 1) > 0 then 1e0 else -1e0 end as weight
+              from aw join labels using (doc_id) group by word)""") + """
+            select a.source, count(*) as articles, coalesce(any_value(s.n), 0) as scored_words,
+              coalesce(any_value(s.score), 0e0) / count(*) as mean_sentiment
+            from a left join (select source, count(*) as n, sum(weight) as score from aw join lex using (word)
+              group by source) s using (source) group by a.source""",
         "source_popularity": with_(A, HOURLY, KEYS, COUNTS).rstrip() + emerging.format(kind="source", n=1),
     }

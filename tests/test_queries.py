@@ -17,8 +17,11 @@ def con():
     return database(FOLDER)
 
 
+WITHOUT_SQL = {"title_topics"}  # an iterative fit
+
+
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(entry.oracle_sql()) == set(NAMES) - WITHOUT_SQL
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -40,7 +43,7 @@ PYTHON = {"html_articles_nested", "stream_count_windows"}
 STREAMS = {n for n in NAMES if n.startswith("stream_")}
 
 
-@pytest.mark.parametrize("name", sorted(set(NAMES) - PYTHON - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(NAMES) - PYTHON - STREAMS - WITHOUT_SQL))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(spark, name)
     assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapIn|FlatMapGroups|CartesianProduct|BroadcastNestedLoop", text)
