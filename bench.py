@@ -19,32 +19,22 @@ from broadsheet.session import local_session
 HEADLINE = [
     "top_source_per_window",
     "sliding_window_stats",
-    "tumbling_window_stats",
     "window_breakdowns",
     "top_keywords",
-    "window_view_flat",
     "capped_window_stats",
     "count_windows",
-    "forced_close_windows",
-    "dense_windows",
     "source_distribution",
-    "trailing_snapshot",
     "validation_verdicts",
-    "validation_summary",
     "sanitize_pages",
     "parse_dates",
-    "validate_links",
     "html_articles",
     "html_articles_nested",
     "rss_articles",
     "decode_messages",
     "moving_average",
-    "trend",
-    "heatmap",
     "sources_to_scrape",
     "run_comparison",
     "histogram_buckets",
-    "unique_links",
     "stream_sliding_stats",
 ]
 

@@ -147,11 +147,10 @@ cmp as (
   from x b join x c on b.metric = c.metric and b.scraper = 'click' and c.scraper = 'view'
   where b.value <> 0 and c.value <> 0)"""
 
-PAGE_TITLE = (
-    "trim(replace(replace(replace(replace(replace(replace(regexp_replace("
-    "regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), "
-    "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'))"
-)
+PAGE_TITLE = "regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g')"
+for _entity, _char in (("lt", "'<'"), ("gt", "'>'"), ("quot", "chr(34)"), ("#39", "chr(39)"), ("nbsp", "chr(160)"), ("amp", "'&'")):
+    PAGE_TITLE = f"regexp_replace({PAGE_TITLE}, '&{_entity};?', {_char}, 'g')"
+PAGE_TITLE = f"trim({PAGE_TITLE})"
 
 SLIDING_COUNTS = with_(A, SLIDING, KEYS, COUNTS)
 

@@ -37,13 +37,21 @@ _TITLE = (
 )
 _ANCHOR = r"(?i)<a(?:\s[^>]*)?>"
 _HREF = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+# as in browsers, these entities also count without their semicolon
+_ENTITIES = [
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
+    ("&#39;?", "'"),
+    ("&nbsp;?", "\u00a0"),
+    ("&amp;?", "&"),
+]
 
 
 def _text(c: Column) -> Column:
     c = strip_tags(c)
     for entity, char in _ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
+        c = F.regexp_replace(c, entity, char)
     return c
 
 
