@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from broadsheet.functions import reasons
 from broadsheet.functions.text import is_blank
 
 # Accepted link text, default ports, and the characters a host may not and a path must escape.
@@ -64,15 +65,16 @@ def _escape_path(path: Column) -> Column:
 
 def link_error(c: Column, schemes: tuple[str, ...] = ("http", "https")) -> Column:
     """Why a link is refused, NULL when it is accepted."""
-    invalid = F.concat(F.lit("Invalid URL: "), c)
+    invalid = F.concat(F.lit(reasons.URL_INVALID), c)
+    because = lambda detail: F.concat(invalid, F.lit(f": {detail}"))
     scheme = F.substring_index(c, ":", 1)
     return (
-        F.when(is_blank(c), "Invalid URL: URL is empty")
+        F.when(is_blank(c), reasons.URL_INVALID + reasons.URL_EMPTY)
         .when(~c.rlike(LINK), invalid)
-        .when(c.rlike(NO_HOST), F.concat(invalid, F.lit(": empty host")))
-        .when(~c.rlike(GOOD_HOST), F.concat(invalid, F.lit(": invalid domain character")))
-        .when(~c.rlike(GOOD_PORT), F.concat(invalid, F.lit(": invalid port number")))
-        .when(~scheme.isin(*schemes), F.concat(F.lit("URL scheme not allowed: "), scheme))
+        .when(c.rlike(NO_HOST), because(reasons.URL_NO_HOST))
+        .when(~c.rlike(GOOD_HOST), because(reasons.URL_BAD_HOST))
+        .when(~c.rlike(GOOD_PORT), because(reasons.URL_BAD_PORT))
+        .when(~scheme.isin(*schemes), F.concat(F.lit(reasons.URL_SCHEME), scheme))
     )
 
 

@@ -10,25 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.config import ValidationConfig
+from broadsheet.functions import reasons
 from broadsheet.functions.barrier import compute_once
 from broadsheet.functions.dates import parse_published, rfc3339
 from broadsheet.functions.html import sanitize_html
 from broadsheet.functions.text import text_length, unicode_trim
 from broadsheet.functions.urls import clean_link, link_error
 
-# Reason codes by message prefix, in the order the checks run.
-REASONS = [
-    ("title_empty", "Title is empty or too short"),
-    ("title_too_long", "Title is too long"),
-    ("url_invalid", "Invalid URL"),
-    ("url_scheme", "URL scheme not allowed"),
-    ("description_too_long", "Description is too long"),
-    ("date_invalid", "Invalid date format"),
-    ("date_future", "Date is in the future"),
-    ("date_too_old", "Date is too old"),
-    ("source_empty", "Field validation failed"),
-]
-
 _FIELDS = ("title", "link", "description", "published", "source")
 
 
@@ -39,8 +27,8 @@ def clean_title(c: Column) -> Column:
 def title_error(c: Column, cfg: ValidationConfig = ValidationConfig()) -> Column:
     text = unicode_trim(c)
     limit = cfg.max_title_length
-    return F.when(text == "", "Title is empty or too short").when(
-        text_length(text, cfg.length_unit) > limit, f"Title is too long (max {limit} characters)"
+    return F.when(text == "", reasons.TITLE_EMPTY).when(
+        text_length(text, cfg.length_unit) > limit, reasons.TITLE_TOO_LONG.format(limit)
     )
 
 
@@ -53,33 +41,24 @@ def clean_description(c: Column, cfg: ValidationConfig = ValidationConfig()) ->
 def description_error(cleaned: Column, cfg: ValidationConfig = ValidationConfig()) -> Column:
     limit = cfg.max_description_length
     return F.when(
-        text_length(cleaned, cfg.length_unit) > limit,
-        f"Description is too long (max {limit} characters)",
+        text_length(cleaned, cfg.length_unit) > limit, reasons.DESCRIPTION_TOO_LONG.format(limit)
     )
 
 
 def date_error(
     text: Column, parsed: Column, as_of: Column, cfg: ValidationConfig = ValidationConfig()
 ) -> Column:
-    reason = F.when(parsed.isNull(), F.concat(F.lit("Invalid date format: "), text))
+    reason = F.when(parsed.isNull(), F.concat(F.lit(reasons.DATE_INVALID), text))
     if not cfg.allow_future_dates:
-        reason = reason.when(parsed > as_of, F.concat(F.lit("Date is in the future: "), rfc3339(parsed)))
+        reason = reason.when(parsed > as_of, F.concat(F.lit(reasons.DATE_FUTURE), rfc3339(parsed)))
     return reason.when(
         F.year(parsed) < cfg.min_year,
-        F.concat(F.lit("Date is too old (before 2000): "), rfc3339(parsed)),
+        F.concat(F.lit(reasons.DATE_TOO_OLD), rfc3339(parsed)),
     )
 
 
 def source_error(c: Column) -> Column:
-    return F.when(unicode_trim(c) == "", "Field validation failed: Source cannot be empty")
-
-
-def reason_code(error: Column) -> Column:
-    """Short code of an error text."""
-    code = F.when(error.isNull(), F.lit(None).cast("string"))
-    for name, prefix in REASONS:
-        code = code.when(F.startswith(error, F.lit(prefix)), name)
-    return code
+    return F.when(unicode_trim(c) == "", reasons.SOURCE_EMPTY)
 
 
 def validate(
@@ -118,7 +97,7 @@ def validate(
     rows = rows.withColumn("_error", error)
     verdict = F.struct(
         F.col("_error").isNull().alias("success"),
-        reason_code(F.col("_error")).alias("error_code"),
+        reasons.reason_code(F.col("_error")).alias("error_code"),
         F.col("_error").alias("error"),
         F.when(F.col("_error").isNull(), article).alias("validated_article"),
     )

@@ -81,7 +81,6 @@ def kafka_options(servers: str, compression: str = "none") -> dict[str, str]:
         "kafka.bootstrap.servers": servers,
         "kafka.acks": "all",
         "kafka.compression.type": compression if compression in CODECS else "none",
-        "includeHeaders": "true",
     }
 
 

@@ -51,13 +51,13 @@ def test_atom(spark):
 
 
 def test_feed_files(spark, folder):
-    with open(f"{folder}/lenta.xml", "w") as f:
+    with open(f"{folder}/north.xml", "w") as f:
         f.write(RSS)
     with open(f"{folder}/other.xml", "w") as f:
         f.write(RSS)
     rows = feeds.read_feeds(spark, folder, fetched()).collect()
     assert sorted((r.source, r.link) for r in rows if r.link) == [
-        (s, link) for s in ("lenta", "other") for link in ("https://f/1", "https://f/2")
+        (s, link) for s in ("north", "other") for link in ("https://f/1", "https://f/2")
     ]
     os.makedirs(f"{folder}/atom")
     with open(f"{folder}/atom/a.xml", "w") as f:
@@ -123,11 +123,11 @@ def test_page_link_fallback(spark):
         assert (row.title, row.link, row.source_type, row.description) == ("One", "https://s.test/a", "html", "")
 
 
-GO = {"source": "Lenta", "source_type": "rss", "title": "T", "link": "https://l/1", "description": "D",
+GO = {"source": "North", "source_type": "rss", "title": "T", "link": "https://l/1", "description": "D",
       "published": "Mon, 01 Jan 2024 12:00:00 +0300", "published_time": "2024-01-01T09:00:00Z", "authors": ["Ann"],
       "categories": ["Politics", "World"], "scraped_at": "2024-01-01T12:00:00.123456789Z"}
 HTML = {**GO, "source_type": "html", "authors": None, "categories": None, "published": "", "published_time": "0001-01-01T00:00:00Z"}
-PY = {"source": "RIA", "source_type": "rss", "title": "T", "link": "https://r/1", "description": "D", "published": "2024-01-01T08:00:00",
+PY = {"source": "South", "source_type": "rss", "title": "T", "link": "https://r/1", "description": "D", "published": "2024-01-01T08:00:00",
       "published_parsed": [2024, 1, 1, 9, 0, 0, 0, 1, 0], "authors": [{"name": "Bo"}],
       "categories": [{"term": "Politics", "scheme": None}, "plain", 5], "scraped_at": "2024-01-01T12:00:00.5"}
 
@@ -140,7 +140,7 @@ def test_json_store(spark, folder):
     good, bad = json_store.read_articles(spark, folder)
     rows = {(r.source, r.source_type): r for r in good.collect()}
     assert len(rows) == 3 and [r.file_path.endswith("b.json") for r in bad.collect()] == [True]
-    go, html, py = rows["Lenta", "rss"], rows["Lenta", "html"], rows["RIA", "rss"]
+    go, html, py = rows["North", "rss"], rows["North", "html"], rows["South", "rss"]
     assert go.scraped_at == datetime(2024, 1, 1, 12, 0, 0, 123456) and go.published_time == datetime(2024, 1, 1, 9)
     assert (html.categories, html.authors, html.published_time) == ([], [], None)
     assert (py.categories, py.authors) == (["Politics", "plain", "5"], ["Bo"])
