@@ -23,18 +23,25 @@ HEADLINE = [
     "top_keywords",
     "capped_window_stats",
     "count_windows",
+    "forced_close_windows",
+    "dense_windows",
     "source_distribution",
+    "trailing_snapshot",
     "validation_verdicts",
     "sanitize_pages",
     "parse_dates",
+    "validate_links",
     "html_articles",
     "html_articles_nested",
     "rss_articles",
     "decode_messages",
     "moving_average",
+    "trend",
+    "heatmap",
     "sources_to_scrape",
     "run_comparison",
     "histogram_buckets",
+    "unique_links",
     "stream_sliding_stats",
 ]
 

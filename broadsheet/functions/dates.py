@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from broadsheet.functions.text import is_blank
 
 # Accepted text forms.
-ISO_SECONDS = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
 SQL_SECONDS = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 RFC_3339 = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:[Zz]|[+-]\d{2}:\d{2})\z"
 RFC_1123 = r"^[A-Za-z]{3}, \d{2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} [+-]\d{4}\z"
@@ -114,7 +113,3 @@ def from_time_parts(parts: Column) -> Column:
 def drop_zero_time(ts: Column) -> Column:
     """An unset time is sent as year 1; make it NULL."""
     return F.when(F.year(ts) > 1, ts)
-
-
-def hour_label(ts: Column) -> Column:
-    return F.date_format(ts, "HH:00")

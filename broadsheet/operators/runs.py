@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.functions.maths import round_half_even
+
 # The compared figures with display names; lower is better in all of them.
 METRICS = [
     ("avg_execution_time", "Execution Time (seconds)"),
@@ -35,7 +37,7 @@ BETTER, WORSE = 1.1, 0.9
 
 
 def _rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
-    return df.withColumns({c: F.bround(c, d) for c, d in digits.items() if c in df.columns})
+    return df.withColumns({c: round_half_even(F.col(c), d) for c, d in digits.items() if c in df.columns})
 
 
 def run_usage(samples: DataFrame, by: list[str], rounded: bool = True) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.config import WindowSpec
+from broadsheet.functions.maths import round_half_even
 from broadsheet.functions.text import keywords, text_length
 from broadsheet.operators.ranking import newest, running_index, top_k
 
@@ -211,7 +212,7 @@ def window_view(articles: DataFrame, spec: WindowSpec, rounded: bool = True) ->
     view = window_stats(articles, spec).join(breakdowns, "window_start")
     if rounded:
         for c in ("avg_title_length", "avg_description_length", "rate_per_min"):
-            view = view.withColumn(c, F.bround(c, 2))
+            view = view.withColumn(c, round_half_even(F.col(c)))
     return view.withColumn(
         "metadata",
         F.struct(

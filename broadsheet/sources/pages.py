@@ -7,6 +7,7 @@ first anchor the link; blocks without either are skipped.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -26,14 +27,19 @@ BLOCK_CLASSES = ("promo", "news")
 TITLE_TAGS = ("h1", "h2", "h3", "h4")
 TITLE_CLASS = "heading"
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+# An element that is never closed reaches to the end of the page, so each pattern scans a page once.
+_HIDDEN = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    r"|<script\b[^>]*+(?:>.*?(?:</script\s*>|\z)|\z)"
+    r"|<style\b[^>]*+(?:>.*?(?:</style\s*>|\z)|\z)"
+)
 _BLOCK = (
-    r"(?s)<(?i:article)\b[^>]*>.*?</(?i:article)\s*>"
-    r"|<(?i:div)\b[^>]*\s(?i:class)\s*=\s*[\"'][^\"']*(?:promo|news)[^\"']*[\"'][^>]*>.*?</(?i:div)\s*>"
+    r"(?s)<(?i:article)\b[^>]*>.*?(?:</(?i:article)\s*>|\z)"
+    r"|<(?i:div)\b[^>]*\s(?i:class)\s*=\s*[\"'][^\"']*(?:promo|news)[^\"']*[\"'][^>]*>.*?(?:</(?i:div)\s*>|\z)"
 )
 _TITLE = (
-    r"(?is)<h[1-4]\b[^>]*>.*?</h[1-4]\s*>"
-    r"|<a\b[^>]*\sclass\s*=\s*[\"'][^\"']*heading[^\"']*[\"'][^>]*>.*?</a\s*>"
+    r"(?is)<h[1-4]\b[^>]*>.*?(?:</h[1-4]\s*>|\z)"
+    r"|<a\b[^>]*\sclass\s*=\s*[\"'][^\"']*heading[^\"']*[\"'][^>]*>.*?(?:</a\s*>|\z)"
 )
 _ANCHOR = r"(?i)<a(?:\s[^>]*)?>"
 _HREF = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
@@ -116,22 +122,23 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.limit = limit
         self.blocks: list[dict] = []
-        self.open: list[tuple[str, dict | None, list[dict]]] = []
-
-    def _inside(self) -> list[dict]:
-        return [block for _, block, _ in self.open if block is not None]
+        # open elements as (tag, own block or None, number of titles it collects), and how many per tag
+        self.open: list[tuple[str, dict | None, int]] = []
+        self.depth: Counter[str] = Counter()
+        # blocks around the current position, and those whose title is being read
+        self.inside: list[dict] = []
+        self.titled: list[dict] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         attr = {k: v or "" for k, v in reversed(attrs)}
         names = attr.get("class", "")
-        inside = self._inside()
         if tag == "a":
-            for b in inside:
+            for b in self.inside:
                 if b["link"] is None:
                     b["link"] = attr.get("href", "")
         titled = []
         if tag in TITLE_TAGS or (tag == "a" and TITLE_CLASS in names):
-            titled = [b for b in inside if b["title"] is None]
+            titled = [b for b in self.inside if b["title"] is None]
             for b in titled:
                 b["title"] = ""
         block = None
@@ -140,26 +147,40 @@ class _Blocks(HTMLParser):
             block = {"title": None, "link": None}
             self.blocks.append(block)
         if tag not in self.VOID:
-            self.open.append((tag, block, titled))
+            self.open.append((tag, block, len(titled)))
+            self.depth[tag] += 1
+            self.titled += titled
+            if block is not None:
+                self.inside.append(block)
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
+        if not self.depth[tag]:
+            return
+        while True:
+            name, block, titles = self.open.pop()
+            self.depth[name] -= 1
+            if block is not None:
+                self.inside.pop()
+            if titles:
+                del self.titled[-titles:]
+            if name == tag:
                 return
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] in ("script", "style"):
             return
-        for _, _, titled in self.open:
-            for b in titled:
-                b["title"] += data
+        for b in self.titled:
+            b["title"] += data
 
 
 def page_blocks(html: str, limit: int = MAX_BLOCKS) -> list[tuple[str, str]]:
     """(title, link) of each candidate block of a page in document order."""
     parser = _Blocks(limit)
-    parser.feed(html or "")
+    html = html or ""
+    # a comment that is never closed reaches to the end; closing it there lets the parser read it once
+    if html.rfind("<!--") > html.rfind("-->"):
+        html += "-->"
+    parser.feed(html)
     parser.close()
     return [(b["title"] or "", b["link"] or "") for b in parser.blocks]
 

@@ -2,7 +2,7 @@
 
 import json
 import os
-from datetime import datetime, timezone
+from datetime import datetime
 
 from helpers import article, at, frame, values
 from pyspark.sql import functions as F
@@ -84,6 +84,11 @@ FLAT = [
      [(9, "T", "https://s.test/t")]),
     ("hidden markup", page("<!-- <article><h1>C</h1><a href='/c'>x</a></article> --><script>'<article>'</script>"), []),
     ("upper case", page("<ARTICLE><H1>U</H1><A HREF='/u'>x</A></ARTICLE>"), [(0, "U", "https://s.test/u")]),
+    ("never closed", "<nav></nav><article><h2>Open</h2><a href='/o'>x</a>", [(0, "Open", "https://s.test/o")]),
+    ("open comment", page("<article><h2>One</h2><a href='/1'>x</a></article><!-- <article>"), [(0, "One", "https://s.test/1")]),
+    ("stray end tags", page("</div></p><article></span><h2>One</h2><a href='/1'>x</a></article>"), [(0, "One", "https://s.test/1")]),
+    ("many openers", "<article>" + "<div>" * 50_000 + "<!--" * 50_000, []),
+    ("many stray ends", "<p>" * 50_000 + "</b>" * 50_000, []),
     ("empty", "", []),
     ("absent", None, []),
 ]
