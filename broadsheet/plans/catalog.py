@@ -646,7 +646,7 @@ def histogram_buckets(spark, d):
 def _to_end(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str | None]:
     """Run a stream over all present input; its table and the time up to which windows are closed."""
     path = scratch_path(spark, name)
-    with settings(spark, state_settings(spark)):
+    with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
         q = stream_windows.write_table(df, f"{path}/rows", f"{path}/checkpoint")
     q.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{path}/rows"), stream_windows.closed_until(q)

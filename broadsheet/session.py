@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -43,18 +42,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf) ->
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that every executor can reach, named by ``spark.checkpoint.dir``.
+    """Folder that the driver and every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent a temporary folder is used, but only in local
-    mode, where driver and executors are one process.
+    Where the setting is absent, a folder in the warehouse, which is shared as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="broadsheet-")
-    spark.sparkContext.setCheckpointDir(root)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return root
 
 
@@ -87,13 +81,13 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def state_settings(spark: SparkSession) -> dict[str, str]:
-    """Settings for a stateful stream: state on local disk, and on one machine one partition per core."""
+def state_settings(partitions: int | None = None) -> dict[str, str]:
+    """Settings for a stateful stream: state in RocksDB, in as many partitions as asked for (else the session's)."""
     values = {
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         )
     }
-    if spark.sparkContext.master.startswith("local"):
-        values["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
+    if partitions:
+        values["spark.sql.shuffle.partitions"] = str(partitions)
     return values

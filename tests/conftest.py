@@ -8,10 +8,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from broadsheet.session import local_session
 
-    session = local_session(4, shuffle_partitions=4)
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(4, shuffle_partitions=4, **{"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 

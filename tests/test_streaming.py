@@ -34,7 +34,7 @@ def stream(spark, folder):
 
 
 def run(spark, df, folder, name="q"):
-    with settings(spark, state_settings(spark)):
+    with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
         q = streams.write_table(df, f"{folder}/{name}", f"{folder}/{name}-checkpoint")
     q.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/{name}"), q
@@ -218,7 +218,7 @@ def test_capped_windows_as_they_close(spark, folder):
         capped.write.mode("overwrite").parquet(sinks.batch_path(f"{folder}/capped", batch_id))
 
     stats = streams.stream_window_stats(stream(spark, folder), spec)
-    with settings(spark, state_settings(spark)):
+    with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
         q = sinks.start(stats, sink, f"{folder}/checkpoint")
     q.awaitTermination()
     until = F.lit(streams.closed_until(q)).cast("timestamp")
