@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import quality
+from broadsheet.llm import quality, simhash
 from broadsheet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,9 @@ select *, not base_failed and not (n_removed_words > 0 and (
          n_words - n_removed_words < 20 or n_words - n_removed_words < 0.5 * n_words)) as kept
 from b
 """
+
+
+@query
+def op10_simhash_groups(spark, d):
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, d, "documents"))
