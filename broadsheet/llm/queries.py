@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import quality, simhash
+from broadsheet.llm import bpe, pseudonyms, quality, simhash
 from broadsheet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+# a key for the checks; real runs pass their own
+PSEUDONYM_KEY = "key of the checks"
+
 
 def query(fn):
     QUERIES[fn.__name__] = fn
@@ -64,3 +68,18 @@ from b
 def op10_simhash_groups(spark, d):
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+@query
+def op7_pair_index_bpe(spark, d):
+    """Every text encoded, and decoded from the ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(table(spark, d, "documents"), path)
+    return bpe.digests(bpe.decode(encoded, path))
+
+
+@query
+def op9_feistel_pseudonyms(spark, d):
+    """Every text with its personal data replaced by pseudonyms of the same form."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count="n_replaced")
