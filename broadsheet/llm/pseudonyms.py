@@ -15,7 +15,7 @@ adding a keyed hash of one coordinate to the other, each modulo its range:
     intl     digits after the country's first two
     ssn      valid areas x (group, serial)
     ipv4     two octets x two octets
-    date     229 x 319 days, the 73,049 days of 1900-01-01 to 2099-12-31
+    date     17 x 4,297 days, the 73,049 days of 1900-01-01 to 2099-12-31
     iban     digits of the account; its check digits are computed anew
     email    digits, lower-case and upper-case letters of the local part
     secret   letters and digits of keys, passwords and tokens
@@ -59,7 +59,7 @@ FORMS = {
 ANY = "|".join(f"(?:{f})" for f in FORMS.values())
 DATES = {"iso_date": "yyyy-MM-dd", "us_date": "MM/dd/yyyy", "eu_date": "dd.MM.yyyy"}
 FIRST_DAY = "1900-01-01"
-DAYS = (229, 319)  # their product is the number of days of 1900 to 2099
+DAYS = (17, 4297)  # their product is the number of days of 1900 to 2099
 
 
 def _long(text: Column) -> Column:

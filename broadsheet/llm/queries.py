@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, pseudonyms, quality, simhash
+from broadsheet.llm import bpe, pseudonyms, quality, simhash, substrings
 from broadsheet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,10 @@ def op9_feistel_pseudonyms(spark, d):
     """Every text with its personal data replaced by pseudonyms of the same form."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count="n_replaced")
+
+
+@query
+def op3_block_anchors(spark, d):
+    """Words left in each document once passages of 20 words that start earlier are removed."""
+    rows = substrings.remove_repeats(table(spark, d, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -43,8 +43,8 @@ def test_known_values(spark):
     d = f"{a + 200}{b + 2_000_000}"
     i, j = moved(20 * 256 + 118, 157 * 256 + 107, 65536, 65536, "ipv4")
     day = (date(1980, 5, 4) - date(1900, 1, 1)).days
-    x, y = moved(day // 319, day % 319, 229, 319, "date")
-    born = date(1900, 1, 1) + timedelta(days=x * 319 + y)
+    x, y = moved(day // 4297, day % 4297, 17, 4297, "date")
+    born = date(1900, 1, 1) + timedelta(days=x * 4297 + y)
     got = swap(spark, ["+1 (726) 555-7857", "at 20.118.157.107.", "born 1980-05-04, 04.05.1980 or 05/04/1980"])
     assert got == [
         f"+1 ({d[:3]}) {d[3:6]}-{d[6:]}", f"at {i // 256}.{i % 256}.{j // 256}.{j % 256}.",
