@@ -43,3 +43,7 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+# fixed: characters that mark a text as markup or code
+SYMBOLS_OF_TOPIC = "#*$%&|<>{}[]=_\\"
