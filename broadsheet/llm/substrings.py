@@ -132,8 +132,9 @@ class Words:
         known, h = Words.known, xxhash.xxh64_intdigest
         hashes = []
         for ws in self.words:
-            for w in set(ws) - known.keys():
-                known[w] = h(w)
+            for w in set(ws):
+                if w not in known:
+                    known[w] = h(w)
             hashes.append(np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)))
         self.hashes = np.concatenate(hashes) if hashes else np.array([], np.uint64)
         sizes = np.array([len(ws) for ws in self.words], np.int64)
