@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm.common import tune
 
-CACHE = 400_000  # chunks a worker remembers before it starts anew
+CACHE = 150_000  # chunks a worker remembers before it starts anew
 
 # fixed: the white space of the file's normaliser
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -273,19 +273,29 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids = b.column(1)
-        flat, offsets = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
-        marks = [hashlib.sha256(flat[i:j].tobytes()).hexdigest() for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
-        texts = [hashlib.sha256(t.encode()).hexdigest() for t in b.column(2).to_pylist()]
-        sizes = pa.array(np.diff(offsets).astype(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), sizes, pa.array(marks, pa.string()), pa.array(texts, pa.string())],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+def _digest_rows(doc_id: pa.Array, ids: list[bytes], texts: list[str]) -> pa.RecordBatch:
+    columns = [
+        doc_id, pa.array([len(i) // 4 for i in ids], pa.int64()),
+        pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Token count and digests of ``doc_id, ids, decoded``."""
-    return decoded.mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def round_trip(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: texts encoded and decoded in one pass.
+
+    One worker per task holds the vocabulary; ids and decoded texts do not travel.
+    """
+    tune(docs.sparkSession)
+    packed = _pack(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(packed)
+        for b in batches:
+            ids = vocabulary.encode(b.column(1).to_pylist())
+            texts = [vocabulary.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]
+            yield _digest_rows(b.column(0), ids, texts)
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

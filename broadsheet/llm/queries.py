@@ -74,8 +74,7 @@ def op10_simhash_groups(spark, d):
 def op7_pair_index_bpe(spark, d):
     """Every text encoded, and decoded from the ids."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.encode(table(spark, d, "documents"), path)
-    return bpe.digests(bpe.decode(encoded, path))
+    return bpe.round_trip(table(spark, d, "documents"), path)
 
 
 @query
@@ -102,8 +101,7 @@ def op10_simhash_groups(spark, d):
 def op7_pair_index_bpe(spark, d):
     """Every text encoded, and decoded from the ids."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.encode(table(spark, d, "documents"), path)
-    return bpe.digests(bpe.decode(encoded, path))
+    return bpe.round_trip(table(spark, d, "documents"), path)
 
 
 @query

@@ -43,7 +43,7 @@ def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.round_trip(docs, path)
 
 
 STAGES = [
