@@ -19,6 +19,16 @@ from broadsheet.session import local_session
 HEADLINE = [
     "top_source_per_window",
     "sliding_window_stats",
+    "tumbling_window_stats",
+    "window_view_flat",
+    "validation_summary",
+    "dropped_per_window",
+    "window_keywords",
+    "emerging_keywords",
+    "window_by_source",
+    "stored_results",
+    "json_store_append",
+    "valid_and_invalid",
     "window_breakdowns",
     "top_keywords",
     "capped_window_stats",

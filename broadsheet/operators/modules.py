@@ -56,8 +56,8 @@ def word_count_distribution(articles: DataFrame, width: int = 100, text: str = "
     return articles.groupBy(bucket.alias("words_from")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def emerging_keys(counts: DataFrame, spec: WindowSpec, kind: str = "keyword", min_count: int = 2) -> DataFrame:
-    """Keys of a window with their share of it, and the change against the window just before.
+def emerging_keys(counts: DataFrame, spec: WindowSpec, kind: str = "keyword") -> DataFrame:
+    """Keys of a window with their share of it and of the window just before, vanished keys included.
 
     The window before is found by an equality join on (key, window), so a key
     present in all windows is spread over as many groups.
@@ -71,16 +71,15 @@ def emerging_keys(counts: DataFrame, spec: WindowSpec, kind: str = "keyword", mi
     earlier = shares.select(
         (F.col("window_start") + step).alias("window_start"), "key", F.col("share").alias("previous_share")
     )
-    return (
-        shares.filter(F.col("n") >= min_count)
-        .join(earlier, ["window_start", "key"], "left")
-        .select(
-            "window_start",
-            "key",
-            "n",
-            "share",
-            F.coalesce("previous_share", F.lit(0.0)).alias("previous_share"),
-        )
+    # a window without articles has no keys that vanished from it
+    earlier = earlier.join(totals.select("window_start"), "window_start", "left_semi")
+    both = shares.join(earlier, ["window_start", "key"], "full")
+    return both.select(
+        "window_start",
+        "key",
+        F.coalesce("n", F.lit(0).cast("long")).alias("n"),
+        F.coalesce("share", F.lit(0.0)).alias("share"),
+        F.coalesce("previous_share", F.lit(0.0)).alias("previous_share"),
     )
 
 
@@ -109,7 +108,7 @@ def sentiment(articles: DataFrame, lexicon: DataFrame, by: list[str], text: str
 
 
 def topics(
-    articles: DataFrame, k: int, text: str = "title", vocabulary: int = 10_000, iterations: int = 10, seed: int = 1
+    articles: DataFrame, k: int, text: str = "title", vocabulary: int = 1 << 18, iterations: int = 10, seed: int = 1
 ) -> tuple[DataFrame, DataFrame]:
     """LDA topics: ``topic, word, weight`` rows, and the articles with their topic shares.
 
@@ -122,7 +121,7 @@ def topics(
     worded = articles.withColumn("_words", keywords(F.col(text)))
     counts = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocabulary).fit(worded)
     rows = counts.transform(worded)
-    lda = LDA(k=k, maxIter=iterations, seed=seed, featuresCol="_counts", topicDistributionCol="_shares")
+    lda = LDA(k=k, maxIter=iterations, seed=seed, subsamplingRate=1.0, featuresCol="_counts", topicDistributionCol="_shares")
     # read once per iteration, so the words are split and counted before
     model = lda.fit(materialise(rows.select("_counts"), "term-counts"))
     names = articles.sparkSession.createDataFrame(list(enumerate(counts.vocabulary)), "i int, word string")

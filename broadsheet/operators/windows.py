@@ -23,10 +23,10 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def lengths(articles: DataFrame, *keep: str) -> DataFrame:
-    """Text lengths in place of the texts, so that no text is shuffled."""
-    return articles.select(
-        *dict.fromkeys((*keep, "ts", "source")),
+def with_lengths(texts: DataFrame) -> DataFrame:
+    """Add the lengths of ``title`` and ``description``; taken before a join, they spare it the texts."""
+    return texts.select(
+        "*",
         text_length(F.col("title"), "chars").alias("title_chars"),
         text_length(F.col("title"), "bytes").alias("title_bytes"),
         text_length(F.col("description"), "chars").alias("desc_chars"),
@@ -34,6 +34,13 @@ def lengths(articles: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def lengths(articles: DataFrame, *keep: str) -> DataFrame:
+    """Text lengths in place of the texts, so that no text is shuffled. Lengths that are there are taken as they are."""
+    if not set(SUMS[1:]) <= set(articles.columns):
+        articles = with_lengths(articles)
+    return articles.select(*dict.fromkeys((*keep, "ts", "source")), *SUMS[1:])
+
+
 def measures() -> list[Column]:
     """Aggregates over rows of ``lengths``."""
     return [_count().alias("n"), *[F.sum(c).alias(c) for c in SUMS[1:]], F.max("ts").alias("last_at")]
@@ -42,9 +49,9 @@ def measures() -> list[Column]:
 def _keys_of(kind: str) -> Column:
     """The keys one article contributes to a breakdown, as an array."""
     return {
-        "source": F.array(F.col("source")),
-        "source_type": F.array(F.col("source_type")),
-        "category": F.col("categories"),
+        "source": F.array_compact(F.array(F.col("source"))),
+        "source_type": F.array_compact(F.array(F.col("source_type"))),
+        "category": F.filter("categories", lambda c: c.isNotNull()),
         "keyword": keywords(F.col("title")),
     }[kind]
 
@@ -58,7 +65,7 @@ def key_rows(articles: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     if len(kinds) == 1:
         kind = kinds[0]
         if kind in ("source", "source_type"):
-            return articles.select("ts", F.lit(kind).alias("kind"), F.col(kind).alias("key"))
+            return articles.filter(F.col(kind).isNotNull()).select("ts", F.lit(kind).alias("kind"), F.col(kind).alias("key"))
         return articles.select("ts", F.lit(kind).alias("kind"), F.explode(_keys_of(kind)).alias("key"))
     tagged = F.concat(*[_tagged(k) for k in kinds])
     return articles.select("ts", F.explode(tagged).alias("_k")).select("ts", "_k.kind", "_k.key")

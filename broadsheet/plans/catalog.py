@@ -80,7 +80,7 @@ def gathered_articles(spark, d):
 
 @query
 def unique_links(spark, d):
-    p = views.text_table(spark, d, "pages").select("page_id", clean_link(F.col("url")).alias("link"))
+    p = views.table(spark, d, "pages").select("page_id", clean_link(F.col("url")).alias("link"))
     return art.unique_links(p, [F.asc("page_id")])
 
 
@@ -265,7 +265,7 @@ def validate_titles(spark, d):
 
 @query
 def validate_links(spark, d):
-    p = views.text_table(spark, d, "pages")
+    p = views.table(spark, d, "pages")
     # every third address is broken in one of two ways
     k = F.col("page_id") % 6
     url = F.when(k == 2, F.concat(F.lit("ftp"), F.col("url"))).when(k == 5, F.concat(F.lit(" "), F.col("url")))
@@ -276,12 +276,12 @@ def validate_links(spark, d):
 
 @query
 def sanitize_pages(spark, d):
-    return views.text_table(spark, d, "pages").select("page_id", sanitize_html(F.col("html")).alias("text"))
+    return views.table(spark, d, "pages").select("page_id", sanitize_html(F.col("html")).alias("text"))
 
 
 @query
 def validate_descriptions(spark, d):
-    p = views.text_table(spark, d, "pages")
+    p = views.table(spark, d, "pages")
     text = validate.clean_description(F.col("html"))
     return p.select("page_id", F.octet_length(text).alias("n_bytes"), validate.description_error(text).alias("error"))
 
@@ -364,8 +364,9 @@ def _history(spark, d):
 def _stored_history(spark, d):
     """The history as a table, for views that read it more than once."""
     path = scratch_path(spark, "history")
-    window_store.store(_history(spark, d), path)
-    return window_store.read_windows(spark, path)
+    rows = _history(spark, d)
+    window_store.store(rows, path)
+    return window_store.read_windows(spark, path, schema=rows.schema)
 
 
 @query
@@ -447,7 +448,7 @@ def _page_columns(df: DataFrame) -> DataFrame:
 
 @query
 def html_articles(spark, d):
-    p = views.text_table(spark, d, "pages")
+    p = views.table(spark, d, "pages")
     return _page_columns(pages.page_articles(p, views.as_of(), ["page_id"], link_fallback="page_url"))
 
 
@@ -455,7 +456,7 @@ def html_articles(spark, d):
 def html_articles_strict(spark, d):
     """Pages whose heading is a relative link, as listing pages have it."""
     linked = F.regexp_replace("html", r"<h1>(.*?)</h1>", r'<h3><a class="x" href="/story?a=1&amp;b=2">$1</a></h3>')
-    p = views.text_table(spark, d, "pages").withColumn("html", linked)
+    p = views.table(spark, d, "pages").withColumn("html", linked)
     return _page_columns(pages.page_articles(p, views.as_of(), ["page_id"]))
 
 
@@ -466,7 +467,7 @@ def html_articles_nested(spark, d):
         F.replace("html", F.lit("<article>"), F.lit('<div class="news-list"><article>')),
         F.lit("</article>"), F.lit("</article></div>"),
     )
-    p = views.text_table(spark, d, "pages").withColumn("html", wrapped)
+    p = views.table(spark, d, "pages").withColumn("html", wrapped)
     rows = pages.page_articles_nested(p, views.as_of(), ["page_id"], link_fallback="page_url")
     return _page_columns(rows)
 
@@ -649,7 +650,8 @@ def _to_end(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, s
     with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
         q = stream_windows.write_table(df, f"{path}/rows", f"{path}/checkpoint")
     q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{path}/rows"), stream_windows.closed_until(q)
+    rows = spark.read.schema(df.schema).parquet(f"{path}/rows")
+    return rows, stream_windows.closed_until(q, rows)
 
 
 def _stream_stats(spark, d, spec, name):
@@ -737,7 +739,7 @@ def emerging_keywords(spark, d):
 @query
 def source_popularity(spark, d):
     counts = windows.window_key_counts(views.articles(spark, d), HOURLY, ("source",))
-    return modules.emerging_keys(counts, HOURLY, kind="source", min_count=1)
+    return modules.emerging_keys(counts, HOURLY, kind="source")
 
 
 @query
@@ -754,5 +756,5 @@ def source_sentiment(spark, d):
 @query
 def title_topics(spark, d):
     """Mean share of each of four title topics per six hours."""
-    _, shares = modules.topics(views.articles(spark, d), 4, vocabulary=500, iterations=3)
+    _, shares = modules.topics(views.articles(spark, d), 4, iterations=3)
     return modules.topic_evolution(shares.select("ts", "topic_shares"), WindowSpec.tumbling(21_600))

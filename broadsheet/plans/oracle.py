@@ -164,8 +164,10 @@ def sql() -> dict[str, str]:
 tot as (select window_start, sum(n) as total from counts where kind = '{kind}' group by all),
 sh as (select counts.window_start, key, n, n / total as share from counts join tot using (window_start)
   where kind = '{kind}')
-select s.window_start, s.key, s.n, s.share, coalesce(p.share, 0e0) as previous_share
-from sh s left join sh p on p.key = s.key and p.window_start + interval 1 hour = s.window_start where s.n >= {n}"""
+select coalesce(s.window_start, p.window_start + interval 1 hour) as window_start, coalesce(s.key, p.key) as key,
+  coalesce(s.n, 0)::bigint as n, coalesce(s.share, 0e0) as share, coalesce(p.share, 0e0) as previous_share
+from sh s full join sh p on p.key = s.key and p.window_start + interval 1 hour = s.window_start
+where s.key is not null or p.window_start + interval 1 hour in (select window_start from tot)"""
     rss = """select source, regexp_replace(title, '^\\s+|\\s+$', '', 'g') as title, link,
     length(regexp_replace(description, '^\\s+|\\s+$', '', 'g')) as desc_chars,
     {authors} as authors, {categories} as categories, date_trunc('second', ts) as published_time,
@@ -326,13 +328,13 @@ from sh s left join sh p on p.key = s.key and p.window_start + interval 1 hour =
         "atom_articles": with_(A) + rss.format(authors="source_type", categories="lang"),
         "decode_messages": with_(A) + """select 'news-articles' as topic, (doc_id % 4)::int as partition,
             doc_id as offset, source, title, link, lang || ',' || event_type as categories,
-            date_trunc('millisecond', ts) as scraped_at from a where doc_id % 10 <> 3""",
+            ts as scraped_at from a where doc_id % 10 <> 3""",
         "dead_letters": with_(A) + """select (doc_id % 4)::int as partition, doc_id as offset from a
             where doc_id % 10 = 3""",
         "kafka_rows": with_(A) + """select 'news-articles' as topic, source as key, 'source=' || source as header_1,
             'source_type=' || source_type as header_2, link, title, event_type as category from a""",
         "json_store_append": with_(A) + """select source, title, link, lang || ',' || event_type as categories,
-            date_trunc('millisecond', ts) as scraped_at from a, range(2)""",
+            ts as scraped_at from a, range(2)""",
         "active_workers": f"""select 'w' || user_id as id, max(ts) as last_heartbeat,
             max_by(event_type, (ts, event_type)) as status from events group by user_id
             having epoch_us((select max(ts) from events)) - epoch_us(max(ts)) < {2 * LIMIT_S}000000""",
@@ -374,7 +376,7 @@ from sh s left join sh p on p.key = s.key and p.window_start + interval 1 hour =
         "word_count_distribution": with_(A, """w as (select
             len(regexp_extract_all(description, '\\S+')) as n from a)""") + """
             select n // 100 * 100 as words_from, count(*) as n from w group by 1""",
-        "emerging_keywords": with_(A, HOURLY, KEYS, COUNTS).rstrip() + emerging.format(kind="keyword", n=2),
+        "emerging_keywords": with_(A, HOURLY, KEYS, COUNTS).rstrip() + emerging.format(kind="keyword"),
         "source_sentiment": with_(A, """aw as (select doc_id, source,
               unnest(regexp_extract_all(lower(title), '\\S+')) as word from a)""", """lex as (select word,
               case when sum(quality * 2 - 1) > 0 then 1e0 else -1e0 end as weight
@@ -383,5 +385,5 @@ from sh s left join sh p on p.key = s.key and p.window_start + interval 1 hour =
               coalesce(any_value(s.score), 0e0) / count(*) as mean_sentiment
             from a left join (select source, count(*) as n, sum(weight) as score from aw join lex using (word)
               group by source) s using (source) group by a.source""",
-        "source_popularity": with_(A, HOURLY, KEYS, COUNTS).rstrip() + emerging.format(kind="source", n=1),
+        "source_popularity": with_(A, HOURLY, KEYS, COUNTS).rstrip() + emerging.format(kind="source"),
     }

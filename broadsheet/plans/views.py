@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from broadsheet.operators import windows
 from broadsheet.session import prepare
 
 EVENTS = T.StructType(
@@ -27,13 +28,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts; one stored in fewer splits than cores is dealt out to all of them."""
-    df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
@@ -60,32 +54,39 @@ def published_text(doc_id: Column, ts: Column) -> Column:
     return text
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with their title and text lengths, so that the join carries the text only where a query needs it."""
+    title = F.split_part("text", F.lit("\n"), F.lit(1))
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", title.alias("title"), F.col("text").alias("description"))
+    return windows.with_lengths(docs)
+
+
 def _as_articles(docs: DataFrame, events: DataFrame) -> DataFrame:
     rows = events.join(docs, F.col("event_id") == F.col("doc_id")).withColumn("ts", F.col("ts").cast("timestamp"))
     return rows.select(
         "doc_id",
         "source",
         F.when(F.col("doc_id") % 4 == 3, "html").otherwise("rss").alias("source_type"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        "title",
         F.concat(F.lit("https://news.example.com/a/"), F.col("doc_id")).alias("link"),
-        F.col("text").alias("description"),
+        "description",
         published_text(F.col("doc_id"), F.col("ts")).alias("published"),
         F.array("lang", "event_type").alias("categories"),
         F.col("ts").alias("scraped_at"),
         "ts",
+        *windows.SUMS[1:],
     )
 
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
     """One article per document, scraped when its event happened."""
-    docs = text_table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     events = table(spark, folder, "events").select("event_id", "ts", "event_type")
-    return _as_articles(docs, events)
+    return _as_articles(_documents(spark, folder), events)
 
 
 def article_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same articles, with the events arriving as a stream."""
-    docs = text_table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    docs = _documents(spark, folder)
     # as a pattern the path may be one file or a folder of part files
     events = prepare(spark).readStream.schema(EVENTS).parquet(f"{folder}/events.parque[t]")
     return _as_articles(docs, events.select("event_id", "ts", "event_type"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.barrier import compute_once
 from broadsheet.operators.articles import from_wire
-from broadsheet.schema import ARTICLE_WIRE
+from broadsheet.schema import ARTICLE_WIRE, MICROSECONDS
 
 # Names used between producers and consumers.
 TOPIC = "news-articles"
@@ -69,7 +69,7 @@ def to_messages(articles: DataFrame, topic: str = TOPIC, beside: tuple[str, ...]
     return articles.select(
         F.lit(topic).alias("topic"),
         F.col("source").cast("binary").alias("key"),
-        F.to_json(F.struct(*fields)).cast("binary").alias("value"),
+        F.to_json(F.struct(*fields), {"timestampFormat": MICROSECONDS}).cast("binary").alias("value"),
         F.array(header("source"), header("source_type")).alias("headers"),
         *beside,
     )

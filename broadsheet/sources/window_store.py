@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ANALYSIS_TYPE = "sliding_window"
 
@@ -21,17 +22,31 @@ def to_results(view: DataFrame, created_at: Column, analysis_type: str = ANALYSI
     )
 
 
-def store(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Write window rows in one folder per day."""
+def store(df: DataFrame, path: str) -> None:
+    """Write window rows in one folder per day, replacing the days that ``df`` holds.
+
+    Storing the same windows again leaves the table as it is. Rows are brought together by day first.
+    """
     dated = df.withColumn("day", F.to_date("window_start"))
-    dated.write.mode(mode).partitionBy("day").parquet(path)
+    writer = dated.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day").parquet(path)
 
 
 def read_windows(
-    spark: SparkSession, path: str, start: Column | None = None, end: Column | None = None
+    spark: SparkSession,
+    path: str,
+    start: Column | None = None,
+    end: Column | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Stored windows within an optional range; other days' folders are not opened."""
-    rows = spark.read.parquet(path)
+    """Stored windows within an optional range; other days' folders are not opened.
+
+    With the schema of the rows given, a store without any rows can be read as well.
+    """
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())]))
+    rows = reader.parquet(path)
     if start is not None:
         rows = rows.filter((F.col("window_start") >= start) & (F.col("day") >= F.to_date(start)))
     if end is not None:

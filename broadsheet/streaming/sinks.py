@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from broadsheet.config import StreamSpec
 
@@ -72,7 +72,7 @@ def delivery(
     send: Callable[[dict], None] | None = None,
     backup: bool = True,
 ) -> BatchFn:
-    """Publish a batch as a whole, else row by row; store it when nothing was delivered or as a backup.
+    """Publish a batch as a whole, else row by row; store what was refused, or all of it as a backup.
 
     Outcomes of row-by-row sending are written before they are counted, so
     counting does not send again.
@@ -83,20 +83,24 @@ def delivery(
         try:
             if batch.isEmpty():
                 return
-            delivered = False
+            refused = batch
             if publish is not None:
                 try:
                     publish(batch)
-                    delivered = True
+                    refused = None
                 except Exception as e:
                     log.warning("batch %s was refused: %s", batch_id, e)
                     if send is not None:
                         path = batch_path(outcomes, batch_id)
                         publish_each(batch, send).write.mode("overwrite").parquet(path)
                         sent = batch.sparkSession.read.parquet(path)
-                        delivered = not sent.filter("delivered").isEmpty()
-            if backup or not delivered:
+                        links = sent.filter("not delivered").select(F.col("link").alias("_link")).distinct()
+                        # a link sent twice with one refusal is kept whole: nothing refused is lost
+                        refused = batch.join(links, F.col("link").eqNullSafe(F.col("_link")), "left_semi")
+            if backup:
                 store(batch, batch_id)
+            elif refused is not None and not refused.isEmpty():
+                store(refused, batch_id)
         finally:
             batch.unpersist()
 
@@ -140,17 +144,59 @@ def start(df: DataFrame, sink: BatchFn, checkpoint: str, stream: StreamSpec = St
     )
 
 
+def _add(total: dict[str, dict[str, int]], p: dict) -> None:
+    total["query"]["batches"] += 1
+    total["query"]["input_rows"] += p["numInputRows"]
+    for op in p["stateOperators"]:
+        total["query"]["dropped_late"] += op["numRowsDroppedByWatermark"]
+    for name, row in p["observedMetrics"].items():
+        into = total.setdefault(name, {})
+        values = row.asDict() if hasattr(row, "asDict") else dict(row)
+        for k, v in values.items():
+            into[k] = into.get(k, 0) + (v or 0)
+
+
+def _zero() -> dict[str, dict[str, int]]:
+    return {"query": {"batches": 0, "input_rows": 0, "dropped_late": 0}}
+
+
 def counters(query: StreamingQuery) -> dict[str, dict[str, int]]:
-    """Sums of the observed counters and of rows in and dropped, over the recent batches."""
-    total: dict[str, dict[str, int]] = {"query": {"batches": 0, "input_rows": 0, "dropped_late": 0}}
+    """Sums of the observed counters and of rows in and dropped, over the batches the query still remembers.
+
+    A query forgets all but its last progress reports; ``Totals`` counts every batch.
+    """
+    total = _zero()
     for p in query.recentProgress:
-        total["query"]["batches"] += 1
-        total["query"]["input_rows"] += p["numInputRows"]
-        for op in p["stateOperators"]:
-            total["query"]["dropped_late"] += op["numRowsDroppedByWatermark"]
-        for name, row in p["observedMetrics"].items():
-            into = total.setdefault(name, {})
-            values = row.asDict() if hasattr(row, "asDict") else dict(row)
-            for k, v in values.items():
-                into[k] = into.get(k, 0) + (v or 0)
+        _add(total, p)
     return total
+
+
+class Totals(StreamingQueryListener):
+    """Counters over all batches of every query that runs while this listens.
+
+    ``spark.streams.addListener(totals)`` before the query starts; then ``totals.of(query)``.
+    """
+
+    def __init__(self) -> None:
+        self.totals: dict[str, dict[str, dict[str, int]]] = {}
+
+    def of(self, query: StreamingQuery) -> dict[str, dict[str, int]]:
+        return self.totals.get(str(query.id), _zero())
+
+    def onQueryStarted(self, event) -> None:
+        self.totals.setdefault(str(event.id), _zero())
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        report = {
+            "numInputRows": p.numInputRows,
+            "stateOperators": [{"numRowsDroppedByWatermark": s.numRowsDroppedByWatermark} for s in p.stateOperators],
+            "observedMetrics": p.observedMetrics,
+        }
+        _add(self.totals.setdefault(str(p.id), _zero()), report)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

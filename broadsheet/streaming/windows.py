@@ -81,13 +81,19 @@ def write_table(df: DataFrame, path: str, checkpoint: str, stream: StreamSpec =
     )
 
 
-def closed_until(query: StreamingQuery) -> str | None:
-    """Watermark of the last batch: windows ending by then have been emitted."""
-    for progress in reversed(query.recentProgress):
-        mark = progress.get("eventTime", {}).get("watermark")
-        if mark:
-            return mark
-    return None
+def closed_until(query: StreamingQuery, emitted: DataFrame | None = None) -> str | None:
+    """The time up to which windows have been emitted: the watermark of the last batch.
+
+    A run without new input has no watermark to tell. With the table of ``emitted`` windows the answer
+    is never earlier than their latest end; None means that nothing was emitted yet.
+    """
+    marks = [p.get("eventTime", {}).get("watermark") for p in query.recentProgress]
+    until = max((m for m in marks if m), default=None)
+    if emitted is not None and "window_end" in emitted.columns:
+        end = F.date_format(F.max("window_end"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        stored = emitted.agg(end).first()[0]
+        until = max((m for m in (until, stored) if m), default=None)
+    return until
 
 
 def finalize(articles: DataFrame, spec: WindowSpec, closed: str | None) -> DataFrame:

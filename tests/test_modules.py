@@ -31,9 +31,9 @@ def test_emerging_keys(spark):
     spec = WindowSpec.tumbling(60)
     rows = [article(1, 0, title="aaaa bbbb"), article(2, 60, title="aaaa cccc cccc cccc"), article(3, 180, title="aaaa aaaa")]
     counts = windows.window_key_counts(frame(spark, rows), spec, ("keyword",))
-    got = values(modules.emerging_keys(counts, spec, min_count=1), "window_start", "key", "share", "previous_share")
+    got = values(modules.emerging_keys(counts, spec), "window_start", "key", "share", "previous_share")
     assert got == [
-        (at(0), "aaaa", 0.5, 0.0), (at(0), "bbbb", 0.5, 0.0), (at(60), "aaaa", 0.25, 0.5), (at(60), "cccc", 0.75, 0.0),
+        (at(0), "aaaa", 0.5, 0.0), (at(0), "bbbb", 0.5, 0.0), (at(60), "aaaa", 0.25, 0.5), (at(60), "bbbb", 0.0, 0.5), (at(60), "cccc", 0.75, 0.0),
         (at(180), "aaaa", 1.0, 0.0),
     ]
 

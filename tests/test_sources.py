@@ -243,3 +243,31 @@ def test_run_files(spark, folder):
     run_files.write_run_file(loaded, runs.run_summary(loaded), f"{folder}/out", "go", "20240101")
     again = run_files.latest_run_files(spark, f"{folder}/out/*")
     assert values(run_files.summaries_of(again), "scraper", "avg_execution_time") == [("go", 2.0)]
+
+
+def test_store_twice_and_empty(spark, folder):
+    from broadsheet.config import WindowSpec
+    from broadsheet.operators import windows as win
+
+    stats = win.window_stats(frame(spark, [article(i, i * 50_000) for i in range(6)]), WindowSpec.tumbling(3600))
+    for _ in range(2):
+        window_store.store(stats, f"{folder}/twice")
+    assert window_store.read_windows(spark, f"{folder}/twice").count() == stats.count()
+    window_store.store(stats.limit(0), f"{folder}/none")
+    assert window_store.read_windows(spark, f"{folder}/none", schema=stats.schema).count() == 0
+
+
+def test_json_keeps_microseconds(spark, folder):
+    df = frame(spark, [article(1, 0.123456)]).drop("doc_id").withColumnRenamed("ts", "scraped_at")
+    json_store.append_articles(df, f"{folder}/micro")
+    good, _ = json_store.read_articles(spark, f"{folder}/micro", arrays=False)
+    assert good.first()["scraped_at"].microsecond == 123456
+
+
+def test_null_keys_leave_the_view_alone(spark):
+    from broadsheet.config import WindowSpec
+    from broadsheet.operators import windows as win
+
+    rows = [article(1, 0, categories=["x", None]), article(2, 1, source=None)]
+    view = win.window_view(frame(spark, rows), WindowSpec.tumbling(60), rounded=False).collect()
+    assert len(view) == 1 and view[0]["total_articles"] == 2
