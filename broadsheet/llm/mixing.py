@@ -46,7 +46,7 @@ class Mix:
     temperatures: dict[str, float] = field(default_factory=dict)
     share: float = 0.5
     seed: str = "mix"
-    tolerance: float = 1e-9
+    tolerance: float = 1e-7
     max_rounds: int = 100
 
 

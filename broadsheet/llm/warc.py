@@ -109,8 +109,13 @@ class Package:
         """Offset, size and number of entries of the central directory."""
         tail_at = max(0, self.size - 65_536 - struct.calcsize(END_FORM))
         tail = self.range(tail_at, self.size - tail_at)
+        size = struct.calcsize(END_FORM)
+
+        def ends_file(at: int) -> bool:
+            return at + size <= len(tail) and at + size + struct.unpack_from("<H", tail, at + size - 2)[0] == len(tail)
+
         at = tail.rfind(END)
-        while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+        while at >= 0 and not ends_file(at):
             at = tail.rfind(END, 0, at)  # the signature also occurs in a comment
         if at < 0:
             raise ValueError("no end of a central directory")
