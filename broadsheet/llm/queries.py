@@ -91,40 +91,6 @@ def op3_block_anchors(spark, d):
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query
-def op10_simhash_groups(spark, d):
-    """Fingerprint and near-duplicate component of every document."""
-    return simhash.near_duplicates(table(spark, d, "documents"))
-
-
-@query
-def op7_pair_index_bpe(spark, d):
-    """Every text encoded, and decoded from the ids."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.round_trip(table(spark, d, "documents"), path)
-
-
-@query
-def op9_feistel_pseudonyms(spark, d):
-    """Every text with its personal data replaced by pseudonyms of the same form."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count="n_replaced")
-
-
-@query
-def op3_block_anchors(spark, d):
-    """Words left in each document once passages of 20 words that start earlier are removed."""
-    rows = substrings.remove_repeats(table(spark, d, "documents"))
-    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-
-
-# target shares of the checks: a language mix, sources evened out, topics alike
-MIX = mixing.Mix(
-    targets={"lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}},
-    temperatures={"source": 0.5, "topic": 0.7},
-)
-
-
 @query
 def op1_raked_mixture(spark, d):
     """Calibrated inclusion probability and fate of every document."""
