@@ -468,8 +468,25 @@ def html_articles_nested(spark, d):
         F.lit("</article>"), F.lit("</article></div>"),
     )
     p = views.table(spark, d, "pages").withColumn("html", wrapped)
-    rows = pages.page_articles_nested(p, views.as_of(), ["page_id"], link_fallback="page_url")
-    return _page_columns(rows)
+    return _page_columns(pages.page_articles(p, views.as_of(), ["page_id"], link_fallback="page_url"))
+
+
+@query
+def html_articles_promo(spark, d):
+    """Pages that open with one to twelve promo blocks around inner blocks; ten blocks of a page count."""
+    n = (F.col("page_id") % 12 + 1).cast("int")
+
+    def block(k):
+        return F.concat(
+            F.lit("<div class=gs-c-promo><div class=img><img src=x></div><h3>Caf&eacute; "), k.cast("string"),
+            F.lit(" &#8212; "), F.col("page_id").cast("string"), F.lit("</h3><a href=/p/"), k.cast("string"),
+            F.lit(">more</a></div>"),
+        )
+
+    opening = F.array_join(F.transform(F.sequence(F.lit(1), n), block), "")
+    p = views.table(spark, d, "pages")
+    p = p.withColumn("html", F.concat(opening, F.coalesce("html", F.lit(""))))
+    return _page_columns(pages.page_articles(p, views.as_of(), ["page_id"], link_fallback="page_url"))
 
 
 def _xml(c) -> F.Column:

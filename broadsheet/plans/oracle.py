@@ -322,6 +322,11 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
             from pages where {PAGE_TITLE} <> ''""",
         "html_articles_nested": f"""select page_id, k::int as pos, {PAGE_TITLE} as title, url as link,
             'html' as source_type from pages, range(2) t(k) where {PAGE_TITLE} <> ''""",
+        "html_articles_promo": f"""with n as (select *, page_id % 12 + 1 as n from pages)
+            select page_id, (k - 1)::int as pos, 'Café ' || k || ' — ' || page_id as title,
+              regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/p/' || k as link, 'html' as source_type
+            from n, range(1, 11) t(k) where k <= n
+            union all select page_id, n::int, {PAGE_TITLE}, url, 'html' from n where n < 10 and {PAGE_TITLE} <> ''""",
         "rss_articles": with_(A) + rss.format(
             authors="source_type || ',desk'", categories="lang || ',' || event_type")
             + " union all select source, 'more', link || '/more', 0, '', '', null, 'rss' from a",

@@ -2,7 +2,9 @@
 
 A page offers candidate blocks: ``article`` elements and ``div`` elements whose
 class names them promo or news. The first heading of a block is the title, its
-first anchor the link; blocks without either are skipped.
+first anchor the link; blocks without either are skipped. Where an element ends
+depends on the elements inside it, which no pattern can tell, so pages are
+parsed, in Arrow batches and without a shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.html import strip_tags
 from broadsheet.functions.text import unicode_trim
 from broadsheet.functions.urls import absolute_link
 
@@ -27,87 +28,8 @@ BLOCK_CLASSES = ("promo", "news")
 TITLE_TAGS = ("h1", "h2", "h3", "h4")
 TITLE_CLASS = "heading"
 
-# An element that is never closed reaches to the end of the page, so each pattern scans a page once.
-_HIDDEN = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<script\b[^>]*+(?:>.*?(?:</script\s*>|\z)|\z)"
-    r"|<style\b[^>]*+(?:>.*?(?:</style\s*>|\z)|\z)"
-)
-_BLOCK = (
-    r"(?s)<(?i:article)\b[^>]*>.*?(?:</(?i:article)\s*>|\z)"
-    r"|<(?i:div)\b[^>]*\s(?i:class)\s*=\s*[\"'][^\"']*(?:promo|news)[^\"']*[\"'][^>]*>.*?(?:</(?i:div)\s*>|\z)"
-)
-_TITLE = (
-    r"(?is)<h[1-4]\b[^>]*>.*?(?:</h[1-4]\s*>|\z)"
-    r"|<a\b[^>]*\sclass\s*=\s*[\"'][^\"']*heading[^\"']*[\"'][^>]*>.*?(?:</a\s*>|\z)"
-)
-_ANCHOR = r"(?i)<a(?:\s[^>]*)?>"
-_HREF = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-# as in browsers, these entities also count without their semicolon
-_ENTITIES = [
-    ("&lt;?", "<"),
-    ("&gt;?", ">"),
-    ("&quot;?", '"'),
-    ("&#39;?", "'"),
-    ("&nbsp;?", "\u00a0"),
-    ("&amp;?", "&"),
-]
-
-
-def _text(c: Column) -> Column:
-    c = strip_tags(c)
-    for entity, char in _ENTITIES:
-        c = F.regexp_replace(c, entity, char)
-    return c
-
-
-def _href(block: Column) -> Column:
-    tag = F.regexp_extract(block, _ANCHOR, 0)
-    value = F.concat(*[F.regexp_extract(tag, _HREF, i) for i in (1, 2, 3)])
-    return F.replace(value, F.lit("&amp;"), F.lit("&"))
-
-
-def _finish(
-    rows: DataFrame, keep: list[str], scraped_at: Column, url: str, link_fallback: str | None
-) -> DataFrame:
-    link = F.col("_link")
-    if link_fallback == "page_url":
-        link = F.when(link == "", F.col(url)).otherwise(link)
-    rows = rows.withColumn("_link", link).filter((F.col("_title") != "") & (F.col("_link") != ""))
-    return rows.select(
-        *keep,
-        "pos",
-        F.lit("html").alias("source_type"),
-        unicode_trim(F.col("_title")).alias("title"),
-        absolute_link(F.col("_link"), F.col(url)).alias("link"),
-        F.lit("").alias("description"),
-        F.lit("").alias("published"),
-        scraped_at.alias("scraped_at"),
-    )
-
-
-def page_articles(
-    pages: DataFrame,
-    scraped_at: Column,
-    keep: list[str] | None = None,
-    url: str = "url",
-    html: str = "html",
-    max_blocks: int = MAX_BLOCKS,
-    link_fallback: str | None = None,
-) -> DataFrame:
-    """Articles of pages whose candidate blocks do not nest, with native expressions.
-
-    The first ``max_blocks`` blocks of a page count, whether or not they yield an
-    article. ``link_fallback="page_url"`` gives a block without an anchor the
-    address of its page.
-    """
-    keep = keep or [url]
-    visible = F.regexp_replace(F.col(html), _HIDDEN, "")
-    blocks = F.slice(F.regexp_extract_all(visible, F.lit(_BLOCK), F.lit(0)), 1, max_blocks)
-    columns = list(dict.fromkeys([*keep, url]))
-    rows = pages.select(*columns, F.posexplode(blocks).alias("pos", "_block"))
-    rows = rows.withColumns({"_title": _text(F.regexp_extract("_block", _TITLE, 0)), "_link": _href(F.col("_block"))})
-    return _finish(rows, keep, scraped_at, url, link_fallback)
+# pages without any such element hold no candidate and are not parsed
+_ANY_BLOCK = r"(?i)<(?:article|div)"
 
 
 class _Blocks(HTMLParser):
@@ -185,7 +107,7 @@ def page_blocks(html: str, limit: int = MAX_BLOCKS) -> list[tuple[str, str]]:
     return [(b["title"] or "", b["link"] or "") for b in parser.blocks]
 
 
-def page_articles_nested(
+def page_articles(
     pages: DataFrame,
     scraped_at: Column,
     keep: list[str] | None = None,
@@ -194,7 +116,12 @@ def page_articles_nested(
     max_blocks: int = MAX_BLOCKS,
     link_fallback: str | None = None,
 ) -> DataFrame:
-    """As ``page_articles`` for pages whose blocks may nest; pages go to Python in Arrow batches."""
+    """Articles of pages, from candidate blocks that may nest and hold other elements.
+
+    The first ``max_blocks`` blocks of a page count, whether or not they yield an
+    article. ``link_fallback="page_url"`` gives a block without an anchor the
+    address of its page. A null page has no blocks.
+    """
     keep = keep or [url]
     columns = list(dict.fromkeys([*keep, url]))
 
@@ -210,5 +137,19 @@ def page_articles_nested(
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*columns).schema]
     schema = ", ".join([*fields, "pos int", "_title string", "_link string"])
-    rows = pages.select(*columns, html).mapInPandas(extract, schema)
-    return _finish(rows, keep, scraped_at, url, link_fallback)
+    likely = pages.filter(F.col(html).rlike(_ANY_BLOCK))
+    rows = likely.select(*dict.fromkeys([*columns, html])).mapInPandas(extract, schema)
+    link = F.col("_link")
+    if link_fallback == "page_url":
+        link = F.when(link == "", F.col(url)).otherwise(link)
+    rows = rows.withColumn("_link", link).filter((F.col("_title") != "") & (F.col("_link") != ""))
+    return rows.select(
+        *keep,
+        "pos",
+        F.lit("html").alias("source_type"),
+        unicode_trim(F.col("_title")).alias("title"),
+        absolute_link(F.col("_link"), F.col(url)).alias("link"),
+        F.lit("").alias("description"),
+        F.lit("").alias("published"),
+        scraped_at.alias("scraped_at"),
+    )

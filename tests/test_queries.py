@@ -39,7 +39,7 @@ def plan(spark, name):
     return catalog.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
-PYTHON = {"html_articles_nested", "stream_count_windows"}
+PYTHON = {"html_articles", "html_articles_strict", "html_articles_nested", "html_articles_promo", "stream_count_windows"}
 STREAMS = {n for n in NAMES if n.startswith("stream_")}
 
 

@@ -97,6 +97,8 @@ NESTED = [
      [(0, "In", "https://s.test/in"), (1, "In", "https://s.test/in")]),
     ("div in div", page("<div class='promo'><div><span>s</span></div><h3>Far</h3><a href='/far'>x</a></div><h3>Out</h3>"),
      [(0, "Far", "https://s.test/far")]),
+    ("image block, bare class", page("<div class=gs-promo><div class=img>i</div><h3>Caf&eacute; &#8212; x</h3><a href=/s>t</a></div>"),
+     [(0, "Café — x", "https://s.test/s")]),
     ("void and unclosed", page("<article><img src=x><p>a<p>b<h2>T<br>U</h2><a href='/x'>x</a></article>"), [(0, "TU", "https://s.test/x")]),
 ]
 
@@ -109,23 +111,15 @@ def found(df):
 
 
 def test_pages(spark):
-    cases = FLAT
+    cases = FLAT + NESTED
     df = spark.createDataFrame([(n, "https://s.test/list?x", h) for n, h, _ in cases], "name string, url string, html string")
-    want = {n: w for n, _, w in cases if w}
-    assert found(pages.page_articles(df, fetched(), ["name"])) == want
-    assert found(pages.page_articles_nested(df, fetched(), ["name"])) == want
-
-
-def test_nested_pages(spark):
-    df = spark.createDataFrame([(n, "https://s.test/list?x", h) for n, h, _ in NESTED], "name string, url string, html string")
-    assert found(pages.page_articles_nested(df, fetched(), ["name"])) == {n: w for n, _, w in NESTED}
+    assert found(pages.page_articles(df, fetched(), ["name"])) == {n: w for n, _, w in cases if w}
 
 
 def test_page_link_fallback(spark):
     df = spark.createDataFrame([("p", "https://s.test/a", page("<article><h2>One</h2></article>"))], "name string, url string, html string")
-    for extract in (pages.page_articles, pages.page_articles_nested):
-        row = extract(df, fetched(), ["name"], link_fallback="page_url").first()
-        assert (row.title, row.link, row.source_type, row.description) == ("One", "https://s.test/a", "html", "")
+    row = pages.page_articles(df, fetched(), ["name"], link_fallback="page_url").first()
+    assert (row.title, row.link, row.source_type, row.description) == ("One", "https://s.test/a", "html", "")
 
 
 GO = {"source": "North", "source_type": "rss", "title": "T", "link": "https://l/1", "description": "D",
