@@ -40,8 +40,8 @@ def count_windows(
     rows = articles.select(
         *keys,
         F.unix_micros("ts").alias("us"),
-        length("title").cast("long").alias("title"),
-        length("description").cast("long").alias("description"),
+        F.coalesce(length("title").cast("long"), F.lit(0)).alias("title"),
+        F.coalesce(length("description").cast("long"), F.lit(0)).alias("description"),
     )
     key_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
     columns = [c.strip().split(" ")[0].strip("`") for c in f"{key_types}, {_OUT}".split(",")]
@@ -49,7 +49,8 @@ def count_windows(
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         number, *held = state.get if state.exists else (0, *_EMPTY)
         if state.hasTimedOut:
-            state.remove()
+            # the number is kept, so that later windows of the key do not repeat it
+            state.update((number + (held[0] > 0), *_EMPTY))
             if held[0]:
                 yield pd.DataFrame([_row(key, number, *held, size)], columns=columns)
             return

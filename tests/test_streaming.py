@@ -109,6 +109,13 @@ def test_count_windows_in_order_equal_the_batch(spark, folder):
     assert values(closed, *columns) == values(batch, *columns)
 
 
+def test_count_windows_read_null_texts_as_empty(spark, folder):
+    rows = [article(i, i, source="a", title=None if i % 2 else "abc") for i in range(8)]
+    write_files(spark, folder, [rows[:3], rows[3:]])
+    closed, _ = run(spark, counting.count_windows(stream(spark, folder), 4, ["source"]), folder)
+    assert values(closed, "window_no", "avg_title_length") == [(0, 1.5), (1, 1.5)]
+
+
 def test_unique_links_on_a_stream(spark, folder):
     rows = [article(i, i, link=f"l{i % 4}") for i in range(40)]
     write_files(spark, folder, [rows[:20], rows[20:]])
