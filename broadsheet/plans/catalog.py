@@ -540,7 +540,7 @@ def atom_articles(spark, d):
 
 def _messages(spark, d):
     """Messages as a broker hands them out, every tenth one cut short."""
-    a = views.articles(spark, d).drop("ts").withColumnRenamed("doc_id", "offset")
+    a = views.articles(spark, d).drop("ts", "text_id").withColumnRenamed("doc_id", "offset")
     rows = messages.to_messages(a, beside=("offset",))
     text = F.col("value").cast("string")
     broken = F.when(F.col("offset") % 10 == 3, F.left(text, F.length(text) - 5)).otherwise(text)
@@ -568,7 +568,7 @@ def dead_letters(spark, d):
 @query
 def kafka_rows(spark, d):
     a = views.articles(spark, d)
-    rows = messages.to_messages(a.drop("ts"))
+    rows = messages.to_messages(a.drop("ts", "text_id"))
     value = F.col("value").cast("string")
     header = lambda i: F.concat_ws("=", F.col("headers")[i]["key"], F.col("headers")[i]["value"].cast("string"))
     return rows.select(
@@ -581,7 +581,7 @@ def kafka_rows(spark, d):
 @query
 def json_store_append(spark, d):
     """Articles appended twice to a JSON store and read back, duplicates kept."""
-    a = views.articles(spark, d).drop("ts", "doc_id")
+    a = views.articles(spark, d).drop("ts", "doc_id", "text_id")
     path = scratch_path(spark, "articles")
     json_store.append_articles(a, path)
     json_store.append_articles(a, path)
@@ -763,8 +763,8 @@ def source_popularity(spark, d):
 def source_sentiment(spark, d):
     """Sentiment per source, with words of good and of poor documents as the lexicon."""
     a = views.articles(spark, d)
-    marks = views.table(spark, d, "labels")
-    marked = a.join(marks, "doc_id").select(F.explode(words(F.col("title"))).alias("word"), "quality")
+    marks = views.table(spark, d, "labels").select(F.col("doc_id").alias("text_id"), "quality")
+    marked = a.join(marks, "text_id").select(F.explode(words(F.col("title"))).alias("word"), "quality")
     weight = F.when(F.sum(F.col("quality") * 2 - 1) > 0, 1.0).otherwise(-1.0)
     lexicon = marked.groupBy("word").agg(weight.alias("weight"))
     return modules.sentiment(a, lexicon, ["source"])

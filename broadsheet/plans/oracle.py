@@ -22,13 +22,13 @@ PUBLISHED = """case {id} % 10
     when 9 then '2031' || strftime({ts}, '-%m-%dT%H:%M:%SZ') end"""
 
 A = f"""a as (
-  select d.doc_id, d.source, case when d.doc_id % 4 = 3 then 'html' else 'rss' end as source_type,
-    split_part(d.text, chr(10), 1) as title, 'https://news.example.com/a/' || d.doc_id as link,
-    d.text as description, {PUBLISHED.format(id='d.doc_id', ts='e.ts')} as published,
+  select e.event_id as doc_id, d.doc_id as text_id, d.source, case when e.event_id % 4 = 3 then 'html' else 'rss' end as source_type,
+    split_part(d.text, chr(10), 1) as title, 'https://news.example.com/a/' || e.event_id as link,
+    d.text as description, {PUBLISHED.format(id='e.event_id', ts='e.ts')} as published,
     d.lang, e.event_type, [d.lang, e.event_type] as categories, e.ts,
     strlen(split_part(d.text, chr(10), 1)) as tb, length(split_part(d.text, chr(10), 1)) as tc,
     strlen(d.text) as db, length(d.text) as dc
-  from documents d join events e on e.event_id = d.doc_id)"""
+  from documents d join events e on e.event_id % (select count(*) from documents) = d.doc_id)"""
 
 
 def members(size: int, slide: int, name: str = "m") -> str:
@@ -382,10 +382,10 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
             len(regexp_extract_all(description, '\\S+')) as n from a)""") + """
             select n // 100 * 100 as words_from, count(*) as n from w group by 1""",
         "emerging_keywords": with_(A, HOURLY, KEYS, COUNTS).rstrip() + emerging.format(kind="keyword"),
-        "source_sentiment": with_(A, """aw as (select doc_id, source,
+        "source_sentiment": with_(A, """aw as (select text_id, source,
               unnest(regexp_extract_all(lower(title), '\\S+')) as word from a)""", """lex as (select word,
               case when sum(quality * 2 - 1) > 0 then 1e0 else -1e0 end as weight
-              from aw join labels using (doc_id) group by word)""") + """
+              from aw join labels on labels.doc_id = text_id group by word)""") + """
             select a.source, count(*) as articles, coalesce(any_value(s.n), 0) as scored_words,
               coalesce(any_value(s.score), 0e0) / count(*) as mean_sentiment
             from a left join (select source, count(*) as n, sum(weight) as score from aw join lex using (word)

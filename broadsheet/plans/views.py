@@ -61,10 +61,14 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return windows.with_lengths(docs)
 
 
-def _as_articles(docs: DataFrame, events: DataFrame) -> DataFrame:
-    rows = events.join(docs, F.col("event_id") == F.col("doc_id")).withColumn("ts", F.col("ts").cast("timestamp"))
-    return rows.select(
+def _as_articles(docs: DataFrame, events: DataFrame, n_docs: Column) -> DataFrame:
+    # every event is an article; the documents are dealt to them in turn
+    events = events.withColumn("text_id", F.try_mod("event_id", n_docs))
+    docs = docs.withColumnRenamed("doc_id", "text_id")
+    rows = events.join(docs, "text_id").withColumn("ts", F.col("ts").cast("timestamp"))
+    return rows.withColumnRenamed("event_id", "doc_id").select(
         "doc_id",
+        "text_id",
         "source",
         F.when(F.col("doc_id") % 4 == 3, "html").otherwise("rss").alias("source_type"),
         "title",
@@ -78,18 +82,26 @@ def _as_articles(docs: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def _n_documents(spark: SparkSession, folder: str) -> Column:
+    return table(spark, folder, "documents").agg(F.count(F.lit(1))).scalar()
+
+
 def articles(spark: SparkSession, folder: str) -> DataFrame:
-    """One article per document, scraped when its event happened."""
+    """One article per event, scraped when it happened, ``doc_id`` being its number and ``text_id`` its document's."""
     events = table(spark, folder, "events").select("event_id", "ts", "event_type")
-    return _as_articles(_documents(spark, folder), events)
+    return _as_articles(_documents(spark, folder), events, _n_documents(spark, folder))
 
 
 def article_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same articles, with the events arriving as a stream."""
-    docs = _documents(spark, folder)
     # as a pattern the path may be one file or a folder of part files
-    events = prepare(spark).readStream.schema(EVENTS).parquet(f"{folder}/events.parque[t]")
-    return _as_articles(docs, events.select("event_id", "ts", "event_type"))
+    return arriving_articles(spark, folder, f"{folder}/events.parque[t]")
+
+
+def arriving_articles(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """Articles of the events in the files under ``path``, present and to come."""
+    events = prepare(spark).readStream.schema(EVENTS).parquet(path).select("event_id", "ts", "event_type")
+    return _as_articles(_documents(spark, folder), events, _n_documents(spark, folder))
 
 
 def locks(spark: SparkSession, folder: str) -> DataFrame:
