@@ -15,6 +15,7 @@ from broadsheet.functions.urls import clean_link, link_error
 from broadsheet.operators import articles as art
 from broadsheet.operators import counters, history, modules, registry, runs, snapshot, validate, windows
 from broadsheet.plans import views
+from broadsheet.schema import MICROSECONDS
 from broadsheet.session import scratch_path, settings, state_settings
 from broadsheet.sources import feeds, json_store, messages, pages, window_store
 from broadsheet.streaming import count_windows as stream_counts
@@ -164,6 +165,16 @@ def window_view_flat(spark, d):
     return v.select("window_start", F.inline(parts))
 
 
+@query
+def rounded_windows(spark, d):
+    """The figures of window rows as they are stored, half-even to two places."""
+    v = windows.window_view(views.articles(spark, d), SIX_HOURS)
+    return v.select(
+        "window_start", "avg_title_length", "avg_description_length", "rate_per_min",
+        F.col("metadata.article_count").alias("article_count"),
+    )
+
+
 @query
 def byte_vs_char_length(spark, d):
     per = windows.window_source_totals(views.articles(spark, d), HOURLY)
@@ -321,6 +332,15 @@ def validation_verdicts(spark, d):
     )
 
 
+@query
+def verdicts_without_source(spark, d):
+    """Every sixth article has a blank source or none; the other checks come first."""
+    k = F.col("doc_id") % 12
+    blank = F.when(k == 5, " ").when(k != 11, F.col("source"))
+    v = validate.validate(views.articles(spark, d).withColumn("source", blank), views.as_of())
+    return v.select("doc_id", "verdict.error_code", "verdict.error")
+
+
 @query
 def valid_and_invalid(spark, d):
     """Accepted and refused rows with an unvalidated column beside them."""
@@ -495,9 +515,8 @@ def _xml(c) -> F.Column:
     return c
 
 
-@query
-def rss_articles(spark, d):
-    """Articles written as feed documents and read back; a feed has the article and a second item."""
+def _rss_items() -> F.Column:
+    """The article of a row as a feed item, and a second item."""
     tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
     date = F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
     item = F.concat(
@@ -507,12 +526,15 @@ def rss_articles(spark, d):
         tag("category", F.col("categories")[0]), tag("category", F.col("categories")[1]),
     )
     second = F.concat(tag("title", F.lit("more")), tag("link", F.concat("link", F.lit("/more"))))
-    feed = F.concat(
-        F.lit('<?xml version="1.0"?><rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>f</title>'),
-        tag("item", item), tag("item", second), F.lit("</channel></rss>"),
-    )
-    f = views.articles(spark, d).select("source", feed.alias("xml"))
-    rows = feeds.feed_articles(f, views.as_of())
+    return F.concat(tag("item", item), tag("item", second))
+
+
+def _rss_document(items: F.Column) -> F.Column:
+    head = '<?xml version="1.0"?><rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>f</title>'
+    return F.concat(F.lit(head), items, F.lit("</channel></rss>"))
+
+
+def _feed_columns(rows: DataFrame) -> DataFrame:
     return rows.select(
         "source", "title", "link", F.length("description").alias("desc_chars"),
         F.array_join("authors", ",").alias("authors"), F.array_join("categories", ",").alias("categories"),
@@ -520,6 +542,23 @@ def rss_articles(spark, d):
     )
 
 
+@query
+def rss_articles(spark, d):
+    """Articles written as feed documents and read back."""
+    f = views.articles(spark, d).select("source", _rss_document(_rss_items()).alias("xml"))
+    return _feed_columns(feeds.feed_articles(f, views.as_of()))
+
+
+@query
+def rss_files(spark, d):
+    """Feed files of 500 articles each. The source is then the name of a file, and only the items are compared."""
+    items = views.articles(spark, d).select(F.floor(F.col("doc_id") / 500).alias("part"), _rss_items().alias("items"))
+    rows = items.groupBy("part").agg(F.array_join(F.collect_list("items"), "").alias("items"))
+    path = scratch_path(spark, "feeds")
+    rows.select(_rss_document(F.col("items")).alias("xml"), "part").write.partitionBy("part").text(path)
+    return _feed_columns(feeds.read_feeds(spark, f"{path}/*", views.as_of())).drop("source")
+
+
 @query
 def atom_articles(spark, d):
     entry = F.concat(
@@ -530,12 +569,7 @@ def atom_articles(spark, d):
     )
     feed = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), entry, F.lit("</feed>"))
     f = views.articles(spark, d).select("source", feed.alias("xml"))
-    rows = feeds.feed_articles(f, views.as_of(), kind="atom")
-    return rows.select(
-        "source", "title", "link", F.length("description").alias("desc_chars"),
-        F.array_join("authors", ",").alias("authors"), F.array_join("categories", ",").alias("categories"),
-        "published_time", "source_type",
-    )
+    return _feed_columns(feeds.feed_articles(f, views.as_of(), kind="atom"))
 
 
 def _messages(spark, d):
@@ -559,6 +593,32 @@ def decode_messages(spark, d):
     )
 
 
+@query
+def labelled_categories(spark, d):
+    """Messages whose categories are a plain name, an object naming itself and a null, counted per window."""
+    a = views.articles(spark, d)
+    named = F.to_json(F.struct(F.col("categories")[0].alias("term")))
+    plain = F.concat(F.lit('"'), F.col("categories")[1], F.lit('"'))
+    value = F.concat(
+        F.lit('{"source":"'), F.col("source"), F.lit('","scraped_at":"'),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), F.lit('","categories":['), named, F.lit(","), plain, F.lit(",null]}"),
+    )
+    sent = a.select(F.lit("news-articles").alias("topic"), F.col("doc_id").alias("offset"), value.cast("binary").alias("value"))
+    rows = messages.decode_messages(sent).withColumn("ts", F.col("scraped_at"))
+    return windows.window_key_counts(rows, HOURLY, ("category",))
+
+
+@query
+def callback_before_windows(spark, d):
+    """Decoded messages pass through a user's function before they are counted."""
+
+    def without_clicks(rows: DataFrame) -> DataFrame:
+        return rows.filter(~F.array_contains("categories", "click")).withColumn("source", F.upper("source"))
+
+    rows = messages.decode_messages(_messages(spark, d)).withColumn("ts", F.col("scraped_at"))
+    return windows.window_key_counts(rows.transform(without_clicks), HOURLY, ("source",))
+
+
 @query
 def dead_letters(spark, d):
     bad = messages.dead_letters(_messages(spark, d))
@@ -589,6 +649,20 @@ def json_store_append(spark, d):
     return good.select("source", "title", "link", F.array_join("categories", ",").alias("categories"), "scraped_at")
 
 
+@query
+def json_array_files(spark, d):
+    """Files of one JSON array each, 500 articles long, as collectors write them."""
+    a = views.articles(spark, d).drop("ts", "text_id")
+    part = F.floor(F.col("doc_id") / 500).alias("part")
+    fields = F.struct(*[c for c in a.columns if c != "doc_id"])
+    arrays = a.groupBy(part).agg(F.collect_list(fields).alias("articles"))
+    text = F.to_json("articles", {"timestampFormat": MICROSECONDS})
+    path = scratch_path(spark, "arrays")
+    arrays.select(text.alias("value"), "part").write.partitionBy("part").text(path)
+    good, _ = json_store.read_articles(spark, f"{path}/*")
+    return good.select("source", "title", "link", F.array_join("categories", ",").alias("categories"), "scraped_at")
+
+
 # ---- registry and runs ----------------------------------------------------------
 
 
@@ -721,7 +795,7 @@ def stream_unique_links(spark, d):
 
 @query
 def stream_delivery(spark, d):
-    """Batches a refusing broker did not take, kept as JSON."""
+    """Batches a refusing broker did not take, kept as a table."""
     path = scratch_path(spark, "delivery")
 
     def refuse(batch: DataFrame) -> None:
@@ -733,6 +807,73 @@ def stream_delivery(spark, d):
     return sinks.read_batches(spark, f"{path}/kept")
 
 
+@query
+def stream_delivery_taken(spark, d):
+    """Batches taken as a whole, with a backup beside them."""
+    path = scratch_path(spark, "delivery")
+    sink = sinks.delivery(
+        lambda batch: batch.write.mode("append").parquet(f"{path}/topic"), sinks.json_sink(f"{path}/kept"), f"{path}/outcomes"
+    )
+    rows = views.article_stream(spark, d).select("doc_id", "source", "link")
+    sinks.start(rows, sink, f"{path}/checkpoint").awaitTermination()
+    taken = spark.read.schema(rows.schema).parquet(f"{path}/topic").withColumn("place", F.lit("topic"))
+    kept = spark.read.schema(rows.schema).json(f"{path}/kept").drop("batch_id").withColumn("place", F.lit("backup"))
+    return art.gather([taken, kept])
+
+
+@query
+def stream_delivery_rows(spark, d):
+    """A refused batch goes out row by row; the rows refused again are kept."""
+    path = scratch_path(spark, "delivery")
+
+    def refuse(batch: DataFrame) -> None:
+        raise ConnectionError("no broker")
+
+    def send(row: dict) -> None:
+        if row["doc_id"] % 3 == 0:
+            raise ValueError("too large")
+
+    sink = sinks.delivery(refuse, sinks.parquet_sink(f"{path}/kept"), f"{path}/outcomes", send=send, backup=False)
+    rows = views.article_stream(spark, d).select("doc_id", "source", "link")
+    sinks.start(rows, sink, f"{path}/checkpoint").awaitTermination()
+    return sinks.read_batches(spark, f"{path}/kept")
+
+
+@query
+def stream_fan_out(spark, d):
+    """Batches go to a table and to JSON files, past a callback that fails."""
+    path = scratch_path(spark, "fan-out")
+
+    def fail(batch: DataFrame, batch_id: int) -> None:
+        raise RuntimeError("callback")
+
+    sink = sinks.fan_out(sinks.callback(fail), sinks.parquet_sink(f"{path}/table"), sinks.json_sink(f"{path}/json"))
+    rows = views.article_stream(spark, d).select("doc_id", "source", "link")
+    sinks.start(rows, sink, f"{path}/checkpoint").awaitTermination()
+    table = spark.read.schema(rows.schema).parquet(f"{path}/table").withColumn("place", F.lit("table"))
+    files = spark.read.schema(rows.schema).json(f"{path}/json").withColumn("place", F.lit("json"))
+    return art.gather([table, files]).drop("batch_id")
+
+
+@query
+def stream_late_rows(spark, d):
+    """Two runs of one stream: the second brings every tenth event, too late for windows that are closed."""
+    path = scratch_path(spark, "stream-late")
+    events = views.table(spark, d, "events").select("event_id", "ts", "event_type")
+    late = F.col("event_id") % 10 == 7
+    stats = None
+    for run, part in enumerate((events.filter(~late), events.filter(late))):
+        part.write.parquet(f"{path}/events/run={run}")
+        arriving = views.arriving_articles(spark, d, f"{path}/events/*")
+        stats = stream_windows.stream_window_stats(arriving, FIVE_MINUTES)
+        with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
+            q = stream_windows.write_table(stats, f"{path}/rows", f"{path}/checkpoint")
+        q.awaitTermination()
+    closed = spark.read.schema(stats.schema).parquet(f"{path}/rows")
+    until = stream_windows.closed_until(q, closed)
+    return art.gather([closed, stream_windows.finalize(views.articles(spark, d), FIVE_MINUTES, until)])
+
+
 # ---- analysis modules -----------------------------------------------------------
 
 

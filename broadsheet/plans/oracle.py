@@ -155,6 +155,12 @@ PAGE_TITLE = f"trim({PAGE_TITLE})"
 SLIDING_COUNTS = with_(A, SLIDING, KEYS, COUNTS)
 
 
+def half_even(a: str, b: str) -> str:
+    """The quotient of whole numbers, half-even to two places."""
+    q, r = f"({a} * 100 // {b})", f"({a} * 100 % {b})"
+    return f"({q} + (2 * {r} > {b} or (2 * {r} = {b} and {q} % 2 = 1))::int) / 100e0"
+
+
 def sql() -> dict[str, str]:
     hour_stats = with_(A, HOURLY) + stats("bytes", 60)
     slide_stats = with_(A, SLIDING) + stats("chars", 5)
@@ -203,6 +209,10 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
             union all select window_start, 'keyword', key, n from best
             union all select window_start, 'sources', string_agg(key, ',' order by key), sum(n)::bigint
               from counts where kind = 'source' group by all""",
+        "rounded_windows": with_(A, SIX, """s as (select window_start, count(*) as n, sum(tc)::bigint as t,
+            sum(dc)::bigint as d from m group by all)""") + f"""select window_start, {half_even('t', 'n')} as avg_title_length,
+            {half_even('d', 'n')} as avg_description_length, {half_even('n', '360')} as rate_per_min,
+            n as article_count from s""",
         "byte_vs_char_length": with_(A, HOURLY) + """select window_start, count(*) as n,
             sum(tc)::bigint as title_chars, sum(tb)::bigint as title_bytes, sum(dc)::bigint as desc_chars,
             sum(db)::bigint as desc_bytes from m group by all""",
@@ -277,6 +287,9 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
             case when error is null then {RFC.format(t='moment')} end as published,
             case when error is null then strlen(body) else 0 end as desc_bytes from v2""",
         "valid_and_invalid": with_(A, VERDICTS) + "select doc_id, source_type, code as error_code from v2",
+        "verdicts_without_source": with_(A, VERDICTS) + """select doc_id,
+            coalesce(code, case when doc_id % 6 = 5 then 'source_empty' end) as error_code,
+            coalesce(error, case when doc_id % 6 = 5 then 'Field validation failed: Source cannot be empty' end) as error from v2""",
         "verdict_messages": with_(A, VERDICTS) + """select doc_id, case when error is null then 'true' else 'false' end
             as success, error, case when error is null then link end as link from v2""",
         "validation_summary": with_(A, VERDICTS) + """select coalesce(code, 'valid') as outcome, count(*) as n
@@ -330,16 +343,24 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
         "rss_articles": with_(A) + rss.format(
             authors="source_type || ',desk'", categories="lang || ',' || event_type")
             + " union all select source, 'more', link || '/more', 0, '', '', null, 'rss' from a",
+        "rss_files": "select * exclude source from (" + with_(A) + rss.format(
+            authors="source_type || ',desk'", categories="lang || ',' || event_type")
+            + " union all select source, 'more', link || '/more', 0, '', '', null, 'rss' from a)",
         "atom_articles": with_(A) + rss.format(authors="source_type", categories="lang"),
         "decode_messages": with_(A) + """select 'news-articles' as topic, (doc_id % 4)::int as partition,
             doc_id as offset, source, title, link, lang || ',' || event_type as categories,
             ts as scraped_at from a where doc_id % 10 <> 3""",
+        "labelled_categories": key_counts(HOURLY, "'category'"),
+        "callback_before_windows": with_(A, HOURLY) + f"""select {W}, 'source' as kind, upper(source) as key,
+            count(*) as n from m where doc_id % 10 <> 3 and event_type <> 'click' group by all""",
         "dead_letters": with_(A) + """select (doc_id % 4)::int as partition, doc_id as offset from a
             where doc_id % 10 = 3""",
         "kafka_rows": with_(A) + """select 'news-articles' as topic, source as key, 'source=' || source as header_1,
             'source_type=' || source_type as header_2, link, title, event_type as category from a""",
         "json_store_append": with_(A) + """select source, title, link, lang || ',' || event_type as categories,
             ts as scraped_at from a, range(2)""",
+        "json_array_files": with_(A) + """select source, title, link, lang || ',' || event_type as categories,
+            ts as scraped_at from a""",
         "active_workers": f"""select 'w' || user_id as id, max(ts) as last_heartbeat,
             max_by(event_type, (ts, event_type)) as status from events group by user_id
             having epoch_us((select max(ts) from events)) - epoch_us(max(ts)) < {2 * LIMIT_S}000000""",
@@ -375,6 +396,14 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
             count(*) // 7 - 1 as last_window from a group by source having count(*) >= 7""",
         "stream_unique_links": with_(A) + "select distinct lang || '/' || ts::date as link from a",
         "stream_delivery": with_(A) + "select doc_id, source, link from a",
+        "stream_delivery_taken": with_(A) + """select doc_id, source, link, place from a,
+            (values ('topic'), ('backup')) t(place)""",
+        "stream_delivery_rows": with_(A) + "select doc_id, source, link from a where doc_id % 3 = 0",
+        "stream_fan_out": with_(A) + """select doc_id, source, link, place from a,
+            (values ('table'), ('json')) t(place)""",
+        # late rows count in windows that end after the watermark the first run left
+        "stream_late_rows": with_(A, FIVE, """k as (select * from m where doc_id % 10 <> 7 or window_end >
+            (select max(ts) from a where doc_id % 10 <> 7) - interval 1 minute)""") + stats("chars", 5, "k"),
         "module_statistics": with_(A, """w as (select source,
             len(regexp_extract_all(description, '\\S+')) as n from a)""") + """
             select source, count(*) as articles, sum(n)::bigint as words, max(n) as longest from w group by all""",

@@ -75,9 +75,12 @@ def feed_articles(
 
 
 def read_feeds(spark: SparkSession, path: str, fetched_at: Column, kind: str = "rss") -> DataFrame:
-    """One row per item of feed files, each file name (without suffix) being the source."""
+    """One row per item of feed files, each file name (without suffix) being the source.
+
+    A file is one document. What follows the place where it stops being well formed contributes no rows.
+    """
     tag, schema = ("item", RSS_ITEM) if kind == "rss" else ("entry", ATOM_ENTRY)
-    read = spark.read.format("xml").option("rowTag", tag).options(**_TRIMMED).schema(schema).load(path)
+    read = spark.read.format("xml").option("rowTag", tag).options(**_TRIMMED | {"mode": "DROPMALFORMED"}).schema(schema).load(path)
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]+$", "")
     rows = read.select(name.alias("source"), F.struct(*[F.col(f"`{c}`") for c in schema.names]).alias("_i"))
     return _articles(rows, ["source"], rss_fields("_i") if kind == "rss" else atom_fields("_i"), fetched_at)
