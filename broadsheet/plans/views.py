@@ -83,7 +83,8 @@ def _as_articles(docs: DataFrame, events: DataFrame, n_docs: Column) -> DataFram
 
 
 def _n_documents(spark: SparkSession, folder: str) -> Column:
-    return table(spark, folder, "documents").agg(F.count(F.lit(1))).scalar()
+    """The number of documents, taken from the footers of the files so that it is a constant in every plan."""
+    return F.lit(table(spark, folder, "documents").count())
 
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
