@@ -11,7 +11,8 @@ The domain of each kind is a product of two ranges, and rounds alternate between
 adding a keyed hash of one coordinate to the other, each modulo its range:
 
     card     the digits between the first and the check digit
-    phone    area code x (exchange, line), each first digit 2-9
+    phone    area code x (exchange, line); numbers whose first digits are both 2-9, those of
+             areas 000-199 and those of exchanges 000-199 are three domains of their own
     intl     digits after the country's first two
     ssn      valid areas x (group, serial)
     ipv4     two octets x two octets
@@ -22,6 +23,12 @@ adding a keyed hash of one coordinate to the other, each modulo its range:
 
 Candidates that fail validation stay as they are. Nothing is shuffled.
 
+Phone numbers count with separators, or compact behind a plus; ten or more bare digits
+do not. Dates count as yyyy-mm-dd, yyyy/mm/dd, m/d/yyyy, d.m.yyyy (one or two digits in
+the latter two), "January 5, 2024" and "5 January 2024" (English names or their first
+three letters, comma optional); day-first dates with slashes and two-digit years do not.
+Unpadded dates and named months may change their length, as addresses of hosts do.
+
 Defined cases: a null text stays null, with no replacements; an empty text stays
 empty; rows repeated in full give equal rows; an empty table gives an empty
 result; other columns pass through unchanged whatever their names.
@@ -38,26 +45,43 @@ from broadsheet.llm.common import fresh
 
 ROUNDS = 8
 
+MONTH = (
+    "(?i:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
+    "|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+)
+
 # fixed: the forms of candidate values; every repetition is bounded or possessive
 FORMS = {
-    "secret": r"(?<![A-Za-z0-9_])(?:password|passwd|pwd|token|secret|api_key|apikey) ?[=:] ?\"?[A-Za-z0-9]{8,64}(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9_])(?i:password|passwd|pwd|token|secret|api_key|apikey) ?[=:] ?\"?[A-Za-z0-9]{8,64}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": (
-        r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])"
-        r"[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
+        r"(?<![0-9A-Za-z+])(?:\+1(?:[ .()/-]{0,2}[0-9]){10}"
+        r"|(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])"
+    ),
+    "intl": (
+        r"(?<![0-9A-Za-z+])\+[2-9](?:[0-9]{7,14}(?![0-9A-Za-z])"
+        r"|(?:[ .()/-]{0,2}[0-9]){7,14}(?![0-9A-Za-z]))"
     ),
-    "intl": r"(?<![0-9A-Za-z+])\+[2-9][0-9]{7,14}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iso_date": r"(?<![0-9A-Za-z-])(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9](?![0-9-])",
-    "us_date": r"(?<![0-9A-Za-z/])[01][0-9]/[0-3][0-9]/(?:19|20)[0-9]{2}(?![0-9A-Za-z/])",
-    "eu_date": r"(?<![0-9A-Za-z.])[0-3][0-9]\.[01][0-9]\.(?:19|20)[0-9]{2}(?!\.?[0-9A-Za-z])",
+    "ymd_date": r"(?<![0-9A-Za-z/])(?:19|20)[0-9]{2}/[01][0-9]/[0-3][0-9](?![0-9A-Za-z/])",
+    "us_date": r"(?<![0-9A-Za-z/])[01]?[0-9]/[0-3]?[0-9]/(?:19|20)[0-9]{2}(?![0-9A-Za-z/])",
+    "eu_date": r"(?<![0-9A-Za-z.])[0-3]?[0-9]\.[01]?[0-9]\.(?:19|20)[0-9]{2}(?!\.?[0-9A-Za-z])",
+    "name_date": rf"(?<![0-9A-Za-z]){MONTH} [0-3]?[0-9],? (?:19|20)[0-9]{{2}}(?![0-9A-Za-z])",
+    "day_date": rf"(?<![0-9A-Za-z])[0-3]?[0-9] {MONTH},? (?:19|20)[0-9]{{2}}(?![0-9A-Za-z])",
     "ipv4": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
 ANY = "|".join(f"(?:{f})" for f in FORMS.values())
-DATES = {"iso_date": "yyyy-MM-dd", "us_date": "MM/dd/yyyy", "eu_date": "dd.MM.yyyy"}
+# how dates are read; they are written in the first pattern that gives them back
+DATES = {
+    "iso_date": ["yyyy-MM-dd"], "ymd_date": ["yyyy/MM/dd"],
+    "us_date": ["MM/dd/yyyy", "M/d/yyyy"], "eu_date": ["dd.MM.yyyy", "d.M.yyyy"],
+    "name_date": ["MMMM d, yyyy", "MMMM d yyyy", "MMM d, yyyy", "MMM d yyyy"],
+    "day_date": ["d MMMM yyyy", "d MMMM, yyyy", "d MMM yyyy", "d MMM, yyyy"],
+}
 FIRST_DAY = "1900-01-01"
 DAYS = (17, 4297)  # their product is the number of days of 1900 to 2099
 
@@ -187,18 +211,28 @@ def _replacements(p: Permuter) -> list[Callable[[Column], tuple[Column, Column]]
     def phone(x):
         def new(d):
             ten = F.substring(d, -10, 10)
-            area, rest = F.substr(ten, F.lit(1), F.lit(3)), F.substr(ten, F.lit(4), F.lit(7))
-            moved = p.pair(_long(area) - 200, _long(rest) - 2_000_000, F.lit(800), F.lit(8_000_000), F.lit("phone"))
+            area, rest = _long(F.substr(ten, F.lit(1), F.lit(3))), _long(F.substr(ten, F.lit(4), F.lit(7)))
+            low, usual = area < 200, (area >= 200) & (rest >= 2_000_000)
+            first, second = F.when(low, 0).otherwise(200), F.when(usual, 2_000_000).otherwise(0)
+            m = F.when(low, 200).otherwise(800)
+            n = F.when(low, 10_000_000).when(usual, 8_000_000).otherwise(2_000_000)
+            tweak = F.when(low, "phone/area").when(usual, "phone").otherwise("phone/exchange")
+            moved = p.pair(area - first, rest - second, m, n, tweak)
             head = F.when(F.length(d) > 10, "1").otherwise("")
             return _let(
-                moved, lambda at: F.concat(head, (at["a"] + 200).cast("string"), (at["b"] + 2_000_000).cast("string"))
+                moved,
+                lambda at: F.concat(
+                    head, F.lpad((at["a"] + first).cast("string"), 3, "0"), F.lpad((at["b"] + second).cast("string"), 7, "0")
+                ),
             )
 
         return _is(x, "phone"), _refill(x, "[0-9]", _let(_only(x, "[^0-9]"), new))
 
     def intl(x):
-        tail = p.digits(F.substr(x, F.lit(4), F.length(x)), 10, 18, "intl")
-        return _is(x, "intl"), F.concat(F.substr(x, F.lit(1), F.lit(3)), tail)
+        def new(d):
+            return F.concat(F.substr(d, F.lit(1), F.lit(2)), p.digits(F.substr(d, F.lit(3), F.length(d)), 10, 18, "intl"))
+
+        return _is(x, "intl"), _refill(x, "[0-9]", _let(_only(x, "[^0-9]"), new))
 
     def ssn(x):
         area, group, serial = (_long(F.substr(x, F.lit(a), F.lit(n))) for a, n in ((1, 3), (5, 2), (8, 4)))
@@ -230,7 +264,7 @@ def _replacements(p: Permuter) -> list[Callable[[Column], tuple[Column, Column]]
 
     def date(kind):
         def made(x):
-            day = F.try_to_date(x, DATES[kind])
+            days = [F.try_to_date(x, f) for f in DATES[kind]]
             m, n = DAYS
             first = F.lit(FIRST_DAY).cast("date")
 
@@ -238,8 +272,14 @@ def _replacements(p: Permuter) -> list[Callable[[Column], tuple[Column, Column]]
                 moved = p.pair(F.floor(place / n), place % n, F.lit(m), F.lit(n), F.lit("date"))
                 return _let(moved, lambda at: F.date_add(first, (at["a"] * n + at["b"]).cast("int")))
 
-            moved = _let(F.datediff(day, first).cast("long"), new)
-            return _is(x, kind) & day.isNotNull(), F.date_format(moved, DATES[kind])
+            def written(moved):
+                out = F.coalesce(*[F.when(d.isNotNull(), F.date_format(moved, f)) for d, f in zip(days, DATES[kind])])
+                if kind not in ("name_date", "day_date"):
+                    return out
+                return F.when(x == F.upper(x), F.upper(out)).when(x == F.lower(x), F.lower(out)).otherwise(out)
+
+            day = F.coalesce(*days)
+            return _is(x, kind) & day.isNotNull(), _let(_let(F.datediff(day, first).cast("long"), new), written)
 
         return made
 

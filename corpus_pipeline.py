@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced; an address may change its length, and ``n_chars`` follows."""
+    """Texts with personal data replaced; an address or a date may change its length, and ``n_chars`` follows."""
     out = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
     if "n_chars" not in docs.columns:
         return out

@@ -121,3 +121,49 @@ def test_no_python_in_the_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and "Exchange" not in plan
     assert df.agg(F.sum("n_replaced")).first()[0] > 0
+
+
+# written apart from FORMS: what must not be found again
+PHONES = re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}")
+SECRETS = re.compile(r"(?i)\b(?:password|token|secret|api_key) ?[=:] ?\"?(\w{8,})")
+
+
+def test_wider_forms(spark):
+    values = [
+        "+1 (012) 345-6789", "+1 (199) 045-6789", "+1 (650) 045-6789", "+12125551234", "+1 212 555 1234", "+44 20 7183 8750",
+        "+49-30-1234567", "+44 (0)20 7183 8750", "2024/01/05", "1/5/2024", "5.1.2024", 'TOKEN = "9233A8F07C1B"', "Password: hunter2hunter2",
+    ]
+    got = swap(spark, values)
+    assert not set(got) & set(values)
+    for old, new in zip(values[:9], got):
+        assert re.sub(r"\d", "9", old) == re.sub(r"\d", "9", new)
+    assert re.fullmatch(r"\d{1,2}/\d{1,2}/\d{4}", got[9]) and re.fullmatch(r"\d{1,2}\.\d{1,2}\.\d{4}", got[10])
+    plain, spaced = swap(spark, ["+442071838750", "+44 20 7183 8750"])
+    assert plain == spaced.replace(" ", "")  # a value stays linked whatever its separators
+    names = ["January 5, 2024", "JAN 5 2024", "5 january 2024"]
+    iso, *named = swap(spark, ["2024-01-05", *names])
+    day = date.fromisoformat(iso)
+    assert named == [f"{day:%B} {day.day}, {day.year}", f"{day:%b} {day.day} {day.year}".upper(), f"{day.day} {day:%B} {day.year}".lower()]
+    same = ["/2024/01/05/", "2024/13/05", "13/13/2024", "Mayor 5, 2024", "31 February 2024"]
+    assert swap(spark, same) == same
+
+
+def test_phone_permutation_is_one_to_one(spark):
+    """Every area code with a few numbers: all different, each in its own domain."""
+    phones = [f"({a:03d}) {r:03d}-0000" for a in range(1000) for r in (0, 199, 200, 999)]
+    got = swap(spark, phones)
+    assert len(set(got)) == len(phones) and not any(a == b for a, b in zip(phones[:40], got))
+    for old, new in zip(phones, got):
+        assert (old[1] < "2") == (new[1] < "2") and (old[1] < "2" or (old[6] < "2") == (new[6] < "2"))
+
+
+def test_no_leftovers_by_other_patterns(spark):
+    df = queries.QUERIES["op9_feistel_pseudonyms"](spark, "/root/testdata/sf0.1").withColumnRenamed("text", "new")
+    old = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    n = 0
+    for r in df.filter("n_replaced > 0").join(old, "doc_id", "right").collect():
+        for form in (PHONES, SECRETS):
+            before, after = form.findall(r["text"] or ""), form.findall(r["new"] or "")
+            assert not set(before) & set(after if r["new"] is not None else before), (r["doc_id"], before)
+            n += len(before)
+    assert n > 300
