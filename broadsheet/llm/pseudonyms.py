@@ -23,6 +23,11 @@ adding a keyed hash of one coordinate to the other, each modulo its range:
 
 Candidates that fail validation stay as they are. Nothing is shuffled.
 
+A card or an account may stand beside other digits or capitals. Their candidates are
+whole runs of groups; every cut of a run is validated and the longest valid one wins (a
+card in a cut has at most eight groups, and a valid unbroken account wins over longer
+cuts). What is left of the run is searched again.
+
 Phone numbers count with separators, or compact behind a plus; ten or more bare digits
 do not. Dates count as yyyy-mm-dd, yyyy/mm/dd, m/d/yyyy, d.m.yyyy (one or two digits in
 the latter two), "January 5, 2024" and "5 January 2024" (English names or their first
@@ -55,7 +60,6 @@ FORMS = {
     "secret": r"(?<![A-Za-z0-9_])(?i:password|passwd|pwd|token|secret|api_key|apikey) ?[=:] ?\"?[A-Za-z0-9]{8,64}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": (
         r"(?<![0-9A-Za-z+])(?:\+1(?:[ .()/-]{0,2}[0-9]){10}"
         r"|(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])"
@@ -72,8 +76,23 @@ FORMS = {
     "name_date": rf"(?<![0-9A-Za-z]){MONTH} [0-3]?[0-9],? (?:19|20)[0-9]{{2}}(?![0-9A-Za-z])",
     "day_date": rf"(?<![0-9A-Za-z])[0-3]?[0-9] {MONTH},? (?:19|20)[0-9]{{2}}(?![0-9A-Za-z])",
     "ipv4": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
+IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
+# a run of groups ends where a value of another kind starts
+OTHERS = "|".join(FORMS[k] for k in ("secret", "key", "email", "phone", "ssn", "iso_date", "ymd_date", "us_date", "eu_date", "day_date", "ipv4"))
+FORMS["iban"] = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){8})[A-Z]{2}[0-9]{2}[A-Z0-9]{0,31}+(?![A-Za-z0-9])"
+    rf"(?: (?!{OTHERS})[A-Z0-9]{{1,31}}+(?![A-Za-z0-9]))*+"
+)
+FORMS["card"] = (
+    r"(?<![0-9A-Za-z.-])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])"
+    rf"(?:(?: (?!{OTHERS})|-)[0-9]++(?![A-Za-z]))*+"
+)
+CARD_GROUPS = 8  # of a card that is cut out of a run
+IBAN_GROUPS = 9
+ORDER = ("secret", "key", "email", "iban", *[k for k in FORMS if k not in ("secret", "key", "email", "iban")])
+FORMS = {k: FORMS[k] for k in ORDER}
 ANY = "|".join(f"(?:{f})" for f in FORMS.values())
 # how dates are read; they are written in the first pattern that gives them back
 DATES = {
@@ -167,6 +186,11 @@ def _only(text: Column, others: str) -> Column:
     return F.regexp_replace(text, others, "")
 
 
+def _span(items: Column, i: Column, k: Column, between: str) -> Column:
+    """``k`` items of an array from its ``i``-th, joined; a slice would copy the whole array first."""
+    return F.array_join(F.transform(F.sequence(i, i + k - 1), lambda j: F.get(items, j - 1)), between)
+
+
 def _luhn(digits: Column) -> Column:
     """Luhn sum of a digit string."""
     def step(acc: Column, c: Column) -> Column:
@@ -198,15 +222,41 @@ def _replacements(p: Permuter) -> list[Callable[[Column], tuple[Column, Column]]
     """Per kind: whether a candidate is a valid value of it, and its pseudonym."""
 
     def card(x):
-        d = _only(x, "[^0-9]")
-
         def new(d):
             inner = p.digits(F.substr(d, F.lit(2), F.length(d) - 2), 10, 18, "card")
             body = F.concat(F.substr(d, F.lit(1), F.lit(1)), inner)
             check = lambda b: (10 - _luhn(F.concat(b, F.lit("0"))) % 10) % 10
             return _let(body, lambda b: F.concat(b, check(b).cast("string")))
 
-        return _is(x, "card") & (_luhn(d) % 10 == 0), _refill(x, "[0-9]", _let(d, new))
+        def cut(groups):
+            n = F.size(groups)
+
+            def window(i, k):
+                value = _only(_span(groups, i, k, ""), "^[ -]")
+                size = F.length(_only(value, "[^0-9]"))
+                return F.struct(size.alias("size"), (-i).alias("i"), k.alias("k"), value.alias("value"))
+
+            def ends(i):
+                last = n - i + 1
+                short = F.transform(F.sequence(F.lit(1), F.least(last, F.lit(CARD_GROUPS))), lambda k: window(i, k))
+                whole = F.array(window(F.lit(1), n))
+                return F.when((i == 1) & (n > CARD_GROUPS) & (n < 20), F.concat(short, whole)).otherwise(short)
+
+            def is_card(w):
+                return w["value"].rlike(f"^{CARD}$") & (_luhn(_only(w["value"], "[^0-9]")) % 10 == 0)
+
+            def split(w):
+                head = F.array_join(F.slice(groups, F.lit(1), -w["i"] - 1), "")
+                gap = F.regexp_extract(F.get(groups, -w["i"] - 1), "^[ -]?", 0)
+                value = _refill(w["value"], "[0-9]", _let(_only(w["value"], "[^0-9]"), new))
+                tail = F.array_join(F.slice(groups, w["k"] - w["i"], n), "")
+                return _cut(F.concat(head, gap), value, tail)
+
+            windows = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.filter(ends(i), is_card)))
+            return F.transform(F.slice(F.sort_array(windows, asc=False), 1, 1), split)
+
+        found = F.get(_let(F.regexp_extract_all(x, F.lit("[ -]?[0-9]+"), F.lit(0)), cut), F.lit(0))
+        return _is(x, "card"), F.coalesce(found, _cut(x, F.lit(None).cast("string"), F.lit("")))
 
     def phone(x):
         def new(d):
@@ -262,26 +312,23 @@ def _replacements(p: Permuter) -> list[Callable[[Column], tuple[Column, Column]]
 
         return _is(x, "ipv4") & valid, _let(moved, written)
 
-    def date(kind):
-        def made(x):
-            days = [F.try_to_date(x, f) for f in DATES[kind]]
-            m, n = DAYS
-            first = F.lit(FIRST_DAY).cast("date")
+    def date(x):
+        days = {
+            (kind, f): F.when(_is(x, kind), F.try_to_date(x, f)) for kind, forms in DATES.items() for f in forms
+        }
+        m, n = DAYS
+        first = F.lit(FIRST_DAY).cast("date")
 
-            def new(place):
-                moved = p.pair(F.floor(place / n), place % n, F.lit(m), F.lit(n), F.lit("date"))
-                return _let(moved, lambda at: F.date_add(first, (at["a"] * n + at["b"]).cast("int")))
+        def new(place):
+            moved = p.pair(F.floor(place / n), place % n, F.lit(m), F.lit(n), F.lit("date"))
+            return _let(moved, lambda at: F.date_add(first, (at["a"] * n + at["b"]).cast("int")))
 
-            def written(moved):
-                out = F.coalesce(*[F.when(d.isNotNull(), F.date_format(moved, f)) for d, f in zip(days, DATES[kind])])
-                if kind not in ("name_date", "day_date"):
-                    return out
-                return F.when(x == F.upper(x), F.upper(out)).when(x == F.lower(x), F.lower(out)).otherwise(out)
+        def written(moved):
+            out = F.coalesce(*[F.when(d.isNotNull(), F.date_format(moved, f)) for (_, f), d in days.items()])
+            return F.when(x == F.upper(x), F.upper(out)).when(x == F.lower(x), F.lower(out)).otherwise(out)
 
-            day = F.coalesce(*days)
-            return _is(x, kind) & day.isNotNull(), _let(_let(F.datediff(day, first).cast("long"), new), written)
-
-        return made
+        day = F.coalesce(*days.values())
+        return day.isNotNull(), _let(_let(F.datediff(day, first).cast("long"), new), written)
 
     def iban(x):
         def whole(bare):
@@ -294,8 +341,38 @@ def _replacements(p: Permuter) -> list[Callable[[Column], tuple[Column, Column]]
 
             return _let(F.substr(bare, F.lit(5), F.length(bare)), filled)
 
-        bare = _only(x, " ")
-        return _is(x, "iban") & (_mod97(bare) == 1), _refill(x, "[^ ]", _let(bare, whole))
+        def is_iban(value):
+            return value.rlike(f"^{IBAN}$") & (_mod97(_only(value, " ")) == 1)
+
+        def cut(groups):
+            n = F.size(groups)
+            none = F.lit(None).cast("string")
+            join = lambda i, k: F.array_join(F.slice(groups, i, k), " ")
+
+            def windows(i):
+                def window(k):
+                    # the first start wins, there an unbroken account, then the longest
+                    return F.struct(i.alias("i"), F.when(k == 1, 0).otherwise(n + 1 - k).alias("rank"), k.alias("k"), _span(groups, i, k, " ").alias("value"))
+
+                ks = F.sequence(F.lit(1), F.least(n - i + 1, F.lit(IBAN_GROUPS)))
+                starts = F.get(groups, i - 1).rlike("^[A-Z]{2}[0-9]{2}")
+                return F.filter(F.transform(F.filter(ks, lambda k: starts), window), lambda w: is_iban(w["value"]))
+
+            def split(w):
+                head = F.concat(join(F.lit(1), w["i"] - 1), F.when(w["i"] > 1, " ").otherwise(""))
+                value = _refill(w["value"], "[^ ]", _let(_only(w["value"], " "), whole))
+                return _cut(head, value, F.substr(x, F.length(head) + F.length(w["value"]) + 1, F.length(x)))
+
+            def without(k):
+                # no account in the run; a card can start at the first group of digits
+                head = F.when(k > 0, join(F.lit(1), k - 1)).otherwise(x)
+                return _cut(head, none, F.substr(x, F.length(head) + 1, F.length(x)))
+
+            found = F.array_min(F.flatten(F.transform(F.sequence(F.lit(1), n), windows)))
+            digits = F.array_position(F.transform(groups, lambda g: g.rlike("^[0-9]+$")), True).cast("int")
+            return _let(found, lambda w: F.when(w.isNull(), _let(digits, without)).otherwise(split(w)))
+
+        return _is(x, "iban"), _let(F.split(x, " "), cut)
 
     lowers, uppers = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     base26 = "0123456789abcdefghijklmnop"
@@ -331,31 +408,71 @@ def _replacements(p: Permuter) -> list[Callable[[Column], tuple[Column, Column]]
         tail = F.lower(F.substr(x, F.lit(5), F.lit(16)))
         return _is(x, "key"), F.concat(F.lit("AKIA"), F.upper(p.digits(tail, 36, 11, "key")))
 
-    return [secret, key, email, iban, phone, intl, ssn, *map(date, DATES), ipv4, card]
+    def alone(made):
+        """A candidate that is one value: all of it is replaced, or nothing."""
+        def cut(x):
+            valid, new = made(x)
+            return valid, _cut(F.lit(""), new, F.lit(""))
+
+        return cut
+
+    return [*map(alone, [secret, key, email]), iban, *map(alone, [phone, intl, ssn, date, ipv4]), card]
+
+
+def _cut(head: Column, new: Column, tail: Column) -> Column:
+    """A candidate as text before a value, the value's pseudonym (null for none) and text behind it."""
+    return F.struct(head.alias("head"), new.alias("new"), tail.alias("tail"))
 
 
 def _swap(x: Column, p: Permuter) -> Column:
-    """The pseudonym of a candidate, null where it is no valid value."""
-    out = F.lit(None).cast("string")
+    """The cut of a candidate; one without a valid value is all head."""
+    out = _cut(x, F.lit(None).cast("string"), F.lit(""))
     for made in reversed(_replacements(p)):
-        valid, new = made(x)
-        out = F.when(valid, new).otherwise(out)
+        valid, cut = made(x)
+        out = F.when(valid, cut).otherwise(out)
     return out
 
 
+def _part(text: Column, n: Column, todo: Column) -> Column:
+    return F.struct(text.alias("text"), n.cast("int").alias("n"), todo.alias("todo"))
+
+
+def _search(text: Column, p: Permuter) -> Column:
+    """Parts of a text, in order; what is left of runs that were cut is to do."""
+    def parts(piece, cut):
+        said = F.concat(piece, F.coalesce(cut["head"], F.lit("")))
+        new, left = F.coalesce(cut["new"], F.lit("")), F.coalesce(cut["tail"], F.lit(""))
+        n = cut["new"].isNotNull().cast("int")
+        again = F.array(
+            _part(piece, F.lit(0), F.lit(False)), _part(cut["head"], F.lit(0), cut["new"].isNotNull()),
+            _part(new, n, F.lit(False)), _part(left, F.lit(0), F.lit(True)),
+        )
+        is_cut = (left != "") | (cut["new"].isNotNull() & (cut["head"] != ""))
+        return F.when(is_cut, again).otherwise(F.array(_part(F.concat(said, new), n, F.lit(False))))
+
+    old = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    # the pieces between the candidates, one more than candidates
+    return F.flatten(F.zip_with(F.split(text, ANY, -1), F.transform(old, lambda x: _swap(x, p)), parts))
+
+
 def pseudonymise(
     df: DataFrame, key: str, text: str = "text", count: str | None = None
 ) -> DataFrame:
     """Replace the personal data in a text column; ``count`` names a column for the number of replacements."""
-    found, new = fresh(df, "_found"), fresh(df, "_new")
+    made = fresh(df, "_made")
     p = Permuter(key)
-    rows = df.withColumn(found, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)))
-    rows = rows.withColumn(new, F.transform(F.col(found), lambda x: _swap(x, p)))
-    put = F.zip_with(F.col(found), F.col(new), lambda old, new: F.coalesce(new, old))
-    # the pieces between the candidates, one more than candidates
-    pieces = F.split(F.col(text), ANY, -1)
-    whole = F.array_join(F.zip_with(pieces, put, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = F.size(F.filter(F.col(new), lambda x: x.isNotNull()))
+
+    def turn(parts, _):
+        again = F.flatten(F.transform(parts, lambda s: F.when(s["todo"], _search(s["text"], p)).otherwise(F.array(s))))
+        return F.when(F.exists(parts, lambda s: s["todo"]), again).otherwise(parts)
+
+    start = F.array(_part(F.col(text), F.lit(0), F.lit(True)))
+    # what is left of a run lacks two digits at least, so all is done after so many turns
+    digits = F.length(text) - F.length(F.translate(F.col(text), "0123456789", ""))
+    turns = F.sequence(F.lit(1), F.floor(digits / 2).cast("int") + 2)
+    rows = df.withColumn(made, F.aggregate(turns, start, turn))
+    whole = F.array_join(F.transform(F.col(made), lambda s: s["text"]), "")
+    changed = F.aggregate(F.col(made), F.lit(0), lambda n, s: n + s["n"])
     columns = {text: F.when(F.coalesce(changed, F.lit(0)) > 0, whole).otherwise(F.col(text))}
     out = [columns.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns]
     if count:

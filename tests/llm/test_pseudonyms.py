@@ -167,3 +167,26 @@ def test_no_leftovers_by_other_patterns(spark):
             assert not set(before) & set(after if r["new"] is not None else before), (r["doc_id"], before)
             n += len(before)
     assert n > 300
+
+
+def test_values_beside_other_digits_and_capitals(spark):
+    """The value goes, and is the pseudonym it has on its own; what stands beside it stays or has its own."""
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    alone = dict(zip(
+        [card, "4111111111111111", "4111-1111-1111-1111", iban, "AT611904300234573201", "ES9121000418450200051332", "2024-01-05", "5500 0000 0000 0004"],
+        swap(spark, [card, "4111111111111111", "4111-1111-1111-1111", iban, "AT611904300234573201", "ES9121000418450200051332", "2024-01-05", "5500 0000 0000 0004"]),
+    ))
+    assert not set(alone) & set(alone.values())
+    texts = [
+        f"{card} 05/27", "4111111111111111 123", "4111-1111-1111-1111 12", f"item 12 {card}", f"1234 {card}", f"{card} 2024-01-05",
+        f"{iban} AND", "AT611904300234573201 BIC", "ES9121000418450200051332 2024", f"AB99 {iban}", f"{iban} {card}",
+        f"{iban} 2024-01-05", f"NO AB12 {card} x", f"12 {card} {card} 5500 0000 0000 0004 7",
+    ]
+    want = []
+    for t in texts:
+        for old, new in alone.items():
+            t = t.replace(old, new)
+        want.append(t)
+    assert swap(spark, texts) == want
+    digits = "1 " * 20_000
+    assert swap(spark, [digits + "x " + card, "AB12 " * 2_000]) == [digits + "x " + alone[card], "AB12 " * 2_000]
