@@ -15,7 +15,9 @@ the cut at 1 leaves over is the document's ``weight``.
 
 Targets are shares per value. Values without a target share what is left in
 proportion to their tokens; targets are scaled to sum to 1 over the values that
-occur.
+occur. Where the given targets leave nothing, values without a target (null and
+unknown ones) together keep their share of all tokens, and the given targets are
+scaled to the remainder: no document vanishes for want of a target.
 
 Defined cases: null source, language or topic is a value of its own; a null or
 blank text has no tokens and probability 1 times its cell's factor as any other
@@ -75,14 +77,20 @@ def _targets(cells: DataFrame, dim: str, mix: Mix) -> DataFrame:
     want = F.lit(None).cast("double")
     for value, share in given.items():
         want = F.when(F.col("value") == value, F.lit(float(share))).otherwise(want)
-    rows = sums.select("value", F.pow(F.col("t").cast("double"), F.lit(power)).alias("t"), want.alias("want"))
+    rows = sums.select(
+        "value", F.col("t").alias("tokens"), F.pow(F.col("t").cast("double"), F.lit(power)).alias("t"), want.alias("want")
+    )
     both = rows.agg(
-        F.sum("want").alias("fixed"), F.sum(F.when(F.col("want").isNull(), F.col("t"))).alias("open")
+        F.sum("want").alias("fixed"), F.sum(F.when(F.col("want").isNull(), F.col("t"))).alias("open"),
+        F.sum(F.when(F.col("want").isNull(), F.col("tokens"))).alias("open_tokens"), F.sum("tokens").alias("tokens"),
     ).first()
     fixed, open_ = both["fixed"] or 0.0, both["open"] or 0.0
     rest = max(0.0, 1.0 - fixed)
-    if not open_ or not rest:  # nothing to share out: the given targets fill the whole
+    if not open_:  # nothing to share out: the given targets fill the whole
         rest = 0.0
+    elif rest < 1e-9:  # the targets leave nothing: the others keep their share of the tokens
+        part = both["open_tokens"] / both["tokens"]
+        rest = fixed * part / (1.0 - part)
     total = fixed + rest
     share = F.when(F.col("want").isNull(), F.col("t") * (rest / open_ if open_ else 0.0)).otherwise(F.col("want"))
     return rows.select("value", (share / total if total else share).alias("target"))

@@ -90,3 +90,20 @@ def test_stages_take_effect(spark):
             assert after.keys() == before.keys() and after != before
     rows = corpus_pipeline.run(spark, folder).collect()
     assert {r["doc_id"] for r in rows} == set(after) and all(r["n_tokens"] >= 0 for r in rows)
+
+
+def test_values_without_target_keep_their_share(spark):
+    """The targets of MIX sum to 1; a third of the rows is in none of its languages."""
+    langs = ["en", "de", "fr", "es", "it", None]
+    df = spark.createDataFrame(
+        [(i, "w " * 10, langs[i % 6], "s") for i in range(600)], "doc_id long, text string, lang string, source string"
+    )
+    got = mixing.mix_documents(df, queries.MIX).collect()
+    expected = {v: sum(r["probability"] for r in got if r["lang"] == v) for v in langs}
+    assert all(r["probability"] > 0 and r["weight"] > 0 for r in got)
+    # half of the 600 in all; a third of it without a target, the rest as in MIX
+    uncut = {"it": 50, None: 50, "de": 30, "fr": 30, "es": 30}
+    for v, n in uncut.items():
+        assert expected[v] / expected["de"] == pytest.approx(n / 30, rel=1e-3)
+    kept = {r["lang"] for r in mixing.sample(df, queries.MIX).collect()}
+    assert {"it", None} <= kept
