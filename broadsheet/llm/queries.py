@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, chat, mixing, pseudonyms, quality, rollups, simhash, substrings, topk, warc
+from broadsheet.llm import (
+    bpe, chat, mixing, pseudonyms, quality, ranked_search, rollups, secret_scan, simhash, substrings, topk, warc, whitening,
+)
 from broadsheet.llm.common import table
 from broadsheet.llm.settings import MIX, PSEUDONYM_KEY
 from broadsheet.session import scratch_path
@@ -203,6 +205,45 @@ def op6_budgeted_chat(spark, d):
     return chat.read_back(chat.format_windows(turns.union(planted))).drop("n_windows")
 
 
+@query
+def op11_secret_scan(spark, d):
+    """Secrets in every text: plain findings, and keys and tokens confirmed by their structure."""
+    return secret_scan.digest(secret_scan.find_secrets(table(spark, d, "documents")))
+
+
+@query
+def op12_weighted_whitening(spark, d):
+    """Every vector on the 32 first principal components, with unit variance."""
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
+@query
+def op13_ranked_search(spark, d):
+    """The fifty best documents of every benchmark item."""
+    return ranked_search.rank(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+_TERMS = r"""list_transform(
+  regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+  lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"""
+ORACLE["op13_ranked_search"] = rf"""
+with d as (select doc_id, {_TERMS} as ts from documents),
+c as (select count(*) as nd, sum(len(ts))::bigint as l from d where len(ts) > 0),
+q as (select item_id, unnest(list_distinct({_TERMS})) as t from benchmark),
+p as (
+  select doc_id, n, t, count(*) as tf from (select doc_id, len(ts) as n, unnest(ts) as t from d)
+  where t in (select t from q) group by all),
+w as (
+  select t, floor(1000 * ln((2 * any_value(nd) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from p, c group by t),
+s as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // l))))::bigint as score
+  from q join p using (t) join w using (t), c group by item_id, doc_id)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from s where score > 0 qualify row_number() over (partition by item_id order by score desc, doc_id) <= 50
+"""
+
+
 @query
 def pipeline(spark, d):
     """The stages of the corpus pipeline over all documents."""
