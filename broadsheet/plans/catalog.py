@@ -16,7 +16,7 @@ from broadsheet.operators import articles as art
 from broadsheet.operators import counters, history, modules, registry, runs, snapshot, validate, windows
 from broadsheet.plans import views
 from broadsheet.schema import MICROSECONDS
-from broadsheet.session import scratch_path, settings, state_settings
+from broadsheet.session import materialise, scratch_path, settings, state_settings
 from broadsheet.sources import feeds, json_store, messages, pages, window_store
 from broadsheet.streaming import count_windows as stream_counts
 from broadsheet.streaming import sinks
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 SLIDING = WindowSpec()
 HOURLY = WindowSpec.tumbling(3600, length_unit="bytes", max_articles=3)
 FIVE_MINUTES = WindowSpec.tumbling(300)
+DAILY = WindowSpec.tumbling(86_400)
 SIX_HOURS = WindowSpec(size_s=21_600, slide_s=3_600, max_articles=5)
 TTL_S = 6 * 3600
 
@@ -384,9 +385,8 @@ def _history(spark, d):
 def _stored_history(spark, d):
     """The history as a table, for views that read it more than once."""
     path = scratch_path(spark, "history")
-    rows = _history(spark, d)
-    window_store.store(rows, path)
-    return window_store.read_windows(spark, path, schema=rows.schema)
+    window_store.store(_history(spark, d), path)
+    return window_store.read_windows(spark, path)
 
 
 @query
@@ -446,12 +446,20 @@ def stored_windows_range(spark, d):
 
 @query
 def stored_results(spark, d):
-    """Window rows stored as JSON results, with figures read back from the JSON."""
+    """Window rows of two analyses stored as JSON in halves of a day, some corrected, some batches repeated."""
     v = windows.window_view(views.articles(spark, d), HOURLY, rounded=False)
-    path = scratch_path(spark, "results")
-    window_store.store(window_store.to_results(v, views.as_of()), path)
-    r = window_store.read_windows(spark, path)
-    return r.select(
+    r = materialise(window_store.to_results(v, views.as_of()), "rows")
+    early = F.hour("window_start") < 12
+    halves = {"mornings": r.filter(early), "afternoons": r.filter(~early)}
+    daily = windows.window_view(views.articles(spark, d), DAILY, rounded=False)
+    halves["days"] = window_store.to_results(daily, views.as_of(), "daily")
+    # windows stored before are stored again with other figures, then as they were
+    changed = r.filter(F.hour("window_start") % 5 == 3).withColumn("results", F.lit("{}"))
+    halves |= {"wrong": changed, "right": r.filter(F.hour("window_start") % 5 == 3)}
+    stored = window_store.WindowStore(spark, scratch_path(spark, "results"))
+    for batch in ("mornings", "afternoons", "days", "wrong", "mornings", "right", "wrong"):
+        stored.merge(halves[batch], batch)
+    return stored.read().select(
         "window_start", "window_end", "analysis_type",
         F.get_json_object("results", "$.total_articles").cast("long").alias("total_articles"),
         F.coalesce(F.get_json_object("results", "$.articles_per_source.src3").cast("long"), F.lit(0)).alias("from_src3"),
@@ -459,6 +467,18 @@ def stored_results(spark, d):
     )
 
 
+@query
+def retained_windows(spark, d):
+    """What is left of stored hourly windows once days without one of the newest 30 are dropped and their files removed."""
+    rows = windows.window_stats(views.articles(spark, d), HOURLY)
+    stored = window_store.WindowStore(spark, scratch_path(spark, "retained"))
+    stored.merge(rows.filter(F.hour("window_start") % 2 == 0), "even")
+    stored.merge(rows.filter(F.hour("window_start") % 2 == 1), "odd")
+    stored.retain(30)
+    stored.vacuum(commits=0)
+    return stored.read().select("window_start", "window_end", "total_articles", "sources_count")
+
+
 # ---- extraction and messages ----------------------------------------------------
 
 

@@ -324,10 +324,18 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
             select {W}, total_articles::int as total_articles, rate_per_sec as publishing_rate, avg_title_length,
               avg_description_length as avg_desc_length from s
             where window_start >= TIMESTAMP '2024-01-01 06:00:00' and window_end <= TIMESTAMP '2024-01-02 12:00:00'""",
-        "stored_results": with_(A, HOURLY, KEYS, COUNTS) + f"""select {W}, 'sliding_window' as analysis_type,
+        "stored_results": " union all ".join("(" + with_(A, m, KEYS, COUNTS) + f"""select {W}, '{name}' as analysis_type,
             sum(n) filter (kind = 'source')::bigint as total_articles,
             coalesce(max(n) filter (kind = 'source' and key = 'src3'), 0) as from_src3,
-            max(n) filter (kind = 'keyword') as best_frequency from counts group by all""",
+            max(n) filter (kind = 'keyword') as best_frequency from counts group by all)"""
+            for m, name in ((HOURLY, "sliding_window"), (members(86_400, 86_400), "daily"))),
+        "retained_windows": with_(A, HOURLY, """
+            w as (select window_start, window_end, count(*) as total_articles, count(distinct source) as sources_count
+              from m group by all),
+            days as (select window_start::date as day, count(*) as n from w group by all),
+            kept as (select day, coalesce(sum(n) over (order by day desc rows between unbounded preceding and 1 preceding), 0)
+              as newer from days)""") + """
+            select w.* from w join kept on window_start::date = day where newer < 30""",
         "html_articles": f"""select page_id, 0 as pos, {PAGE_TITLE} as title, url as link, 'html' as source_type
             from pages where {PAGE_TITLE} <> ''""",
         "html_articles_strict": f"""select page_id, 0 as pos, {PAGE_TITLE} as title,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -44,12 +45,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf) ->
 def shared_root(spark: SparkSession) -> str:
     """Folder that the driver and every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent, a folder in the warehouse, which is shared as well.
+    On one machine, where every path is shared, the warehouse serves if the setting is absent.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return root
+    if root:
+        return root
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -57,6 +60,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern."""
+    where, files = _file_system(spark, pattern)
+    return [s.getPath().toString() for s in files.globStatus(where) or []]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds, wherever Spark can write."""
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write rows to a table under the shared root and read them back.
 

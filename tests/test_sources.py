@@ -4,6 +4,7 @@ import json
 import os
 from datetime import datetime
 
+import pytest
 from helpers import article, at, frame, values
 from pyspark.sql import functions as F
 
@@ -214,8 +215,8 @@ def test_window_store(spark, folder):
     window_store.store(stats, f"{folder}/w")
     part = window_store.read_windows(spark, f"{folder}/w", F.lit(at(86400)).cast("timestamp"), F.lit(at(86400 + 7200)).cast("timestamp"))
     assert values(part, "window_start", "total_articles") == [(at(86400), 2), (at(90000), 2)]
-    plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(window_" in plan
+    assert all("day=2024-01-02" in f for f in part.inputFiles())
+    assert "PushedFilters: [IsNotNull(window_" in part._jdf.queryExecution().executedPlan().toString()
     by_source = window_store.columnar_by_source(stats, windows.window_key_counts(df, spec, ("source",)))
     view = window_store.columnar_from_view(windows.window_view(df, spec, rounded=False))
     assert by_source.columns == view.columns == [*window_store.EXPORT_COLUMNS, "source", "source_count"]
@@ -239,16 +240,77 @@ def test_run_files(spark, folder):
     assert values(run_files.summaries_of(again), "scraper", "avg_execution_time") == [("go", 2.0)]
 
 
-def test_store_twice_and_empty(spark, folder):
-    from broadsheet.config import WindowSpec
-    from broadsheet.operators import windows as win
-
-    stats = win.window_stats(frame(spark, [article(i, i * 50_000) for i in range(6)]), WindowSpec.tumbling(3600))
-    for _ in range(2):
-        window_store.store(stats, f"{folder}/twice")
-    assert window_store.read_windows(spark, f"{folder}/twice").count() == stats.count()
-    window_store.store(stats.limit(0), f"{folder}/none")
-    assert window_store.read_windows(spark, f"{folder}/none", schema=stats.schema).count() == 0
+def stored(store):
+    return values(store.read(), "window_start", "analysis_type", "results")
+
+
+def results(spark, hours, analysis="sliding_window", note="a"):
+    rows = [(at(3600 * h), at(3600 * h + 3600), analysis, f"{note}{h}") for h in hours]
+    return spark.createDataFrame(rows, "window_start timestamp, window_end timestamp, analysis_type string, results string")
+
+
+def test_store_merges_by_window_and_type(spark, folder):
+    store = window_store.WindowStore(spark, f"{folder}/s")
+    assert store.merge(results(spark, range(12)), "early")
+    assert store.merge(results(spark, range(12, 30)), "late")  # the other half of the day, and the next
+    assert store.merge(results(spark, range(6), "other"), "other type")
+    want = stored(store)
+    assert len(want) == 36
+    for batch in ("early", "late", "other type"):
+        assert not store.merge(results(spark, range(12), note="again"), batch)
+        assert stored(store) == want
+    store.merge(results(spark, [3, 27, 50], note="b"), "corrected")
+    got = {(w, t): r for w, t, r in stored(store)}
+    assert len(got) == 37 and {r for r in got.values() if r[0] == "b"} == {"b3", "b27", "b50"}
+    assert got[(at(3 * 3600), "other")] == "a3"
+    store.merge(results(spark, []), "empty")
+    assert not store.merge(results(spark, [1], note="c"), "empty") and len(stored(store)) == 37
+    assert store.read(F.lit(at(86400)).cast("timestamp"), F.lit(at(86400 + 7200)).cast("timestamp")).count() == 2
+    # other types may bring other columns, and no type at all
+    store.merge(results(spark, [4]).withColumn("extra", F.lit(1)).withColumn("analysis_type", F.lit(None).cast("string")), "wide")
+    assert store.read().filter("extra = 1").count() == 1 and store.read().count() == 38
+    store.merge(results(spark, [4], note="d").withColumn("analysis_type", F.lit(None).cast("string")), "wide again")
+    assert store.read().count() == 38
+
+
+def test_empty_store(spark, folder):
+    store = window_store.WindowStore(spark, f"{folder}/none")
+    with pytest.raises(ValueError):
+        store.read()
+    store.merge(results(spark, []), "nothing")
+    assert store.read().count() == 0 and store.retain(3) == [] and store.vacuum() == 0
+
+
+def test_failed_batch_leaves_the_store_as_it_is(spark, folder):
+    store = window_store.WindowStore(spark, f"{folder}/s")
+    store.merge(results(spark, range(3)), "one")
+    want = stored(store)
+    broken = results(spark, range(5)).withColumn("results", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        store.merge(broken, "two")
+    assert stored(store) == want
+    assert store.merge(results(spark, range(3, 5)), "two") and len(stored(store)) == 5
+
+
+def test_retention_beside_a_reader(spark, folder):
+    store = window_store.WindowStore(spark, f"{folder}/s")
+    store.merge(results(spark, range(0, 96, 2)), "even")
+    store.merge(results(spark, range(1, 96, 2)), "odd")
+    reader = store.read()
+    assert [str(d) for d in store.retain(25)] == ["2024-01-01", "2024-01-02"]
+    assert store.vacuum(commits=3) == 0 and reader.count() == 96  # the old state is still there
+    assert store.read().count() == 48 and store.retain(25) == []
+    assert store.vacuum(commits=0) == 6 and store.read().count() == 48
+    store.merge(results(spark, [5]), "a dropped day comes back")
+    assert store.read().count() == 49 and store.vacuum(commits=0) == 0
+
+
+def test_store_as_the_sink_of_a_stream(spark, folder):
+    sink = window_store.store_sink(f"{folder}/s", "q")
+    for _ in range(2):  # a batch is delivered twice
+        sink(results(spark, range(3)), 0)
+    sink(results(spark, range(2, 5), note="b"), 1)
+    assert [r for _, _, r in stored(window_store.WindowStore(spark, f"{folder}/s"))] == ["a0", "a1", "b2", "b3", "b4"]
 
 
 def test_json_keeps_microseconds(spark, folder):
