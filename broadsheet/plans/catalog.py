@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.config import WindowSpec, kinds_for
+from broadsheet.config import StreamSpec, WindowSpec, kinds_for
 from broadsheet.functions.dates import parse_iso, parse_published, rfc3339
 from broadsheet.functions.html import sanitize_html
 from broadsheet.functions.text import words
@@ -18,8 +18,7 @@ from broadsheet.plans import views
 from broadsheet.schema import MICROSECONDS
 from broadsheet.session import materialise, scratch_path, settings, state_settings
 from broadsheet.sources import feeds, json_store, messages, pages, window_store
-from broadsheet.streaming import count_windows as stream_counts
-from broadsheet.streaming import sinks
+from broadsheet.streaming import ordered, running, sinks
 from broadsheet.streaming import windows as stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -792,15 +791,42 @@ def stream_top_keywords(spark, d):
     return windows.top_keywords(art.gather([closed, tail]))
 
 
+def _sharded(a):
+    """Articles with the broker partition they came through, so that no source sits in one task."""
+    return a.withColumn("shard", (F.col("doc_id") % 4).cast("int"))
+
+
 @query
 def stream_count_windows(spark, d):
-    """Windows closed by the seventh article of a source."""
-    rows = stream_counts.count_windows(views.article_stream(spark, d), 7, ["source"])
+    """Windows of seven articles per source and shard in event order, emitted by the stream, then those left open."""
+    keys = ["source", "shard"]
+    rows = ordered.ordered_count_windows(_sharded(views.article_stream(spark, d)), 7, keys, "doc_id")
     closed, _ = _to_end(spark, rows, "stream-counts")
-    return closed.groupBy("source").agg(
-        F.count(F.lit(1)).alias("windows"), F.sum("total_articles").alias("articles"),
-        F.max("window_no").alias("last_window"),
-    )
+    left = ordered.open_count_windows(_sharded(views.articles(spark, d)), closed, 7, keys, "doc_id")
+    return art.gather([closed.withColumn("by_stream", F.lit(True)), left.withColumn("by_stream", F.lit(False))])
+
+
+@query
+def stream_capped_windows(spark, d):
+    """Windows over their five newest articles, the stream holding no more than that per pane and shard."""
+    kept = ordered.newest_per_pane(_sharded(views.article_stream(spark, d)), SIX_HOURS, "doc_id")
+    closed, until = _to_end(spark, kept, "stream-newest")
+    left = ordered.stored_newest_per_pane(views.articles(spark, d), SIX_HOURS, until, "doc_id")
+    return ordered.windows_of_newest(art.gather([closed, left]), SIX_HOURS)
+
+
+@query
+def stream_running_windows(spark, d):
+    """Three runs of one stream, each with a third of the events: every window as it stood after each."""
+    path = scratch_path(spark, "running")
+    events = views.table(spark, d, "events").select("event_id", "ts", "event_type")
+    wait = StreamSpec(watermark="400 days")
+    for run in range(3):
+        events.filter(F.col("event_id") % 3 == run).write.parquet(f"{path}/events/run={run}")
+        updates = running.stream_pane_updates(views.arriving_articles(spark, d, f"{path}/events/*"), SIX_HOURS, wait)
+        with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
+            running.write_updates(updates, f"{path}/updates", f"{path}/checkpoint").awaitTermination()
+    return running.window_versions(running.read_updates(spark, f"{path}/updates", updates), SIX_HOURS).drop("batch_id")
 
 
 @query

@@ -400,8 +400,24 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
         "stream_tumbling_stats": hour_stats,
         "stream_sliding_stats": slide_stats,
         "stream_top_keywords": six_keys + f"select {W}, key as word, n as frequency, rank from best",
-        "stream_count_windows": with_(A) + """select source, count(*) // 7 as windows, count(*) // 7 * 7 as articles,
-            count(*) // 7 - 1 as last_window from a group by source having count(*) >= 7""",
+        "stream_count_windows": with_(A, """n as (select *, (doc_id % 4)::int as shard,
+              (row_number() over (partition by source, doc_id % 4 order by ts, doc_id) - 1) // 7 as window_no from a)""",
+            """g as (select source, shard, window_no, count(*) as total_articles, sum(tb) / count(*) as avg_title_length,
+              sum(db) / count(*) as avg_description_length, min(ts) as first_article_at, max(ts) as last_article_at,
+              count(*) = 7 as closed from n group by all)""") + """select *, closed and epoch_us(last_article_at) <=
+              (select (epoch_ms(max(ts)) - 60000) * 1000 from a) as by_stream from g""",
+        "stream_capped_windows": with_(A, SIX, """c as (select *, count(*) over (partition by window_start) as arrived from m
+            qualify row_number() over (partition by window_start order by ts desc, doc_id desc) <= 5)""") + f"""
+            select {W}, count(distinct source) as sources_count, sum(tc) / count(*) as avg_title_length,
+              sum(dc) / count(*) as avg_description_length, count(*) / 360e0 as rate_per_min, max(ts) as last_article_at,
+              arrived, count(*) as kept, arrived - count(*) as dropped from c group by {W}, arrived""",
+        "stream_running_windows": with_(A, SIX, """v as (select m.*, run from m, range(3) t(run) where doc_id % 3 <= run)""",
+            f"""s as (select {W}, run, count(*) as total_articles, count(distinct source) as sources_count,
+              sum(tc) / count(*) as avg_title_length, sum(dc) / count(*) as avg_description_length,
+              count(*) / 360e0 as rate_per_min, max(ts) as last_article_at from v group by {W}, run
+              having count(*) filter (doc_id % 3 = run) > 0)""") + """
+            select * exclude run, (row_number() over (partition by window_start order by run))::int as version,
+              run = max(run) over (partition by window_start) as latest from s""",
         "stream_unique_links": with_(A) + "select distinct lang || '/' || ts::date as link from a",
         "stream_delivery": with_(A) + "select doc_id, source, link from a",
         "stream_delivery_taken": with_(A) + """select doc_id, source, link, place from a,

@@ -133,10 +133,12 @@ def fan_out(*sinks: BatchFn) -> BatchFn:
     return run
 
 
-def start(df: DataFrame, sink: BatchFn, checkpoint: str, stream: StreamSpec = StreamSpec()) -> StreamingQuery:
+def start(
+    df: DataFrame, sink: BatchFn, checkpoint: str, stream: StreamSpec = StreamSpec(), mode: str = "append"
+) -> StreamingQuery:
     """Run a sink on every micro-batch; offsets are committed after the sink returns."""
     return (
-        df.writeStream.outputMode("append")
+        df.writeStream.outputMode(mode)
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(**stream.trigger)
