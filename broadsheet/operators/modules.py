@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.config import WindowSpec
@@ -29,13 +29,20 @@ class AnalysisModule(ABC):
         return self.prepare(articles).groupBy(*by).agg(*self.aggregates())
 
 
+def word_count(articles: DataFrame, text: str = "description") -> Column:
+    """Words of a text; a count that is there, as ``<text>_words``, is taken as it is."""
+    if f"{text}_words" in articles.columns:
+        return F.col(f"{text}_words")
+    return F.size(words(F.col(text))).cast("long")
+
+
 class BasicStatistics(AnalysisModule):
     """Articles, sources and mean word count."""
 
     name = "basic"
 
     def prepare(self, articles: DataFrame) -> DataFrame:
-        return articles.withColumn("_words", F.size(words(F.col("description"))).cast("long"))
+        return articles.withColumn("_words", word_count(articles))
 
     def aggregates(self) -> list[Column]:
         return [
@@ -51,7 +58,7 @@ def apply_modules(articles: DataFrame, modules: list[AnalysisModule], by: list[s
 
 def word_count_distribution(articles: DataFrame, width: int = 100, text: str = "description") -> DataFrame:
     """Articles per word-count bucket of ``width`` words."""
-    n = F.size(words(F.col(text))).cast("long")
+    n = word_count(articles, text)
     bucket = (F.floor(n / width) * width).cast("long")
     return articles.groupBy(bucket.alias("words_from")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -59,28 +66,32 @@ def word_count_distribution(articles: DataFrame, width: int = 100, text: str = "
 def emerging_keys(counts: DataFrame, spec: WindowSpec, kind: str = "keyword") -> DataFrame:
     """Keys of a window with their share of it and of the window just before, vanished keys included.
 
-    The window before is found by an equality join on (key, window), so a key
-    present in all windows is spread over as many groups.
+    The counts are written once. A key's neighbours in time come from its own rows in order, one row per
+    window, and the totals of windows are a small table beside them.
     """
-    rows = counts.filter(F.col("kind") == kind)
-    totals = rows.groupBy("window_start").agg(F.sum("n").alias("total"))
-    shares = rows.join(totals, "window_start").select(
-        "window_start", "key", "n", (F.col("n") / F.col("total")).alias("share")
-    )
+    rows = materialise(counts.filter(F.col("kind") == kind).select("window_start", "key", "n"), "key-counts")
     step = F.expr(f"INTERVAL {spec.size_s} SECONDS")
-    earlier = shares.select(
-        (F.col("window_start") + step).alias("window_start"), "key", F.col("share").alias("previous_share")
-    )
+    totals = rows.groupBy("window_start").agg(F.sum("n").alias("total"))
+    next_total = totals.select((F.col("window_start") - step).alias("window_start"), F.lit(True).alias("next_exists"))
+    totals = totals.join(next_total, "window_start", "left")
+    order = Window.partitionBy("key").orderBy("window_start")
+    share = F.col("n") / F.col("total")
+    shares = rows.join(totals, "window_start").withColumn("share", share)
+    goes_on = F.coalesce(F.lead("window_start").over(order) == F.col("window_start") + step, F.lit(False))
+    came = F.when(F.lag("window_start").over(order) == F.col("window_start") - step, F.lag("share").over(order))
+    placed = shares.select("*", goes_on.alias("_on"), F.coalesce(came, F.lit(0.0)).alias("previous_share"))
+
+    def entry(start, n, share, previous):
+        return F.struct(start.alias("window_start"), n.alias("n"), share.alias("share"), previous.alias("previous_share"))
+
+    here = entry(F.col("window_start"), F.col("n"), F.col("share"), F.col("previous_share"))
     # a window without articles has no keys that vanished from it
-    earlier = earlier.join(totals.select("window_start"), "window_start", "left_semi")
-    both = shares.join(earlier, ["window_start", "key"], "full")
-    return both.select(
-        "window_start",
-        "key",
-        F.coalesce("n", F.lit(0).cast("long")).alias("n"),
-        F.coalesce("share", F.lit(0.0)).alias("share"),
-        F.coalesce("previous_share", F.lit(0.0)).alias("previous_share"),
+    gone = F.when(
+        ~F.col("_on") & F.col("next_exists"),
+        entry(F.col("window_start") + step, F.lit(0).cast("long"), F.lit(0.0), F.col("share")),
     )
+    both = placed.select("key", F.inline(F.array_compact(F.array(here, gone))))
+    return both.select("window_start", "key", "n", "share", "previous_share")
 
 
 def sentiment(articles: DataFrame, lexicon: DataFrame, by: list[str], text: str = "title") -> DataFrame:

@@ -8,6 +8,9 @@ overlapping windows, never the articles.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from math import gcd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,18 +49,18 @@ def measures() -> list[Column]:
     return [_count().alias("n"), *[F.sum(c).alias(c) for c in SUMS[1:]], F.max("ts").alias("last_at")]
 
 
-def _keys_of(kind: str) -> Column:
-    """The keys one article contributes to a breakdown, as an array."""
+def _keys_of(kind: str, columns: list[str]) -> Column:
+    """The keys one article contributes to a breakdown, as an array. Keywords that are there are taken as they are."""
     return {
         "source": F.array_compact(F.array(F.col("source"))),
         "source_type": F.array_compact(F.array(F.col("source_type"))),
         "category": F.filter("categories", lambda c: c.isNotNull()),
-        "keyword": keywords(F.col("title")),
+        "keyword": F.col("title_keywords") if "title_keywords" in columns else keywords(F.col("title")),
     }[kind]
 
 
-def _tagged(kind: str) -> Column:
-    return F.transform(_keys_of(kind), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
+def _tagged(kind: str, columns: list[str]) -> Column:
+    return F.transform(_keys_of(kind, columns), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
 
 
 def key_rows(articles: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
@@ -66,8 +69,8 @@ def key_rows(articles: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
         kind = kinds[0]
         if kind in ("source", "source_type"):
             return articles.filter(F.col(kind).isNotNull()).select("ts", F.lit(kind).alias("kind"), F.col(kind).alias("key"))
-        return articles.select("ts", F.lit(kind).alias("kind"), F.explode(_keys_of(kind)).alias("key"))
-    tagged = F.concat(*[_tagged(k) for k in kinds])
+        return articles.select("ts", F.lit(kind).alias("kind"), F.explode(_keys_of(kind, articles.columns)).alias("key"))
+    tagged = F.concat(*[_tagged(k, articles.columns) for k in kinds])
     return articles.select("ts", F.explode(tagged).alias("_k")).select("ts", "_k.kind", "_k.key")
 
 
@@ -150,6 +153,60 @@ def window_stats(articles: DataFrame, spec: WindowSpec) -> DataFrame:
     return with_end(stats, spec).withColumn("rate_per_sec", rate)
 
 
+def lattice_s(specs: Iterable[WindowSpec]) -> int:
+    """Width of the panes that every window of every spec is a union of."""
+    return gcd(*[s.pane_s for s in specs])
+
+
+def lattice(articles: DataFrame, specs: dict[str, WindowSpec]) -> DataFrame:
+    """Measures per pane and source, of panes that all specs share."""
+    pane = F.window("ts", f"{lattice_s(specs.values())} seconds").start
+    return lengths(articles).groupBy(pane.alias("pane"), "source").agg(*measures())
+
+
+def _starts(spec: WindowSpec) -> Column:
+    """Starts of the windows that hold a pane, in epoch seconds."""
+    at = F.unix_seconds("pane")
+    last = at - F.pmod(at, F.lit(spec.slide_s))
+    earlier = F.transform(F.sequence(F.lit(0), F.lit((spec.size_s - 1) // spec.slide_s)), lambda k: last - k * F.lit(spec.slide_s))
+    return F.filter(earlier, lambda s: s + F.lit(spec.size_s) > at)
+
+
+def roll_up(panes: DataFrame, specs: dict[str, WindowSpec]) -> DataFrame:
+    """Statistics of every named aggregator from panes they share: ``aggregator``, and the columns of ``window_stats``.
+
+    The panes are read once; a pane and source becomes one row per window of every spec that holds it.
+    """
+    def entries(name: str, spec: WindowSpec) -> Column:
+        return F.transform(_starts(spec), lambda s: F.struct(F.lit(name).alias("aggregator"), s.alias("s")))
+
+    named = [entries(name, s) for name, s in specs.items()]
+    spread = panes.select("*", F.inline(F.concat(*named))).drop("pane")
+    per_source = spread.groupBy("aggregator", "s", "source").agg(*[F.sum(c).alias(c) for c in SUMS], F.max("last_at").alias("last_at"))
+
+    def by_name(value: Callable[[WindowSpec], Column]) -> Column:
+        out = F.lit(None)
+        for name, s in specs.items():
+            out = F.when(F.col("aggregator") == name, value(s)).otherwise(out)
+        return out
+
+    n = F.sum("n")
+    stats = per_source.groupBy("aggregator", "s").agg(
+        n.alias("total_articles"),
+        _count().alias("sources_count"),
+        *[
+            (F.sum(by_name(lambda s: F.col(f"{part}_{s.length_unit}"))) / n).alias(name)  # noqa: B023 (called at once)
+            for part, name in (("title", "avg_title_length"), ("desc", "avg_description_length"))
+        ],
+        F.max("last_at").alias("last_article_at"),
+    )
+    start = F.timestamp_seconds("s").alias("window_start")
+    end = F.timestamp_seconds(F.col("s") + by_name(lambda s: F.lit(s.size_s))).alias("window_end")
+    rate = (F.col("total_articles") / by_name(lambda s: F.lit(s.minutes))).alias("rate_per_min")
+    stats = stats.select("aggregator", start, end, *stats.columns[2:6], rate, "last_article_at")
+    return stats.withColumn("rate_per_sec", rate_per_sec(F.col("total_articles"), F.col("window_start"), F.col("last_article_at")))
+
+
 def window_leaders(articles: DataFrame, spec: WindowSpec) -> DataFrame:
     """Window statistics with the leading source of each window; equal counts go to the first name.
 

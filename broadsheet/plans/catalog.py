@@ -226,11 +226,8 @@ def forced_close_windows(spark, d):
 @query
 def named_aggregators(spark, d):
     specs = {"hour": HOURLY, "six_hours": SIX_HOURS}
-    frames = stream_windows.aggregators(views.articles(spark, d), specs)
-    return art.gather(
-        [f.select(F.lit(name).alias("aggregator"), "window_start", "total_articles", "avg_title_length")
-         for name, f in frames.items()]
-    )
+    rows = windows.roll_up(windows.lattice(views.articles(spark, d), specs), specs)
+    return rows.select("aggregator", "window_start", "total_articles", "avg_title_length")
 
 
 # ---- trailing window ------------------------------------------------------------
@@ -242,6 +239,17 @@ def trailing_snapshot(spark, d):
     return snapshot.snapshot(a, views.latest_ts(a), SIX_HOURS)
 
 
+@query
+def trailing_snapshots(spark, d):
+    """The trailing window at a thousand instants, evenly spaced from the first event to the last."""
+    a = views.articles(spark, d)
+    lo, hi = views.table(spark, d, "events").agg(F.min("ts"), F.max("ts")).select(
+        F.unix_micros(F.col("min(ts)").cast("timestamp")), F.unix_micros(F.col("max(ts)").cast("timestamp"))
+    ).first()
+    step = F.expr(f"timestamp_micros({lo or 0} + (id * {(hi or 0) - (lo or 0)}) div 999)")
+    return snapshot.snapshots(a, spark.range(1000).select(step.alias("as_of")), SIX_HOURS)
+
+
 @query
 def trailing_sources(spark, d):
     a = views.articles(spark, d)
@@ -323,12 +331,11 @@ def rfc3339_texts(spark, d):
 
 @query
 def validation_verdicts(spark, d):
-    v = validate.validate(views.articles(spark, d), views.as_of())
-    out = F.col("verdict.validated_article")
+    v = validate.verdicts(views.checked_articles(spark, d), views.as_of())
     return v.select(
-        "doc_id", "verdict.success", "verdict.error_code", "verdict.error",
-        out["title"].alias("title"), out["link"].alias("link"), out["published"].alias("published"),
-        F.coalesce(F.octet_length(out["description"]), F.lit(0)).alias("desc_bytes"),
+        "doc_id", "success", "error_code", "error", F.col("valid_title").alias("title"), F.col("valid_link").alias("link"),
+        F.col("valid_published").alias("published"),
+        F.when(F.col("success"), F.col("checked_bytes")).otherwise(0).alias("desc_bytes"),
     )
 
 
@@ -337,14 +344,17 @@ def verdicts_without_source(spark, d):
     """Every sixth article has a blank source or none; the other checks come first."""
     k = F.col("doc_id") % 12
     blank = F.when(k == 5, " ").when(k != 11, F.col("source"))
-    v = validate.validate(views.articles(spark, d).withColumn("source", blank), views.as_of())
-    return v.select("doc_id", "verdict.error_code", "verdict.error")
+    v = validate.verdicts(views.checked_articles(spark, d).withColumn("source", blank), views.as_of())
+    return v.select("doc_id", "error_code", "error")
 
 
 @query
 def valid_and_invalid(spark, d):
     """Accepted and refused rows with an unvalidated column beside them."""
-    valid, invalid = validate.split_valid(views.articles(spark, d), views.as_of())
+    a = views.checked_articles(spark, d).select("doc_id", "source_type", *validate.FIELDS, *validate.TEXT_CHECKS)
+    path = scratch_path(spark, "routed")
+    validate.write_routed(a, path, views.as_of())
+    valid, invalid = validate.read_routed(spark, path, a.schema)
     return art.gather(
         [valid.select("doc_id", "source_type", F.lit(None).cast("string").alias("error_code")),
          invalid.select("doc_id", "source_type", "error_code")]
@@ -353,7 +363,7 @@ def valid_and_invalid(spark, d):
 
 @query
 def verdict_messages(spark, d):
-    v = validate.validate(views.articles(spark, d), views.as_of())
+    v = validate.validate(views.checked_articles(spark, d), views.as_of())
     text = validate.verdict_json()
     return v.select(
         "doc_id",
@@ -365,13 +375,13 @@ def verdict_messages(spark, d):
 
 @query
 def validation_summary(spark, d):
-    return validate.reason_counts(views.articles(spark, d), views.as_of())
+    return validate.reason_counts(views.checked_articles(spark, d), views.as_of())
 
 
 @query
 def stage_counters(spark, d):
-    v = validate.validate(views.articles(spark, d), views.as_of())
-    return counters.stage_counters(v, F.col("verdict.success"))
+    v = validate.verdicts(views.checked_articles(spark, d), views.as_of())
+    return counters.stage_counters(v, F.col("success"))
 
 
 # ---- history --------------------------------------------------------------------
@@ -754,14 +764,18 @@ def histogram_buckets(spark, d):
 # ---- streams --------------------------------------------------------------------
 
 
-def _to_end(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str | None]:
-    """Run a stream over all present input; its table and the time up to which windows are closed."""
+def _to_end(spark: SparkSession, df: DataFrame, name: str, end="window_end") -> tuple[DataFrame, str | None]:
+    """Run a stream over all present input; its table and the time up to which windows are closed, by their end."""
     path = scratch_path(spark, name)
     with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
         q = stream_windows.write_table(df, f"{path}/rows", f"{path}/checkpoint")
     q.awaitTermination()
     rows = spark.read.schema(df.schema).parquet(f"{path}/rows")
-    return rows, stream_windows.closed_until(q, rows)
+    return rows, stream_windows.closed_until(q, rows, end)
+
+
+def _pane_end(width_s: int):
+    return F.col("pane") + F.expr(f"INTERVAL {width_s} SECONDS")
 
 
 def _stream_stats(spark, d, spec, name):
@@ -801,16 +815,27 @@ def stream_count_windows(spark, d):
     """Windows of seven articles per source and shard in event order, emitted by the stream, then those left open."""
     keys = ["source", "shard"]
     rows = ordered.ordered_count_windows(_sharded(views.article_stream(spark, d)), 7, keys, "doc_id")
-    closed, _ = _to_end(spark, rows, "stream-counts")
+    closed, _ = _to_end(spark, rows, "stream-counts", "last_article_at")
     left = ordered.open_count_windows(_sharded(views.articles(spark, d)), closed, 7, keys, "doc_id")
     return art.gather([closed.withColumn("by_stream", F.lit(True)), left.withColumn("by_stream", F.lit(False))])
 
 
+@query
+def stream_named_aggregators(spark, d):
+    """Two named aggregators over one stream, whose state is the panes they share."""
+    specs = {"hour": HOURLY, "six_hours": SIX_HOURS}
+    panes = stream_windows.stream_lattice(views.article_stream(spark, d), specs)
+    closed, until = _to_end(spark, panes, "stream-lattice", _pane_end(windows.lattice_s(specs.values())))
+    left = stream_windows.finalize_lattice(views.articles(spark, d), specs, until)
+    rows = windows.roll_up(art.gather([closed, left]), specs)
+    return rows.select("aggregator", "window_start", "total_articles", "avg_title_length")
+
+
 @query
 def stream_capped_windows(spark, d):
     """Windows over their five newest articles, the stream holding no more than that per pane and shard."""
     kept = ordered.newest_per_pane(_sharded(views.article_stream(spark, d)), SIX_HOURS, "doc_id")
-    closed, until = _to_end(spark, kept, "stream-newest")
+    closed, until = _to_end(spark, kept, "stream-newest", _pane_end(SIX_HOURS.pane_s))
     left = ordered.stored_newest_per_pane(views.articles(spark, d), SIX_HOURS, until, "doc_id")
     return ordered.windows_of_newest(art.gather([closed, left]), SIX_HOURS)
 
@@ -835,8 +860,8 @@ def stream_unique_links(spark, d):
     a = views.article_stream(spark, d)
     link = F.concat_ws("/", F.col("categories")[0], F.to_date("ts"))
     rows = stream_windows.stream_unique_links(a.withColumn("link", link), "40 days")
-    closed, _ = _to_end(spark, rows.select("link"), "stream-unique")
-    return closed
+    closed, _ = _to_end(spark, rows.select("link", "ts"), "stream-unique", "ts")
+    return closed.select("link")
 
 
 @query

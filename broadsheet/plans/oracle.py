@@ -253,6 +253,13 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
             select 'hour' as aggregator, window_start, count(*) as total_articles, sum(tb) / count(*) as avg_title_length
               from m group by all
             union all select 'six_hours', window_start, count(*), sum(tc) / count(*) from m6 group by all""",
+        "trailing_snapshots": with_(A, """b as (select epoch_us(min(ts)) as lo, epoch_us(max(ts)) as hi from a)""",
+            """i as (select distinct make_timestamp(lo + (k * (hi - lo)) // 999) as t from b, range(1000) r(k))""") + """
+            select count(ts) as total_articles, count(distinct source) as sources_count,
+              case when count(ts) > 0 then sum(tc) / count(ts) else 0 end as avg_title_length,
+              case when count(ts) > 0 then sum(dc) / count(ts) else 0 end as avg_description_length,
+              count(ts) / 360e0 as rate_per_min, t - interval 6 hour as window_start, t as window_end
+            from i left join a on ts >= t - interval 6 hour and ts <= t group by t""",
         "trailing_snapshot": with_(A, "n as (select max(ts) as t from a)") + """
             select count(*) as total_articles, count(distinct source) as sources_count,
               sum(tc) / count(*) as avg_title_length, sum(dc) / count(*) as avg_description_length,
@@ -406,6 +413,10 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
               sum(db) / count(*) as avg_description_length, min(ts) as first_article_at, max(ts) as last_article_at,
               count(*) = 7 as closed from n group by all)""") + """select *, closed and epoch_us(last_article_at) <=
               (select (epoch_ms(max(ts)) - 60000) * 1000 from a) as by_stream from g""",
+        "stream_named_aggregators": with_(A, HOURLY, members(21_600, 3_600, "m6")) + """
+            select 'hour' as aggregator, window_start, count(*) as total_articles, sum(tb) / count(*) as avg_title_length
+              from m group by all
+            union all select 'six_hours', window_start, count(*), sum(tc) / count(*) from m6 group by all""",
         "stream_capped_windows": with_(A, SIX, """c as (select *, count(*) over (partition by window_start) as arrived from m
             qualify row_number() over (partition by window_start order by ts desc, doc_id desc) <= 5)""") + f"""
             select {W}, count(distinct source) as sources_count, sum(tc) / count(*) as avg_title_length,

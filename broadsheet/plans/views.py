@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.operators import windows
+from broadsheet.functions.text import keywords, words
+from broadsheet.operators import validate, windows
 from broadsheet.session import prepare
 
 EVENTS = T.StructType(
@@ -20,6 +21,9 @@ EVENTS = T.StructType(
     ]
 )
 
+# figures of the texts that are taken per document
+OF_TEXTS = (*windows.SUMS[1:], "title_keywords", "description_words")
+
 # validation treats this instant as "now"
 AS_OF = "2024-06-01 00:00:00"
 
@@ -55,10 +59,12 @@ def published_text(doc_id: Column, ts: Column) -> Column:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with their title and text lengths, so that the join carries the text only where a query needs it."""
+    """Documents with figures of their texts, so that the join carries a text only where a query needs it."""
     title = F.split_part("text", F.lit("\n"), F.lit(1))
     docs = table(spark, folder, "documents").select("doc_id", "lang", "source", title.alias("title"), F.col("text").alias("description"))
-    return windows.with_lengths(docs)
+    return windows.with_lengths(docs).withColumns(
+        {"title_keywords": keywords(F.col("title")), "description_words": F.size(words(F.col("description"))).cast("long")}
+    )
 
 
 def _as_articles(docs: DataFrame, events: DataFrame, n_docs: Column) -> DataFrame:
@@ -78,7 +84,8 @@ def _as_articles(docs: DataFrame, events: DataFrame, n_docs: Column) -> DataFram
         F.array("lang", "event_type").alias("categories"),
         F.col("ts").alias("scraped_at"),
         "ts",
-        *windows.SUMS[1:],
+        *OF_TEXTS,
+        *[c for c in docs.columns if c in validate.TEXT_CHECKS],
     )
 
 
@@ -93,6 +100,12 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     return _as_articles(_documents(spark, folder), events, _n_documents(spark, folder))
 
 
+def checked_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """The same articles with the validation of their texts, taken once per document."""
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type")
+    return _as_articles(validate.check_texts(_documents(spark, folder)), events, _n_documents(spark, folder))
+
+
 def article_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same articles, with the events arriving as a stream."""
     # as a pattern the path may be one file or a folder of part files

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -81,25 +81,22 @@ def write_table(df: DataFrame, path: str, checkpoint: str, stream: StreamSpec =
     )
 
 
-def closed_until(query: StreamingQuery, emitted: DataFrame | None = None) -> str | None:
+def closed_until(query: StreamingQuery, emitted: DataFrame, end: Column | str = "window_end") -> str | None:
     """The time up to which windows have been emitted: the watermark of the last batch.
 
-    A run without new input has no watermark to tell. With the table of ``emitted`` windows the answer
-    is never earlier than their latest end; None means that nothing was emitted yet.
+    A run without new input has no watermark to tell, so the answer is never earlier than the latest
+    ``end`` of the rows ``emitted`` so far; None means that nothing was emitted yet.
     """
     marks = [p.get("eventTime", {}).get("watermark") for p in query.recentProgress]
-    until = max((m for m in marks if m), default=None)
-    if emitted is not None and "window_end" in emitted.columns:
-        end = F.date_format(F.max("window_end"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-        stored = emitted.agg(end).first()[0]
-        until = max((m for m in (until, stored) if m), default=None)
-    return until
+    stored = emitted.agg(F.date_format(F.max(end), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).first()[0]
+    return max((m for m in (*marks, stored) if m), default=None)
 
 
 def finalize(articles: DataFrame, spec: WindowSpec, closed: str | None) -> DataFrame:
     """Statistics of the windows a stopped stream still held open, from the stored articles.
 
-    Only rows that can fall into such a window are read.
+    Only rows that can fall into such a window are read. Articles that the stream refused as late count here
+    if their window was still open.
     """
     if closed is None:
         return batch.window_stats(articles, spec)
@@ -121,7 +118,29 @@ def finalize_key_counts(
 def aggregators(
     articles: DataFrame, specs: dict[str, WindowSpec], stream: StreamSpec | None = None
 ) -> dict[str, DataFrame]:
-    """Several named aggregators over one input, batch or stream."""
+    """Several named aggregators over one input, batch or stream, each a frame of its own.
+
+    Where one result with the aggregator's name in a column will do, ``roll_up`` of ``batch.lattice``, or of
+    ``stream_lattice``, reads the input once.
+    """
     if articles.isStreaming:
         return {name: stream_window_stats(articles, s, stream or StreamSpec()) for name, s in specs.items()}
-    return {name: batch.window_stats(articles, s) for name, s in specs.items()}
+    panes = batch.lattice(articles, specs)
+    return {name: batch.roll_up(panes, {name: s}).drop("aggregator") for name, s in specs.items()}
+
+
+def stream_lattice(articles: DataFrame, specs: dict[str, WindowSpec], stream: StreamSpec = StreamSpec()) -> DataFrame:
+    """Measures per closed pane and source, of panes that all specs share, for ``roll_up``: one state for all."""
+    marked = articles.withWatermark("ts", stream.watermark)
+    pane = F.window("ts", f"{batch.lattice_s(specs.values())} seconds").alias("_pane")
+    totals = batch.lengths(marked).groupBy(pane, "source").agg(*batch.measures())
+    return totals.select(F.col("_pane.start").alias("pane"), "source", *batch.SUMS, "last_at")
+
+
+def finalize_lattice(articles: DataFrame, specs: dict[str, WindowSpec], closed: str | None) -> DataFrame:
+    """The panes that a stopped stream still held open, from the stored articles."""
+    width = F.expr(f"INTERVAL {batch.lattice_s(specs.values())} SECONDS")
+    if closed is None:
+        return batch.lattice(articles, specs)
+    until = F.lit(closed).cast("timestamp")
+    return batch.lattice(articles.filter(F.col("ts") >= until - width), specs).filter(F.col("pane") + width > until)

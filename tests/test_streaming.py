@@ -51,7 +51,7 @@ def test_closed_and_open_windows_equal_the_batch(spark, folder, spec):
     rows, chunks = in_order()
     write_files(spark, folder, chunks)
     closed, q = run(spark, streams.stream_window_stats(stream(spark, folder), spec), folder)
-    until = streams.closed_until(q)
+    until = streams.closed_until(q, closed)
     assert len([p for p in q.recentProgress if p["numInputRows"]]) == len(chunks)
     batch = windows.window_stats(frame(spark, rows), spec)
     stop = F.lit(until).cast("timestamp")
@@ -66,7 +66,7 @@ def test_key_counts_equal_the_batch(spark, folder):
     write_files(spark, folder, chunks)
     spec, kinds = WindowSpec(), ("source", "source_type", "category", "keyword")
     closed, q = run(spark, streams.stream_key_counts(stream(spark, folder), spec, kinds), folder)
-    tail = streams.finalize_key_counts(frame(spark, rows), spec, kinds, streams.closed_until(q))
+    tail = streams.finalize_key_counts(frame(spark, rows), spec, kinds, streams.closed_until(q, closed))
     columns = ["window_start", "kind", "key", "n"]
     assert values(art.gather([closed, tail]), *columns) == values(windows.window_key_counts(frame(spark, rows), spec), *columns)
 
@@ -87,7 +87,7 @@ def test_restart_goes_on_where_it_stopped(spark, folder):
     for i, part in enumerate(chunks[3:], 3):
         frame(spark, part).coalesce(1).write.parquet(f"{folder}/in/{i:03d}")
     closed, q = run(spark, streams.stream_window_stats(stream(spark, folder), spec), folder)
-    tail = streams.finalize(frame(spark, rows), spec, streams.closed_until(q))
+    tail = streams.finalize(frame(spark, rows), spec, streams.closed_until(q, closed))
     assert values(closed.unionByName(tail), *STATS) == values(windows.window_stats(frame(spark, rows), spec), *STATS)
 
 
@@ -228,7 +228,7 @@ def test_capped_windows_as_they_close(spark, folder):
     with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
         q = sinks.start(stats, sink, f"{folder}/checkpoint")
     q.awaitTermination()
-    until = F.lit(streams.closed_until(q)).cast("timestamp")
+    until = F.lit(streams.closed_until(q, closed)).cast("timestamp")
     want = windows.capped_window_stats(stored, spec, "doc_id").filter(F.col("window_end") <= until)
     got = sinks.read_batches(spark, f"{folder}/capped")
     assert values(got, "window_start", "total_articles", "avg_title_length") == values(want, "window_start", "total_articles", "avg_title_length")
@@ -240,7 +240,7 @@ def test_named_aggregators(spark, folder):
     specs = {"minute": WindowSpec.tumbling(60), "sliding": WindowSpec()}
     for name, df in streams.aggregators(stream(spark, folder), specs, StreamSpec(watermark="10 seconds")).items():
         closed, q = run(spark, df, folder, name)
-        tail = streams.finalize(frame(spark, rows), specs[name], streams.closed_until(q))
+        tail = streams.finalize(frame(spark, rows), specs[name], streams.closed_until(q, closed))
         assert values(closed.unionByName(tail), *STATS) == values(windows.window_stats(frame(spark, rows), specs[name]), *STATS)
 
 
@@ -299,7 +299,7 @@ def test_ordered_count_windows_do_not_depend_on_arrival(spark, folder, shards):
     closed, q = run(spark, ordered.ordered_count_windows(shared, 7, keys, "doc_id", stream=StreamSpec("60 minutes")), folder)
     stored = ordered.with_shards(frame(spark, rows), shards, "doc_id")
     batch = windows.count_windows(stored, 7, keys, "doc_id")
-    until = F.lit(streams.closed_until(q)).cast("timestamp")
+    until = F.lit(streams.closed_until(q, closed, "last_article_at")).cast("timestamp")
     assert closed.count() > 5
     assert values(closed, *COUNTED) == values(batch.filter("closed").filter(F.col("last_article_at") <= until), *COUNTED)
     left = ordered.open_count_windows(stored, closed, 7, keys, "doc_id")
@@ -315,7 +315,7 @@ def test_ordered_count_windows_over_a_restart(spark, folder):
         df = ordered.ordered_count_windows(ordered.with_shards(stream(spark, folder), 1), 5, ["source"], "doc_id", stream=wait)
         closed, q = run(spark, df, folder)
     batch = windows.count_windows(frame(spark, rows), 5, ["source"], "doc_id").filter("closed")
-    until = F.lit(streams.closed_until(q)).cast("timestamp")
+    until = F.lit(streams.closed_until(q, closed, "last_article_at")).cast("timestamp")
     columns = [c for c in COUNTED if c != "shard"]
     assert values(closed, *columns) == values(batch.filter(F.col("last_article_at") <= until), *columns)
 
@@ -341,7 +341,8 @@ def test_newest_per_pane(spark, folder, spec):
     assert kept.count() > 0
     most = kept.groupBy("pane", "shard").count().agg(F.max("count")).first()[0]
     assert most == spec.max_articles  # the state never held more
-    left = ordered.stored_newest_per_pane(frame(spark, rows), spec, streams.closed_until(q), "doc_id")
+    end = F.col("pane") + F.expr(f"INTERVAL {spec.pane_s} SECONDS")
+    left = ordered.stored_newest_per_pane(frame(spark, rows), spec, streams.closed_until(q, kept, end), "doc_id")
     assert left.join(kept, "pane", "left_semi").count() == 0
     got = ordered.windows_of_newest(art.gather([kept, left]), spec)
     df = frame(spark, rows)

@@ -12,17 +12,17 @@ from broadsheet.functions.dates import from_time_parts, parse_published, rfc3339
 from broadsheet.functions.html import sanitize_html
 from broadsheet.functions.text import unicode_trim
 from broadsheet.functions.urls import clean_link, link_error
-from broadsheet.operators.validate import reason_counts, split_valid, validate, verdict_json
+from broadsheet.operators.validate import check_texts, read_routed, reason_counts, split_valid, validate, verdict_json, write_routed
 
 NOW = datetime(2024, 6, 1, tzinfo=timezone.utc)
 def as_of():
     return F.lit("2024-06-01 00:00:00").cast("timestamp")
 GOOD = {
-    "title": "Test News",
-    "link": "https://example.com/news",
-    "description": "Test description",
-    "published": "2024-01-01T12:00:00Z",
-    "source": "Test Source",
+    "title": "Harbour bridge reopens",
+    "link": "https://daily.test/city/bridge",
+    "description": "Traffic returned on Thursday.",
+    "published": "2023-09-14T06:45:10Z",
+    "source": "Daily Test",
 }
 SCHEMA = "title string, link string, description string, published string, source string"
 
@@ -82,42 +82,50 @@ def model_date(text):
 
 
 def test_verdicts(spark):
-    cases = [
-        ({}, True),
-        ({"published": "Mon, 01 Jan 2024 12:00:00 +0000"}, True),
-        ({"published": "not a date"}, False),
-        ({"published": "1999-01-01T12:00:00Z"}, False),
-        ({"link": "http://example.com/path?query=1"}, True),
-        ({"link": "not a url"}, False),
-        ({"link": "ftp://example.com"}, False),
-        ({"title": "Valid Title"}, True),
-        ({"title": ""}, False),
-        ({"title": "a" * 600}, False),
-        ({"description": "This has <strong>tags</strong>"}, True),
-        ({"published": "2030-01-01T12:00:00Z"}, False),
-        ({"published": "1990-01-01T12:00:00Z"}, False),
-        ({"source": " \t"}, False),
-        ({"title": None}, False),
+    accepted = [
+        {},
+        {"published": "Thu, 14 Sep 2023 09:45:10 +0300"},
+        {"published": "2023-09-14 06:45:10"},
+        {"link": "http://daily.test:8080/city/?page=7&lang=de"},
+        {"title": "7"},
+        {"title": "t" * 500},
+        {"description": "Cars <em>and</em> trams <br/>again"},
+        {"description": None},
+    ]
+    refused = [
+        {"published": "a week ago"},
+        {"published": "2023-09-31T06:45:10Z"},
+        {"published": "1987-03-05T08:00:00Z"},
+        {"published": "1999-12-31T23:59:59Z"},
+        {"published": "2041-07-20T10:00:00Z"},
+        {"link": "bridge, page two"},
+        {"link": "gopher://daily.test/1"},
+        {"title": " "},
+        {"title": "t" * 501},
+        {"title": None},
+        {"description": "d" * 5001},
+        {"source": " \t"},
     ]
-    assert [v.success for v in verdicts(spark, [row for row, _ in cases])] == [ok for _, ok in cases]
+    assert all(v.success for v in verdicts(spark, accepted))
+    assert not any(v.success for v in verdicts(spark, refused))
 
 
 def test_cleaned_fields(spark):
     rows = [
-        {"link": "http://example.com/path?query=1"},
-        {"description": "<script>alert('xss')</script><p>Actual content</p>"},
-        {"description": "This has <strong>tags</strong>", "title": "\u00a0Title\n"},
+        {"link": "http://daily.test:8080/city/?page=7&lang=de"},
+        {"description": "<script src=a.js>run(1)</script><div>Cars &amp; trams</div>"},
+        {"description": "Cars <em>and</em> trams", "title": "\u00a0Bridge\n"},
     ]
     a, b, c = [v.validated_article for v in verdicts(spark, rows)]
-    assert a.link == "http://example.com/path"
-    assert b.description == "Actual content"
-    assert (c.description, c.title, c.published) == ("This has tags", "Title", "2024-01-01T12:00:00+00:00")
+    assert a.link == "http://daily.test:8080/city/"
+    assert b.description == "Cars & trams"
+    assert (c.description, c.title, c.published) == ("Cars and trams", "Bridge", "2023-09-14T06:45:10+00:00")
 
 
 def test_wider_limits_allow_future_dates(spark):
-    cfg = ValidationConfig(1000, 10000, allow_future_dates=True, min_year=1990)
-    rows = [{"published": "2030-01-01T12:00:00Z"}, {"published": "1990-01-01T12:00:00Z"}, {"title": "a" * 1000}]
-    assert [v.success for v in verdicts(spark, rows, cfg)] == [True, True, True]
+    cfg = ValidationConfig(700, 9000, allow_future_dates=True, min_year=1980)
+    rows = [{"published": "2041-07-20T10:00:00Z"}, {"published": "1987-03-05T08:00:00Z"}, {"title": "t" * 700}, {"description": "d" * 9000}]
+    assert all(v.success for v in verdicts(spark, rows, cfg))
 
 
 def test_first_error_wins(spark):
@@ -281,7 +289,7 @@ def test_split_keeps_other_columns_and_all_rows(spark):
         f"id int, {SCHEMA}",
     )
     valid, invalid = split_valid(df, as_of())
-    assert [(r.id, r.published) for r in valid.collect()] == [(1, "2024-01-01T12:00:00+00:00")]
+    assert [(r.id, r.published) for r in valid.collect()] == [(1, "2023-09-14T06:45:10+00:00")]
     assert sorted((r.id, r.error_code) for r in invalid.collect()) == [(2, "title_empty"), (3, "date_invalid")]
     assert {r.outcome: r.n for r in reason_counts(df, as_of()).collect()} == {"valid": 1, "title_empty": 1, "date_invalid": 1}
     everything, nothing = split_valid(df, as_of(), enabled=False)
@@ -291,5 +299,30 @@ def test_split_keeps_other_columns_and_all_rows(spark):
 def test_verdict_json(spark):
     df = spark.createDataFrame([tuple(GOOD.values()), tuple({**GOOD, "title": ""}.values())], SCHEMA).coalesce(1)
     good, bad = [json.loads(r.j) for r in validate(df, as_of()).select(verdict_json().alias("j")).collect()]
-    assert good == {"success": True, "validated_article": {**GOOD, "published": "2024-01-01T12:00:00+00:00"}}
+    assert good == {"success": True, "validated_article": {**GOOD, "published": "2023-09-14T06:45:10+00:00"}}
     assert bad == {"success": False, "error": "Title is empty or too short"}
+
+
+def test_checked_texts_give_the_same_verdicts(spark):
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    rows = [(i, t, f"https://x.test/{i}" if i % 5 else "ftp://x", d, p, "s" if i % 4 else " ") for i, (t, d, p) in enumerate(
+        (t, d, p) for t in ("A title", "", None, "x" * 501) for d in ("<b>one</b> &amp; two", None, "y" * 5001) for p in ("2024-01-01T00:00:00Z", "soon", None))]
+    df = spark.createDataFrame(rows, "id long, title string, link string, description string, published string, source string")
+    df = df.withColumns({"error": F.lit("mine"), "valid_title": F.lit("mine"), "success": F.lit("mine")})
+    plain, checked = validate(df, now), validate(check_texts(df), now)
+    assert plain.columns == [*df.columns, "verdict"] and {r["error"] for r in plain.collect()} == {"mine"}
+    said = lambda x: sorted((r["id"], r["verdict"]) for r in x.collect())
+    assert said(plain) == said(checked) and len({r["verdict"]["error_code"] for r in plain.collect()}) >= 5
+
+
+def test_routed_rows_equal_the_split(spark, folder):
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    rows = [(i, f" Title {i} ", f"https://x.test/{i}", "<i>d</i>", "2024-01-01T00:00:00Z" if i % 3 else "soon", "s") for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, title string, link string, description string, published string, source string")
+    want = split_valid(df, now)
+    for n, given in enumerate((df, check_texts(df))):
+        write_routed(given, f"{folder}/{n}", now)
+        got = read_routed(spark, f"{folder}/{n}", given.schema)
+        for g, w in zip(got, want, strict=True):
+            assert g.columns == w.columns and sorted(g.collect()) == sorted(w.collect())
+    assert [r.count() for r in got] == [20, 10]

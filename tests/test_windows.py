@@ -221,3 +221,33 @@ def test_sources(spark):
     assert values(snapshot.top_sources_other(df, 1), "source", "n") == [("Other", 3), ("b", 3)]
     assert values(snapshot.top_sources_other(df, 3), "source", "n") == [("a", 2), ("b", 3), ("c", 1)]
     assert tuple(snapshot.top_source(df.limit(0)).first()) == (0, None, None)
+
+
+
+
+@pytest.mark.parametrize("specs", [
+    {"minute": WindowSpec.tumbling(60), "five": WindowSpec(300, 60, length_unit="bytes")},
+    {"odd": WindowSpec(90, 60), "hour": WindowSpec.tumbling(3600), "long": WindowSpec(400, 150)},
+])
+def test_lattice_rolls_up_to_every_spec(spark, specs):
+    df = frame(spark, table())
+    rows = windows.roll_up(windows.lattice(df, specs), specs)
+    for name, spec in specs.items():
+        want = windows.window_stats(df, spec)
+        assert values(rows.filter(F.col("aggregator") == name), *want.columns) == values(want, *want.columns)
+    scans = windows.roll_up(windows.lattice(df, specs), specs)._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD")
+    assert scans == 1
+
+
+@pytest.mark.parametrize("spec", [WindowSpec(), WindowSpec(1000, 500, length_unit="bytes"), WindowSpec(7, 7), WindowSpec(1, 1), WindowSpec(20_000, 100)])
+def test_snapshots_equal_single_ones(spark, spec):
+    rows = table(200) + [article(900 + k, 599.5 + k / 8, title=None, description=None) for k in range(12)]
+    df = frame(spark, rows)
+    instants = [at(x) for x in (0, 0.25, 300, 599.5, 600, 600.125, 603, 660, 1500, 4000.000001, 5000, 90_000)]
+    got = snapshot.snapshots(df, spark.createDataFrame([(t,) for t in [*instants, instants[0]]], "as_of timestamp"), spec)
+    want = []
+    for t in instants:
+        want += values(snapshot.snapshot(df.filter(F.col("ts") <= F.lit(t)), F.lit(t).cast("timestamp"), spec).select(*got.columns), *got.columns)
+    assert values(got, *got.columns) == order(want)
+    assert snapshot.snapshots(df, spark.createDataFrame([], "as_of timestamp"), spec).count() == 0
+    assert values(snapshot.snapshots(df.limit(0), spark.createDataFrame([(at(5),)], "as_of timestamp"), spec), "total_articles") == [(0,)]
