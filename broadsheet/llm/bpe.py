@@ -29,6 +29,7 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,8 @@ from broadsheet.llm.common import tune
 
 CACHE = 150_000  # chunks a worker remembers before it starts anew
 
+MANY = 48  # places of a pair from which on it is merged with arrays
+
 # fixed: the white space of the file's normaliser
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # fixed: what the file's normaliser and splitter must be
@@ -87,6 +90,10 @@ class Vocabulary:
         self.inner = np.array([vocab[s] for s in symbols], np.int64)
         self.final = np.array([vocab[s + suffix] for s in symbols], np.int64)
         self.base = max(self.tokens) + 1
+        # tokens by id, to be gathered by an array of ids
+        self.written = np.full(self.base, None, object)
+        for i, t in self.tokens.items():
+            self.written[i] = t.encode()
         self.merges, self.ranks, made = [], {}, {}
         for rank, (a, b) in enumerate(model["merges"]):
             left, right, new = vocab[a], vocab[b], vocab[a + b]
@@ -103,14 +110,18 @@ class Vocabulary:
         self.find_words = regex.compile(PATTERN).findall
         self.cache: dict[str, bytes] = {"": b""}
         self.library = None
+        self.assigned: set[str] = set()
 
     # ---- words ----
 
     def words(self, chunk: str) -> list[str]:
         """Words of a chunk without white space, normalised."""
-        if not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk):
-            return self._words_of_library(chunk)
         if not chunk.isascii():
+            if not self.assigned.issuperset(chunk):
+                new = {c for c in chunk if unicodedata.category(c) != "Cn"}
+                self.assigned |= new
+                if not new.issuperset(chunk):
+                    return self._words_of_library(chunk)
             chunk = unicodedata.normalize("NFC", chunk)
         return self.find_words(lower(chunk))
 
@@ -126,8 +137,8 @@ class Vocabulary:
 
     # ---- merges ----
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word, all words taken together."""
+    def merge(self, words: list[bytes]) -> list[np.ndarray]:
+        """Token ids of each word, all words taken together, as little-endian 32-bit integers."""
         size = np.fromiter(map(len, words), np.int64, len(words))
         stops = np.cumsum(size)
         raw = np.frombuffer(b"".join(words), np.uint8)
@@ -151,12 +162,24 @@ class Vocabulary:
             r: part.tolist() for r, part in zip(active.tolist(), np.split(pairs, first[1:]), strict=True)
         } if len(active) else {}
 
-        sym, nxt, prv, base, ranks = ids.tolist(), ahead.tolist(), back.tolist(), self.base, self.ranks
+        # the same memory, element by element for rare pairs and as arrays for frequent ones
+        sym, nxt, prv = (array("q", x.astype(np.int64).tobytes()) for x in (ids, ahead, back))
+        whole = tuple(np.frombuffer(x, np.int64) for x in (sym, nxt, prv))
+        base, ranks = self.base, self.ranks
         heap = active.tolist()
         while heap:
             rank = heapq.heappop(heap)
             left, right, new = self.merges[rank]
-            for p in sorted(index.pop(rank)):
+            at = index.pop(rank)
+            if left != right and len(at) >= MANY:
+                for r, positions in self._apply(whole, left, right, new, at):
+                    if r in index:
+                        index[r] += positions
+                    else:
+                        index[r] = positions
+                        heapq.heappush(heap, r)
+                continue
+            for p in sorted(at):
                 q = nxt[p]
                 if q < 0 or sym[p] != left or sym[q] != right:
                     continue  # the pair has gone
@@ -169,32 +192,57 @@ class Vocabulary:
                     made.append((ranks.get(new * base + sym[after]), p))
                 if before >= 0:
                     made.append((ranks.get(sym[before] * base + new), before))
-                for r, at in made:
+                for r, place in made:
                     if r is None:
                         continue
                     if r in index:
-                        index[r].append(at)
+                        index[r].append(place)
                     else:
-                        index[r] = [at]
+                        index[r] = [place]
                         heapq.heappush(heap, r)
-        out, start = [], 0
-        for stop in stops.tolist():
-            out.append([s for s in sym[start:stop] if s >= 0])
-            start = stop
-        return out
+        ends = np.cumsum(np.add.reduceat(whole[0] >= 0, stops - size)).tolist() if len(words) else []
+        left_over = whole[0][whole[0] >= 0].astype("<u4")
+        return [left_over[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _apply(self, whole: tuple, left: int, right: int, new: int, at: list[int]) -> Iterator[tuple[int, list[int]]]:
+        """Merge one pair of two different symbols, whose places cannot overlap, everywhere; the pairs this makes."""
+        sym, nxt, prv = whole
+        p = np.unique(np.array(at, np.int64))
+        p = p[(sym[p] == left) & (nxt[p] >= 0)]
+        p = p[sym[nxt[p]] == right]
+        q = nxt[p]
+        after = nxt[q]
+        sym[p], sym[q], nxt[p] = new, -1, after
+        has = after >= 0
+        prv[after[has]] = p[has]
+        before = prv[p]
+        first = np.concatenate([p[has], before[before >= 0]])
+        keys = sym[first] * self.base + sym[nxt[first]]
+        found = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[found] == keys
+        first, rank = first[hit], self.key_order[found[hit]]
+        order = np.argsort(rank, kind="stable")
+        first, rank = first[order], rank[order]
+        kinds, starts = np.unique(rank, return_index=True)
+        places = first.tolist()
+        stops = np.append(starts, len(places))[1:]
+        for r, a, b in zip(kinds.tolist(), starts.tolist(), stops.tolist(), strict=True):
+            yield r, places[a:b]
 
     # ---- texts ----
 
+    def _forget(self, chunks: set[str]) -> None:
+        """Keep only what these chunks need: the frequent ones are among those of any batch."""
+        self.cache = {"": b""} | {c: self.cache[c] for c in chunks if c in self.cache}
+
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.cache) > CACHE:
-            self.cache = {"": b""}
         new = [c for c in chunks if c not in self.cache]
         words = [self.words(c) for c in new]
         distinct = sorted({w for ws in words for w in ws})
         ids = {}
         if distinct:
             merged = self.merge([w.encode() for w in distinct])
-            ids = {w: np.array(t, "<u4").tobytes() for w, t in zip(distinct, merged, strict=True)}
+            ids = {w: t.tobytes() for w, t in zip(distinct, merged, strict=True)}
         for c, ws in zip(new, words, strict=True):
             self.cache[c] = b"".join([ids[w] for w in ws])
 
@@ -208,8 +256,8 @@ class Vocabulary:
                 if k % 2 == 0:
                     seen.update(p)
             cut.append(parts)
-        if len(self.cache) + len(seen) > 2 * CACHE:
-            self.cache = {"": b""}
+        if len(self.cache) > CACHE:
+            self._forget(seen)
         self._learn(seen)
         get = self.cache.__getitem__
         special = {s: np.array([i], "<u4").tobytes() for s, i in self.special.items()}
@@ -217,9 +265,12 @@ class Vocabulary:
             b"".join([special[p] if k % 2 else b"".join(map(get, p)) for k, p in enumerate(parts)]) for parts in cut
         ]
 
+    def decode_bytes(self, ids: np.ndarray) -> bytes:
+        """The text the file's library gives, in UTF-8: without a decoder, tokens between blanks."""
+        return b" ".join(self.written[ids].tolist())
+
     def decode(self, ids: list[int]) -> str:
-        """The text the file's library gives: without a decoder, tokens between blanks."""
-        return " ".join(map(self.tokens.__getitem__, ids))
+        return self.decode_bytes(np.array(ids, np.int64)).decode()
 
 
 _loaded: dict[int, Vocabulary] = {}
@@ -273,11 +324,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
-def _digest_rows(doc_id: pa.Array, ids: list[bytes], texts: list[str]) -> pa.RecordBatch:
+def _digest_rows(doc_id: pa.Array, ids: list[bytes], texts: list[bytes]) -> pa.RecordBatch:
     columns = [
         doc_id, pa.array([len(i) // 4 for i in ids], pa.int64()),
         pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+        pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
     ]
     return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -294,7 +345,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", doc_id: str = "do
         vocabulary = _vocabulary(packed)
         for b in batches:
             ids = vocabulary.encode(b.column(1).to_pylist())
-            texts = [vocabulary.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]
+            texts = [vocabulary.decode_bytes(np.frombuffer(i, "<u4")) for i in ids]
             yield _digest_rows(b.column(0), ids, texts)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
