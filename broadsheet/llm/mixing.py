@@ -1,9 +1,10 @@
 """Mixing to target weights: iterative proportional fitting and calibrated sampling.
 
 Documents are summed into cells (source, language, topic), the only table the
-fitting works on. Each round rakes the cells' token weights to one marginal
+fitting works on. A table of up to ``SMALL_CELLS`` cells is counted first and then
+raked as arrays; a larger one, to the same result, by joins. Each round rakes the cells' token weights to one marginal
 after the other: a dimension's current sums are compared with its targets and
-every cell is scaled. Rounds are written to the shared folder and end when no
+every cell is scaled. Rounds end when no
 marginal moves by more than ``tolerance``, or after ``max_rounds`` (targets that
 contradict the empty cells cannot all be met).
 
@@ -22,21 +23,24 @@ scaled to the remainder: no document vanishes for want of a target.
 Defined cases: null source, language or topic is a value of its own; a null or
 blank text has no tokens and probability 1 times its cell's factor as any other
 document of the cell; a cell without tokens has factor 1; rows repeated in full
-share their fate; an empty table gives an empty result.
+share their fate, as do rows without an id that have the same text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.llm.common import SYMBOLS_OF_TOPIC, fresh, words
 from broadsheet.session import materialise
 
 GRID = 64  # scales tried in one pass over the cells
 PASSES = 6
+SMALL_CELLS = 50_000  # cells that may be raked as arrays; larger tables are raked by joins
 
 
 @dataclass(frozen=True)
@@ -142,10 +146,67 @@ def _scale(cells: DataFrame, share: float) -> float:
     return high
 
 
+def _shares(sums: np.ndarray, values: list, dim: str, mix: Mix) -> np.ndarray:
+    """Targets of the values of a dimension, as ``_targets``; 0 for values without tokens."""
+    given = mix.targets.get(dim, {})
+    want = np.array([float(given[v]) if v in given else np.nan for v in values])
+    free, occurs = np.isnan(want), sums > 0
+    fixed = float(want[occurs & ~free].sum())
+    weight = np.where(occurs & free, np.where(occurs, sums, 1.0) ** mix.temperatures.get(dim, 1.0), 0.0)
+    rest, open_ = max(0.0, 1.0 - fixed), float(weight.sum())
+    if not open_:
+        rest = 0.0
+    elif rest < 1e-9:
+        part = float(sums[free].sum() / sums.sum())
+        rest = fixed * part / (1.0 - part)
+    share = np.where(free, weight * (rest / open_ if open_ else 0.0), np.where(free, 0.0, want))
+    share = np.where(occurs, share, 0.0)
+    return share / (fixed + rest) if fixed + rest else share
+
+
+def _calibrate_small(cells: DataFrame, dims: list[str], mix: Mix) -> DataFrame:
+    """As ``calibrate``, for a table of cells with a proven size bound: raked as arrays, without a job per round."""
+    schema = T.StructType(
+        [f for f in cells.schema if f.name in dims] + [T.StructField(c, T.DoubleType()) for c in ("probability", "weight")]
+    )
+    rows = cells.select(*dims, "tokens").collect()
+    if not rows:
+        return cells.sparkSession.createDataFrame([], schema)
+    tokens = np.array([r["tokens"] or 0 for r in rows], float)
+    total, fitted, fits = float(tokens.sum()), tokens.copy(), []
+    for d in dims:
+        values = list(dict.fromkeys(r[d] for r in rows))
+        place = {v: k for k, v in enumerate(values)}
+        code = np.array([place[r[d]] for r in rows])
+        fits.append((code, len(values), _shares(np.bincount(code, tokens, len(values)), values, d, mix)))
+    for _ in range(mix.max_rounds):
+        before = fitted
+        for code, n, share in fits:
+            now = np.bincount(code, fitted, n)
+            fitted = fitted * np.where(now > 0, share * total / np.where(now > 0, now, 1.0), 1.0)[code]
+        if np.abs(fitted - before).max() <= mix.tolerance * max(total, 1.0):
+            break
+    factor = np.where(tokens > 0, fitted / np.where(tokens > 0, tokens, 1.0), 1.0)
+    scale = 0.0
+    if total and factor.max() > 0:
+        goal = min(mix.share * total, float(tokens[factor > 0].sum()))
+        low, scale = 0.0, float(1.0 / factor[factor > 0].min())
+        for _ in range(100):
+            middle = (low + scale) / 2
+            enough = float((tokens * np.minimum(1.0, factor * middle)).sum()) >= goal
+            low, scale = (low, middle) if enough else (middle, scale)
+    inclusion = np.minimum(1.0, factor * scale)
+    weight = np.where(inclusion > 0, factor * scale / np.where(inclusion > 0, inclusion, 1.0), 0.0)
+    found = [(*(r[d] for d in dims), float(p), float(w)) for r, p, w in zip(rows, inclusion, weight, strict=True)]
+    return cells.sparkSession.createDataFrame(found, schema)
+
+
 def calibrate(df: DataFrame, dims: list[str], tokens: str, mix: Mix) -> DataFrame:
     """Cells with ``probability`` and ``weight`` of their documents."""
-    cells = df.groupBy(*dims).agg(F.sum(tokens).alias("tokens"))
-    fitted = rake(materialise(cells, "mix-cells"), dims, mix)
+    cells = materialise(df.groupBy(*dims).agg(F.sum(tokens).alias("tokens")), "mix-cells")
+    if cells.count() <= SMALL_CELLS:
+        return _calibrate_small(cells, dims, mix)
+    fitted = rake(cells, dims, mix)
     factor = F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens")).otherwise(1.0)
     cells = fitted.withColumn("factor", factor)
     scale = _scale(cells, mix.share)
@@ -154,9 +215,10 @@ def calibrate(df: DataFrame, dims: list[str], tokens: str, mix: Mix) -> DataFram
     return cells.select(*dims, inclusion.alias("probability"), weight.alias("weight"))
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) fixed by id and seed."""
-    mark = F.md5(F.concat(F.lit(seed), F.lit("/"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def draw(doc_id: Column, text: Column, seed: str) -> Column:
+    """A number in [0, 1) fixed by id and seed, or by text and seed where there is no id."""
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit("")))))
+    mark = F.md5(F.concat(F.lit(seed), F.lit("/"), name))
     return F.conv(F.substring(mark, 1, 13), 16, 10).cast("double") / float(16**13)
 
 
@@ -164,7 +226,7 @@ def mix_documents(docs: DataFrame, mix: Mix, text: str = "text", doc_id: str = "
     """``doc_id, source, lang, topic, n_tokens, probability, weight, sampled`` per row."""
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), "source", "lang", topic_of(F.coalesce(F.col(text), F.lit(""))).alias("topic"),
-        tokens_of(F.col(text)).alias("n_tokens"),
+        tokens_of(F.col(text)).alias("n_tokens"), draw(F.col(doc_id), F.col(text), mix.seed).alias("drawn"),
     )
     rows = materialise(rows, "mix-documents")
     dims = ["source", "lang", "topic"]
@@ -176,7 +238,7 @@ def mix_documents(docs: DataFrame, mix: Mix, text: str = "text", doc_id: str = "
     out = rows.join(cells, same)
     return out.select(
         "doc_id", *dims, "n_tokens", "probability", "weight",
-        (draw(F.col("doc_id"), mix.seed) < F.col("probability")).alias("sampled"),
+        (F.col("drawn") < F.col("probability")).alias("sampled"),
     )
 
 
@@ -195,5 +257,5 @@ def sample(docs: DataFrame, mix: Mix) -> DataFrame:
         rows["source"].eqNullSafe(F.col("_cell_source")) & rows["lang"].eqNullSafe(F.col("_cell_lang"))
         & rows[topic].eqNullSafe(F.col("_cell_topic"))
     )
-    kept = rows.join(cells, same).filter(draw(F.col("doc_id"), mix.seed) < F.col(probability))
+    kept = rows.join(cells, same).filter(draw(F.col("doc_id"), F.col("text"), mix.seed) < F.col(probability))
     return kept.select(*docs.columns)

@@ -58,7 +58,9 @@ def test_query_against_numpy(spark):
             assert r["sampled"] == (int(mark, 16) / 16**13 < r["probability"])
 
 
-def test_nulls_repeats_and_empty(spark):
+@pytest.mark.parametrize("small", [0, 50_000])
+def test_nulls_repeats_and_empty(spark, monkeypatch, small):
+    monkeypatch.setattr(mixing, "SMALL_CELLS", small)
     rows = [(i, "w " * (i % 9), "en" if i % 3 else None, "s" if i % 2 else None, 1) for i in range(40)]
     rows += [(None, None, None, None, 1), (3, "w w w", "en", "s", 1), (3, "w w w", "en", "s", 1), (50, "x" * 300_000, "de", "t", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, probability int")
@@ -92,8 +94,15 @@ def test_stages_take_effect(spark):
     assert {r["doc_id"] for r in rows} == set(after) and all(r["n_tokens"] >= 0 for r in rows)
 
 
-def test_values_without_target_keep_their_share(spark):
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    df = spark.createDataFrame([(None, f"w {i}", "en", "s") for i in range(400)], "doc_id long, text string, lang string, source string")
+    assert 120 < mixing.sample(df, queries.MIX).count() < 280
+
+
+@pytest.mark.parametrize("small", [0, 50_000])
+def test_values_without_target_keep_their_share(spark, monkeypatch, small):
     """The targets of MIX sum to 1; a third of the rows is in none of its languages."""
+    monkeypatch.setattr(mixing, "SMALL_CELLS", small)
     langs = ["en", "de", "fr", "es", "it", None]
     df = spark.createDataFrame(
         [(i, "w " * 10, langs[i % 6], "s") for i in range(600)], "doc_id long, text string, lang string, source string"
