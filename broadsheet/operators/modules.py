@@ -119,28 +119,30 @@ def sentiment(articles: DataFrame, lexicon: DataFrame, by: list[str], text: str
 
 
 def topics(
-    articles: DataFrame, k: int, text: str = "title", vocabulary: int = 1 << 18, iterations: int = 10, seed: int = 1
+    articles: DataFrame, k: int, text: str = "title", described: int = 10, iterations: int = 10, seed: int = 1
 ) -> tuple[DataFrame, DataFrame]:
-    """LDA topics: ``topic, word, weight`` rows, and the articles with their topic shares.
+    """LDA topics: ``topic, word, weight`` of the ``described`` heaviest words, and the articles with their topic shares.
 
-    Only the vocabulary, which is bounded, is held by the driver.
+    The words are counted first and every one takes part. The model is a weight per word and topic, so it and
+    the list of words, which grow with the vocabulary, must fit the driver.
     """
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
     from pyspark.ml.functions import vector_to_array
 
     worded = articles.withColumn("_words", keywords(F.col(text)))
-    counts = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocabulary).fit(worded)
+    n_words = worded.select(F.explode("_words").alias("w")).agg(F.count_distinct("w")).first()[0]
+    counts = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=max(1, n_words), minDF=1.0).fit(worded)
     rows = counts.transform(worded)
     lda = LDA(k=k, maxIter=iterations, seed=seed, subsamplingRate=1.0, featuresCol="_counts", topicDistributionCol="_shares")
     # read once per iteration, so the words are split and counted before
     model = lda.fit(materialise(rows.select("_counts"), "term-counts"))
     names = articles.sparkSession.createDataFrame(list(enumerate(counts.vocabulary)), "i int, word string")
     pairs = F.arrays_zip(F.col("termIndices").alias("i"), F.col("termWeights").alias("weight"))
-    described = model.describeTopics(10).select("topic", F.inline(pairs)).join(names, "i")
-    described = described.select("topic", "word", "weight")
+    heaviest = model.describeTopics(described).select("topic", F.inline(pairs)).join(names, "i")
+    heaviest = heaviest.select("topic", "word", "weight")
     shares = model.transform(rows).withColumn("topic_shares", vector_to_array("_shares"))
-    return described, shares.drop("_words", "_counts", "_shares")
+    return heaviest, shares.drop("_words", "_counts", "_shares")
 
 
 def topic_evolution(shares: DataFrame, spec: WindowSpec) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.config import StreamSpec, WindowSpec, kinds_for
 from broadsheet.functions.dates import parse_iso, parse_published, rfc3339
@@ -17,7 +18,7 @@ from broadsheet.operators import counters, history, modules, registry, runs, sna
 from broadsheet.plans import views
 from broadsheet.schema import MICROSECONDS
 from broadsheet.session import materialise, scratch_path, settings, state_settings
-from broadsheet.sources import feeds, json_store, messages, pages, window_store
+from broadsheet.sources import feeds, json_store, messages, pages, run_files, window_store
 from broadsheet.streaming import ordered, running, sinks
 from broadsheet.streaming import windows as stream_windows
 
@@ -578,6 +579,26 @@ def rss_articles(spark, d):
     return _feed_columns(feeds.feed_articles(f, views.as_of()))
 
 
+@query
+def routed_feeds(spark, d):
+    """Feeds of documents, some cut short: what was read and what was refused, written by one job and read back."""
+    title = _xml(F.split_part("text", F.lit("\n"), F.lit(1)))
+    item = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>https://x.test/"), F.col("doc_id"), F.lit("</link></item>"))
+    whole = _rss_document(F.repeat(item, 2))
+    cut = F.left(whole, F.length(whole) - F.when(F.col("doc_id") % 7 == 3, 12).when(F.col("doc_id") % 7 == 5, 40).otherwise(0))
+    parsed = feeds.parse_feeds(views.table(spark, d, "documents").select("doc_id", cut.alias("xml")))
+    path = scratch_path(spark, "routed-feeds")
+    outcome = F.when(F.col("error").isNull(), "read").otherwise("refused").alias("outcome")
+    parsed.select("doc_id", "xml", "items", "error", outcome).write.partitionBy("outcome").parquet(path)
+    back = spark.read.schema(T.StructType([*parsed.schema, T.StructField("outcome", T.StringType())])).parquet(path)
+    read = feeds.articles_of(back.filter("outcome = 'read'"), views.as_of(), ["doc_id"])
+    refused = feeds.rejected(back.filter("outcome = 'refused'"))
+    return art.gather(
+        [read.select("doc_id", "link", F.lit(None).cast("string").alias("error")),
+         refused.select("doc_id", F.lit(None).cast("string").alias("link"), "error")]
+    )
+
+
 @query
 def rss_files(spark, d):
     """Feed files of 500 articles each. The source is then the name of a file, and only the items are compared."""
@@ -744,6 +765,19 @@ def run_summary(spark, d):
     return runs.run_summary(_runs(spark, d), rounded=False)
 
 
+@query
+def newest_runs(spark, d):
+    """Runs in a file per collector and session of a hundred runs; those of the file written last."""
+    rows = _runs(spark, d).withColumns(
+        {"session": F.floor(F.col("iteration") / 100), "exit_code": F.lit(0), "timestamp": F.lit("2024-01-01T00:00:00")}
+    )
+    path = scratch_path(spark, "run-files")
+    run_files.write_run_files(rows.filter("session > 0"), path)
+    run_files.write_run_files(rows.filter("session = 0"), path)
+    found = run_files.runs_of(run_files.latest_run_files(spark, path))
+    return found.select("scraper", "iteration", "execution_time_seconds", "avg_cpu_percent", "max_memory_mb")
+
+
 @query
 def run_comparison(spark, d):
     return runs.compare(runs.run_summary(_runs(spark, d), rounded=False), "click", "view")

@@ -343,6 +343,11 @@ where s.key is not null or p.window_start + interval 1 hour in (select window_st
             kept as (select day, coalesce(sum(n) over (order by day desc rows between unbounded preceding and 1 preceding), 0)
               as newer from days)""") + """
             select w.* from w join kept on window_start::date = day where newer < 30""",
+        "routed_feeds": """select doc_id, 'https://x.test/' || doc_id as link, null::varchar as error
+              from documents, range(2) where doc_id % 7 not in (3, 5)
+            union all select doc_id, null, 'the feed is not well formed' from documents where doc_id % 7 in (3, 5)""",
+        "newest_runs": with_(SAMPLES) + """select scraper, iteration, sum(sec) as execution_time_seconds,
+            min(cpu) as avg_cpu_percent, max(mem) as max_memory_mb from s where iteration < 100 group by all""",
         "html_articles": f"""select page_id, 0 as pos, {PAGE_TITLE} as title, url as link, 'html' as source_type
             from pages where {PAGE_TITLE} <> ''""",
         "html_articles_strict": f"""select page_id, 0 as pos, {PAGE_TITLE} as title,

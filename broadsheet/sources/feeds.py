@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from broadsheet.functions.barrier import compute_once
 from broadsheet.functions.dates import parse_published
 from broadsheet.functions.text import or_empty, unicode_trim
 from broadsheet.schema import ATOM_ENTRY, ATOM_FEED, RSS_FEED, RSS_ITEM
@@ -59,12 +61,42 @@ def _articles(rows: DataFrame, keep: list[str], fields: list[Column], fetched_at
     return out.withColumns({"published_time": stated, "scraped_at": fetched_at})
 
 
+_CORRUPT = "_corrupt"
+
+
+def parse_feeds(feeds: DataFrame, xml: str = "xml", kind: str = "rss") -> DataFrame:
+    """Add ``items``, the entries of each feed document, and ``error``, set where it is not well formed.
+
+    A document is parsed once, whatever is taken from the result; a null document has neither.
+    """
+    schema = RSS_FEED if kind == "rss" else ATOM_FEED
+    marked = T.StructType([*schema, T.StructField(_CORRUPT, T.StringType())])
+    options = _TRIMMED | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = compute_once(feeds, F.from_xml(F.col(xml), marked.json(), options), "_f")
+    broken = F.col(f"_f.{_CORRUPT}").isNotNull()
+    items = F.when(~broken, F.col("_f.channel.item" if kind == "rss" else "_f.entry"))
+    error = F.when(broken, F.lit("the feed is not well formed"))
+    return parsed.withColumns({"items": items, "error": error}).drop("_f")
+
+
+def articles_of(parsed: DataFrame, fetched_at: Column, keep: list[str] | None = None, kind: str = "rss") -> DataFrame:
+    """One row per item of parsed feed documents."""
+    keep = keep or ["source"]
+    rows = parsed.select(*keep, F.explode("items").alias("_i"))
+    return _articles(rows, keep, rss_fields("_i") if kind == "rss" else atom_fields("_i"), fetched_at)
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """The feed documents that could not be read, whole, with the reason."""
+    return parsed.filter("error is not null").drop("items")
+
+
 def feed_articles(
     feeds: DataFrame, fetched_at: Column, xml: str = "xml", keep: list[str] | None = None, kind: str = "rss"
 ) -> DataFrame:
     """One row per item of the feed documents in a column.
 
-    A document that is not well formed contributes no rows.
+    A document that is not well formed contributes no rows; ``parse_feeds`` tells which those are.
     """
     keep = keep or ["source"]
     schema = RSS_FEED if kind == "rss" else ATOM_FEED

@@ -10,23 +10,29 @@ from broadsheet.schema import RUN
 
 _SUMMARY = ", ".join(f"{c}: double" for c in SUMMARY_DIGITS)
 FILE_SCHEMA = f"runs array<{RUN.simpleString()}>, summary struct<{_SUMMARY}>"
-# the file itself, or the folder Spark wrote it as
-_NAME = r"([^/]+)_scraper_metrics(?:_[^/]*)?\.json"
+# the file itself, or the folder Spark wrote it as, perhaps as the value of a partition column
+_NAME = r"(?:[^/=]*=)?([^/=]+)_scraper_metrics(?:_[^/]*)?\.json"
+
+
+def newest_files(spark: SparkSession, path: str) -> DataFrame:
+    """The newest metrics file of each collector, ``scraper, file``, from names and times alone: no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    named = files.select(
+        F.regexp_extract("path", _NAME, 1).alias("scraper"),
+        F.struct(F.col("modificationTime").alias("at"), F.col("path").alias("file")).alias("version"),
+    )
+    newest = named.filter("scraper <> ''").groupBy("scraper").agg(F.max("version").alias("_v"))
+    return newest.select("scraper", "_v.file")
 
 
 def latest_run_files(spark: SparkSession, path: str) -> DataFrame:
-    """The newest metrics file of each collector: ``scraper, file, runs, summary``."""
-    files = spark.read.schema(FILE_SCHEMA).option("multiLine", True).json(path)
-    rows = files.select(
-        F.regexp_extract("_metadata.file_path", _NAME, 1).alias("scraper"),
-        F.struct(
-            F.col("_metadata.file_modification_time").alias("at"),
-            F.col("_metadata.file_path").alias("file"),
-        ).alias("version"),
-        F.struct("runs", "summary").alias("doc"),
-    ).filter("scraper <> ''")
-    newest = rows.groupBy("scraper").agg(F.max_by(F.struct("version", "doc"), "version").alias("_m"))
-    return newest.select("scraper", "_m.version.file", "_m.doc.runs", "_m.doc.summary")
+    """The newest metrics file of each collector: ``scraper, file, runs, summary``. Older files are not parsed."""
+    newest = newest_files(spark, path).collect()  # one row per collector
+    if not newest:
+        return spark.createDataFrame([], f"scraper string, file string, {FILE_SCHEMA}")
+    files = spark.read.schema(FILE_SCHEMA).option("multiLine", True).json([r["file"] for r in newest])
+    file = F.col("_metadata.file_path")
+    return files.select(F.regexp_extract(file, _NAME, 1).alias("scraper"), file.alias("file"), "runs", "summary")
 
 
 def runs_of(files: DataFrame) -> DataFrame:
@@ -44,3 +50,11 @@ def write_run_file(runs: DataFrame, summary: DataFrame, folder: str, scraper: st
     figures = summary.filter(F.col("scraper") == scraper).select(F.struct(*SUMMARY_DIGITS).alias("summary"))
     document = nested.withColumn("summary", figures.scalar())
     document.coalesce(1).write.mode("overwrite").json(f"{folder}/{scraper}_scraper_metrics_{stamp}.json")
+
+
+def write_run_files(runs: DataFrame, folder: str, session: str = "session") -> None:
+    """Save the runs of many sessions in one job, a document per collector and session, which is a handful of runs."""
+    documents = runs.groupBy("scraper", session).agg(F.sort_array(F.collect_list(F.struct(*RUN.names))).alias("runs"))
+    name = F.concat("scraper", F.lit("_scraper_metrics_"), F.col(session).cast("string"), F.lit(".json"))
+    text = F.to_json(F.struct("runs")).alias("value")
+    documents.select(text, name.alias("file")).write.mode("append").partitionBy("file").text(folder)

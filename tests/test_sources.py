@@ -5,7 +5,7 @@ import os
 from datetime import datetime
 
 import pytest
-from helpers import article, at, frame, values
+from helpers import article, at, frame, order, values
 from pyspark.sql import functions as F
 
 from broadsheet.config import WindowSpec
@@ -240,6 +240,33 @@ def test_run_files(spark, folder):
     assert values(run_files.summaries_of(again), "scraper", "avg_execution_time") == [("go", 2.0)]
 
 
+def test_only_the_newest_run_file_is_parsed(spark, folder):
+    from broadsheet.schema import RUN
+
+    rows = [("go" if i % 2 else "python", i, float(i), 1.0, 2.0, 3.0, 4.0, 0, "t", i // 10) for i in range(40)]
+    columns = "scraper string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RUN) + ", session long"
+    df = spark.createDataFrame(rows, columns)
+    for k in (0, 1, 3, 2):
+        run_files.write_run_files(df.filter(F.col("session") == k), f"{folder}/runs")
+    for name in ("go_scraper_metrics_0.json", "python_scraper_metrics_1.json"):  # unreadable, but old
+        os.makedirs(f"{folder}/runs/{name}", exist_ok=True)
+        with open(f"{folder}/runs/{name}/x.json", "w") as f:
+            f.write("{")
+        os.utime(f"{folder}/runs/{name}/x.json", (1000, 1000))
+    found = run_files.latest_run_files(spark, f"{folder}/runs")
+    assert values(run_files.runs_of(found), "scraper", "iteration") == order([("go" if i % 2 else "python", i) for i in range(20, 30)])
+    assert len(found.inputFiles()) == 2
+
+
+def test_broken_feeds_are_told(spark):
+    good = "<rss><channel><title>f</title><item><title>a</title><link>l</link></item></channel></rss>"
+    docs = [(1, good), (2, good[:-9]), (3, "no feed <"), (4, None), (5, ""), (6, good.replace("<item>", "<item><item>"))]
+    parsed = feeds.parse_feeds(spark.createDataFrame(docs, "id int, xml string"))
+    assert values(feeds.articles_of(parsed, fetched(), ["id"]), "id", "title") == [(1, "a")]
+    assert {2, 3, 6} <= {r["id"] for r in feeds.rejected(parsed).collect()} and 1 not in {r["id"] for r in feeds.rejected(parsed).collect()}
+    assert feeds.rejected(parsed).columns == ["id", "xml", "error"]
+
+
 def stored(store):
     return values(store.read(), "window_start", "analysis_type", "results")
 
