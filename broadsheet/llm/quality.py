@@ -37,8 +37,7 @@ SYMBOLS = "#*$%&|<>"
 class LineLimits:
     """When a line is boilerplate of its host, and when its document is depleted."""
 
-    min_docs: int = 20  # up to so many documents may share a line on any host
-    max_share: float = 0.02  # on large hosts, up to this share of the host's documents
+    max_docs: int = 20  # up to so many documents of a host may share a line, whatever the host's size
     min_left_words: int = 20
     min_left_share: float = 0.5
 
@@ -108,13 +107,10 @@ def features(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", host:
 
 
 def frequent_lines(rows: DataFrame, limits: LineLimits) -> DataFrame:
-    """``host, h`` of the lines that more distinct documents of the host hold than its limit."""
+    """``host, h`` of the lines that more distinct documents of a host hold than the limit."""
     held = rows.select("host", "text_hash", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
     counts = held.groupBy("host", "h").agg(F.count_distinct("text_hash").alias("n"))
-    counts = counts.filter(F.col("n") > limits.min_docs)
-    sizes = rows.groupBy(F.col("host").alias("size_host")).agg(F.count_distinct("text_hash").alias("size"))
-    large = counts.join(sizes, F.col("host").eqNullSafe(F.col("size_host")))
-    return large.filter(F.col("n") > F.col("size") * limits.max_share).select("host", "h")
+    return counts.filter(F.col("n") > limits.max_docs).select("host", "h")
 
 
 def _removals(rows: DataFrame, limits: LineLimits) -> DataFrame:

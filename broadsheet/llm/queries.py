@@ -46,9 +46,8 @@ lines as (
   select doc_id, source, text,
          lower(regexp_replace(regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), {_W}, ' ', 'g')) as l
   from w, unnest(ls) t(l)),
-sizes as (select source, count(distinct text) as size from w group by source),
 counts as (select source, l, count(distinct text) as n, arg_min(text, doc_id) as keeper from lines group by source, l),
-frequent as (select c.* from counts c join sizes s using (source) where n > 20 and n > size * 0.02),
+frequent as (select * from counts where n > 20),
 lost as (
   select doc_id, sum(len(string_split(l, ' '))) as n
   from lines join frequent using (source, l) where lines.text <> keeper group by doc_id),

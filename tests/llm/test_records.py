@@ -205,7 +205,7 @@ def test_line_limits(spark):
     rows += [(300 + i, f"{body(7)} copied many times over\n{body(8)}", "c") for i in range(60)]
     rows += [(400, None, "h"), (401, "", None), (402, " \n\t", None), (403, "a b " * 200, "h"), (None, body(9), None), (None, body(9), None)]
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, source string, kept int")
-    limits = quality.LineLimits(min_docs=20, max_share=0.1)
+    limits = quality.LineLimits(max_docs=20)
     got = {}
     for r in quality.judge(df, limits=limits).collect():
         got.setdefault(r["doc_id"], []).append(r)
@@ -220,6 +220,15 @@ def test_line_limits(spark):
     assert quality.judge(df.limit(0)).collect() == [] and quality.apply_rules(df.limit(0)).collect() == []
 
 
+def test_line_limit_is_the_same_on_hosts_of_every_size(spark):
+    notice = "this very line stands in many documents"
+    own = lambda h, i: "\n".join(" ".join(f"{h}{i}w{j}x{k}" for k in range(30)) for j in range(2))
+    rows = [(n * 10_000 + i, own(n, i) + ("\n" + notice if i < 50 else ""), f"host of {n}") for n in (60, 900, 3000) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    lost = quality.judge(df).filter("n_removed_words > 0").groupBy("host").count().collect()
+    assert {r["host"]: r["count"] for r in lost} == {f"host of {n}": 49 for n in (60, 900, 3000)}
+
+
 def test_native_plan(spark):
     plan = queries.QUERIES["op8_line_frequency"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(k in plan for k in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
