@@ -37,6 +37,8 @@ HEADLINE = [
     "dense_windows",
     "source_distribution",
     "trailing_snapshot",
+    "trailing_snapshots",
+    "named_aggregators",
     "validation_verdicts",
     "sanitize_pages",
     "parse_dates",
