@@ -228,9 +228,9 @@ def test_capped_windows_as_they_close(spark, folder):
     with settings(spark, state_settings(spark.sparkContext.defaultParallelism)):
         q = sinks.start(stats, sink, f"{folder}/checkpoint")
     q.awaitTermination()
-    until = F.lit(streams.closed_until(q, closed)).cast("timestamp")
-    want = windows.capped_window_stats(stored, spec, "doc_id").filter(F.col("window_end") <= until)
     got = sinks.read_batches(spark, f"{folder}/capped")
+    until = F.lit(streams.closed_until(q, got)).cast("timestamp")
+    want = windows.capped_window_stats(stored, spec, "doc_id").filter(F.col("window_end") <= until)
     assert values(got, "window_start", "total_articles", "avg_title_length") == values(want, "window_start", "total_articles", "avg_title_length")
 
 
