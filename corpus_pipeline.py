@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, mixing, pseudonyms, quality, simhash
+from broadsheet.llm import bpe, mixing, near_texts, pseudonyms, quality
 from broadsheet.llm.common import table, tune
 from broadsheet.llm.settings import MIX, PSEUDONYM_KEY
 from broadsheet.session import scratch_path
@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    return simhash.keep_one(docs)
+    """The document with the smallest id of each group of near copies: SimHash trees, links of five-word similarity 0.8."""
+    return near_texts.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
