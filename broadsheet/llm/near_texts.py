@@ -11,7 +11,9 @@ vantage-point trees over the fingerprints search within the cells:
 2. Every class of a cell is compared with the smallest class of that cell. Groups
    of copies become connected by these stars, never by all their pairs.
 3. Cells that still hold several components are searched in full by trees of
-   their fingerprints; of the pairs found, those across components are kept. A
+   their fingerprints. Of the pairs across components each class proposes its
+   nearest ones; their links join components, and a further round proposes more,
+   from what is still apart, until every pair that is left has been compared. A
    cell of more than ``CELL_ROWS`` classes is cut into slices, and every two
    slices meet in a group of their own, so no task holds a whole large cell.
 
@@ -51,7 +53,8 @@ BANDS, ROWS = 16, 5
 HASHES = 128  # min-hash values; the bands use the first of them, the sketch one bit of each
 RADIUS = 18
 SKETCH_BITS = 24
-CELL_ROWS = 8_192
+CELL_ROWS = 2_048
+PROPOSED, WIDER = 2, 8  # pairs a class proposes in the first round, and how many times more in each further one
 BLOCK = 4_096  # shingles permuted at a time
 
 # multipliers (odd) and increments of the permutations, the same in every task
@@ -145,54 +148,69 @@ def _ends(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.filter(near).select("u", "v")
 
 
-def _search(nodes, fps, s1, s2, roots, home, same_slice) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one group that may be near and lie in different components."""
+def _search(nodes, fps, sketches, roots, home, same_slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of one group that may be near and lie in different components, and their differing bits."""
     a, b = (np.arange(len(nodes)),) * 2 if same_slice else (np.nonzero(home)[0], np.nonzero(~home)[0])
-    us, vs = [], []
+    none = np.array([], np.int64)
+    found = [(none, none, none)]
     for i, j in probe(build(fps[a]), fps[a], fps[b], RADIUS):
         i, j = b[i], a[j]
         ok = roots[i] != roots[j]
         if same_slice:
             ok &= nodes[i] < nodes[j]
         i, j = i[ok], j[ok]
-        ok = np.bitwise_count(s1[i] ^ s1[j]) + np.bitwise_count(s2[i] ^ s2[j]) <= SKETCH_BITS
-        us.append(nodes[i[ok]])
-        vs.append(nodes[j[ok]])
-    none = np.array([], np.int64)
-    u, v = np.concatenate([none, *us]), np.concatenate([none, *vs])
-    return np.minimum(u, v), np.maximum(u, v)
+        bits = sum(np.bitwise_count(s[i] ^ s[j]).astype(np.int64) for s in sketches)
+        ok = bits <= SKETCH_BITS
+        found.append((nodes[i[ok]], nodes[j[ok]], bits[ok]))
+    u, v, bits = (np.concatenate(c) for c in zip(*found, strict=True))
+    return np.minimum(u, v), np.maximum(u, v), bits
+
 
+def _nearest(u: np.ndarray, v: np.ndarray, bits: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` nearest of either end."""
+    kept = np.zeros(len(u), bool)
+    for end, other in ((u, v), (v, u)):
+        order = np.lexsort((other, bits, end))
+        first = np.nonzero(np.diff(end[order], prepend=-1))[0]
+        place = np.arange(len(end)) - np.repeat(first, np.diff(np.append(first, len(end))))
+        kept[order[place < most]] = True
+    return kept
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _across(most: int):
     """Rows ``cell, a, b, home, node, root, fp, s1, s2`` come sorted by the first three; a group is bounded."""
 
     def answer(c: list[np.ndarray]) -> pa.RecordBatch:
         cuts = np.nonzero((c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1]) | (c[2][1:] != c[2][:-1]))[0] + 1
-        us, vs = [], []
+        out = []
         for lo, hi in zip([0, *cuts], [*cuts, len(c[0])], strict=True):
-            fps, s1, s2 = (x[lo:hi].view(np.uint64) for x in c[6:])
-            u, v = _search(c[4][lo:hi], fps, s1, s2, c[5][lo:hi], c[3][lo:hi].astype(bool), c[1][lo] == c[2][lo])
-            us.append(u)
-            vs.append(v)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
-
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
-        held = now if held is None else [np.concatenate(p) for p in zip(held, now, strict=True)]
-        last = (held[0] == held[0][-1]) & (held[1] == held[1][-1]) & (held[2] == held[2][-1])
-        start = int(np.argmax(last))
-        if start:
-            yield answer([x[:start] for x in held])
-            held = [x[start:] for x in held]
-    if held is not None:
-        yield answer(held)
-
-
-def _unconnected(cells: DataFrame, classes: DataFrame, stars: DataFrame, cell_rows: int) -> DataFrame:
-    """Candidate pairs ``u, v`` across components, from all cells that hold several."""
+            fps, *sketches = (x[lo:hi].view(np.uint64) for x in c[6:])
+            u, v, bits = _search(c[4][lo:hi], fps, sketches, c[5][lo:hi], c[3][lo:hi].astype(bool), c[1][lo] == c[2][lo])
+            kept = _nearest(u, v, bits, most)
+            out.append((u[kept], v[kept], np.full(int(kept.sum()), not kept.all())))
+        u, v, cut = (pa.array(np.concatenate(x)) for x in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([u, v, cut], ["u", "v", "cut"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
+            held = now if held is None else [np.concatenate(p) for p in zip(held, now, strict=True)]
+            last = (held[0] == held[0][-1]) & (held[1] == held[1][-1]) & (held[2] == held[2][-1])
+            start = int(np.argmax(last))
+            if start:
+                yield answer([x[:start] for x in held])
+                held = [x[start:] for x in held]
+        if held is not None:
+            yield answer(held)
+
+    return run
+
+
+def _unconnected(cells: DataFrame, classes: DataFrame, stars: DataFrame, cell_rows: int, most: int) -> DataFrame:
+    """Candidate pairs ``u, v`` across components, from all cells that hold several; ``cut`` if there are more."""
     roots = stars.select(F.col("node").alias("r_node"), "root")
     members = cells.join(roots, F.col("node") == F.col("r_node"), "left")
     members = members.select("cell", "n", "node", F.coalesce("root", "node").alias("root"))
@@ -207,7 +225,8 @@ def _unconnected(cells: DataFrame, classes: DataFrame, stars: DataFrame, cell_ro
         (F.col("own") <= F.col("other")).cast("int").alias("home"), "node", "root", "fp", "s1", "s2",
     )
     keys = ["cell", "a", "b"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_across, "u long, v long").distinct()
+    pairs = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_across(most), "u long, v long, cut boolean")
+    return pairs.groupBy("u", "v").agg(F.max("cut").alias("cut"))
 
 
 # ---- links -----------------------------------------------------------------------------
@@ -228,7 +247,6 @@ def similar(
     pairs: DataFrame, docs: DataFrame, classes: DataFrame, text: str, doc_id: str, similarity: float, size: int
 ) -> DataFrame:
     """The pairs ``u, v`` whose shingle sets are as similar as asked."""
-    pairs = materialise(pairs, "candidates")
     needed = pairs.select(F.col("u").alias("c_node")).union(pairs.select("v")).distinct()
     wanted = classes.join(needed, F.col("node") == F.col("c_node")).select("node", "least", F.col("h1").alias("c1"), F.col("h2").alias("c2"))
     h1, h2 = _hashes(F.col(text))
@@ -253,13 +271,19 @@ def groups(
     hubs = cells.groupBy("cell").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     cells = materialise(cells.join(hubs, "cell"), "cells")
     star = cells.filter("node != hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    links = similar(_ends(star, classes), docs, classes, text, doc_id, similarity, size)
+    tested = materialise(_ends(star, classes), "candidates")
+    links = similar(tested, docs, classes, text, doc_id, similarity, size)
     stars = materialise(components(links), "components")
-    # stars are compared already, whether they are links or not
-    rest = _unconnected(cells, classes, stars, cell_rows).join(star, ["u", "v"], "left_anti")
-    more = similar(rest, docs, classes, text, doc_id, similarity, size)
-    if not more.isEmpty():
-        stars = materialise(components(links.union(more)), "components")
+    most, cut = PROPOSED, True
+    while cut:
+        pairs = materialise(_unconnected(cells, classes, stars, cell_rows, most), "candidates")
+        cut = pairs.filter("cut").limit(1).count() > 0
+        new = materialise(pairs.select("u", "v").join(tested, ["u", "v"], "left_anti"), "new-candidates")
+        more = similar(new, docs, classes, text, doc_id, similarity, size)
+        if not more.isEmpty():
+            links = links.union(more)
+            stars = materialise(components(links), "components")
+        tested, most = tested.union(new), most * WIDER
     stars = stars.select(F.col("node").alias("s_node"), "root")
     members = classes.join(stars, F.col("node") == F.col("s_node"), "left")
     return members.select("h1", "h2", "least", F.coalesce("root", "node").alias("root"))
