@@ -21,7 +21,7 @@ A pair is a link only if the shingle sets themselves are as similar as asked, so
 there are no false links. Links are missed only by chance, at exactly 0.8 about 3
 of 1,000 pairs, and fewer above: by the bands (0.17 %), by more than ``RADIUS``
 differing bits of the fingerprint (0.1 %) or more than ``SKETCH_BITS`` of the 128
-min-hash bits (0.05 %). Shingles are compared by 64-bit hashes.
+min-hash bits (0.05 %) or ``SKETCH_BYTES`` of their 128 bytes (0.02 %). Shingles are compared by 64-bit hashes.
 
 Texts themselves move twice: those with a candidate partner, as shingle hashes, to
 be compared, and the kept documents once to remove repeated rows.
@@ -53,6 +53,7 @@ BANDS, ROWS = 16, 5
 HASHES = 128  # min-hash values; the bands use the first of them, the sketch one bit of each
 RADIUS = 18
 SKETCH_BITS = 24
+SKETCH_BYTES = 42  # bytes of the min-hash values that may differ, one of each
 CELL_ROWS = 2_048
 PROPOSED, WIDER = 2, 8  # pairs a class proposes in the first round, and how many times more in each further one
 BLOCK = 4_096  # shingles permuted at a time
@@ -81,8 +82,8 @@ def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
     return np.unique(np.fromiter((h(joined[a:b]) for a, b in spans), np.uint64, n))
 
 
-def sketch(values: np.ndarray) -> tuple[int, int, int, np.ndarray]:
-    """SimHash of the distinct shingles, two words of min-hash bits, and the keys of the bands (as signed longs)."""
+def sketch(values: np.ndarray) -> tuple[int, int, int, np.ndarray, bytes]:
+    """SimHash of the distinct shingles, two words of min-hash bits, keys of the bands (signed longs), min-hash bytes."""
     ones, least = np.zeros(64, np.int64), np.full(HASHES, 2**64 - 1, np.uint64)
     for at in range(0, len(values), BLOCK):
         block = values[at : at + BLOCK]
@@ -94,10 +95,10 @@ def sketch(values: np.ndarray) -> tuple[int, int, int, np.ndarray]:
     low = np.packbits((least >> np.uint64(20) & np.uint64(1)).astype(np.uint8)).view("<i8")
     keys = (least[: BANDS * ROWS].reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + _BAND
     keys = (keys ^ keys >> np.uint64(31)) * _TIMES[0]
-    return int(fp), int(low[0]), int(low[1]), keys.view(np.int64)
+    return int(fp), int(low[0]), int(low[1]), keys.view(np.int64), (least >> np.uint64(20)).astype(np.uint8).tobytes()
 
 
-_SKETCHES = "doc_id long, h1 long, h2 long, fp long, s1 long, s2 long, bands array<long>"
+_SKETCHES = "doc_id long, h1 long, h2 long, fp long, s1 long, s2 long, bands array<long>, bytes binary"
 
 
 def _sketches(size: int):
@@ -107,8 +108,8 @@ def _sketches(size: int):
             fps, s1, s2 = (pa.array([r[k] for r in rows], pa.int64()) for k in range(3))
             keys = np.concatenate([r[3] for r in rows]) if rows else np.array([], np.int64)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS), pa.array(keys))
-            columns = [b.column(0), b.column(1), b.column(2), fps, s1, s2, bands]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "fp", "s1", "s2", "bands"])
+            columns = [b.column(0), b.column(1), b.column(2), fps, s1, s2, bands, pa.array([r[4] for r in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "fp", "s1", "s2", "bands", "bytes"])
 
     return run
 
@@ -124,13 +125,13 @@ def _bits(a: str, b: str) -> Column:
 
 
 def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = WORDS) -> DataFrame:
-    """One row per different text: ``node, h1, h2, least, fp, s1, s2, bands``; ``least`` is its smallest id."""
+    """One row per different text: ``node, h1, h2, least, fp, s1, s2, bands, bytes``; ``least`` is its smallest id."""
     tune(docs.sparkSession)
     h1, h2 = _hashes(F.col(text))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), h1.alias("h1"), h2.alias("h2"), F.col(text).alias("text"))
     rows = rows.mapInArrow(_sketches(size), _SKETCHES)
     kinds = rows.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("least"), *[F.any_value(c).alias(c) for c in ("fp", "s1", "s2", "bands")]
+        F.min("doc_id").alias("least"), *[F.any_value(c).alias(c) for c in ("fp", "s1", "s2", "bands", "bytes")]
     )
     # numbers are given once, in the written table
     return materialise(kinds.withColumn("node", F.monotonically_increasing_id()), "text-classes")
@@ -149,7 +150,7 @@ def _ends(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _search(nodes, fps, sketches, roots, home, same_slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of one group that may be near and lie in different components, and their differing bits."""
+    """Pairs of one group that may be near and lie in different components, and their differing bytes."""
     a, b = (np.arange(len(nodes)),) * 2 if same_slice else (np.nonzero(home)[0], np.nonzero(~home)[0])
     none = np.array([], np.int64)
     found = [(none, none, none)]
@@ -159,18 +160,20 @@ def _search(nodes, fps, sketches, roots, home, same_slice) -> tuple[np.ndarray,
         if same_slice:
             ok &= nodes[i] < nodes[j]
         i, j = i[ok], j[ok]
-        bits = sum(np.bitwise_count(s[i] ^ s[j]).astype(np.int64) for s in sketches)
-        ok = bits <= SKETCH_BITS
-        found.append((nodes[i[ok]], nodes[j[ok]], bits[ok]))
-    u, v, bits = (np.concatenate(c) for c in zip(*found, strict=True))
-    return np.minimum(u, v), np.maximum(u, v), bits
+        for at in range(0, len(i), 1 << 16):
+            x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            apart = (sketches[x] != sketches[y]).sum(axis=1)
+            ok = apart <= SKETCH_BYTES
+            found.append((nodes[x[ok]], nodes[y[ok]], apart[ok]))
+    u, v, apart = (np.concatenate(c) for c in zip(*found, strict=True))
+    return np.minimum(u, v), np.maximum(u, v), apart
 
 
-def _nearest(u: np.ndarray, v: np.ndarray, bits: np.ndarray, most: int) -> np.ndarray:
+def _nearest(u: np.ndarray, v: np.ndarray, apart: np.ndarray, most: int) -> np.ndarray:
     """Which pairs are among the ``most`` nearest of either end."""
     kept = np.zeros(len(u), bool)
     for end, other in ((u, v), (v, u)):
-        order = np.lexsort((other, bits, end))
+        order = np.lexsort((other, apart, end))
         first = np.nonzero(np.diff(end[order], prepend=-1))[0]
         place = np.arange(len(end)) - np.repeat(first, np.diff(np.append(first, len(end))))
         kept[order[place < most]] = True
@@ -178,15 +181,15 @@ def _nearest(u: np.ndarray, v: np.ndarray, bits: np.ndarray, most: int) -> np.nd
 
 
 def _across(most: int):
-    """Rows ``cell, a, b, home, node, root, fp, s1, s2`` come sorted by the first three; a group is bounded."""
+    """Rows ``cell, a, b, home, node, root, fp, bytes`` come sorted by the first three; a group is bounded."""
 
     def answer(c: list[np.ndarray]) -> pa.RecordBatch:
         cuts = np.nonzero((c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1]) | (c[2][1:] != c[2][:-1]))[0] + 1
         out = []
         for lo, hi in zip([0, *cuts], [*cuts, len(c[0])], strict=True):
-            fps, *sketches = (x[lo:hi].view(np.uint64) for x in c[6:])
-            u, v, bits = _search(c[4][lo:hi], fps, sketches, c[5][lo:hi], c[3][lo:hi].astype(bool), c[1][lo] == c[2][lo])
-            kept = _nearest(u, v, bits, most)
+            fps, home = c[6][lo:hi].view(np.uint64), c[3][lo:hi].astype(bool)
+            u, v, apart = _search(c[4][lo:hi], fps, c[7][lo:hi], c[5][lo:hi], home, c[1][lo] == c[2][lo])
+            kept = _nearest(u, v, apart, most)
             out.append((u[kept], v[kept], np.full(int(kept.sum()), not kept.all())))
         u, v, cut = (pa.array(np.concatenate(x)) for x in zip(*out, strict=True))
         return pa.RecordBatch.from_arrays([u, v, cut], ["u", "v", "cut"])
@@ -196,7 +199,8 @@ def _across(most: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
+            now = [x.to_numpy(zero_copy_only=False) for x in batch.columns[:7]]
+            now.append(np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(-1, HASHES))
             held = now if held is None else [np.concatenate(p) for p in zip(held, now, strict=True)]
             last = (held[0] == held[0][-1]) & (held[1] == held[1][-1]) & (held[2] == held[2][-1])
             start = int(np.argmax(last))
@@ -215,14 +219,14 @@ def _unconnected(cells: DataFrame, classes: DataFrame, stars: DataFrame, cell_ro
     members = cells.join(roots, F.col("node") == F.col("r_node"), "left")
     members = members.select("cell", "n", "node", F.coalesce("root", "node").alias("root"))
     several = members.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-    rows = members.join(several.select("cell"), "cell").join(classes.select("node", "fp", "s1", "s2"), "node")
+    rows = members.join(several.select("cell"), "cell").join(classes.select("node", "fp", "bytes"), "node")
     slices = F.ceil(F.col("n") / cell_rows).cast("long")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), slices)).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1))
     )
     rows = rows.select(
         "cell", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
-        (F.col("own") <= F.col("other")).cast("int").alias("home"), "node", "root", "fp", "s1", "s2",
+        (F.col("own") <= F.col("other")).cast("int").alias("home"), "node", "root", "fp", "bytes",
     )
     keys = ["cell", "a", "b"]
     pairs = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_across(most), "u long, v long, cut boolean")

@@ -107,7 +107,8 @@ def test_sketches_let_similar_pairs_pass(edit, low):
         apart = [(p ^ q) & (2**64 - 1) for p, q in zip(x[:3], y[:3])]
         bits = [v.bit_count() for v in apart]
         total += 1
-        found += bool(
+        differ = sum(p != q for p, q in zip(x[4], y[4]))
+        found += differ <= near_texts.SKETCH_BYTES and bool(
             set(x[3].tolist()) & set(y[3].tolist()) and bits[0] <= near_texts.RADIUS and bits[1] + bits[2] <= near_texts.SKETCH_BITS
         )
     assert total > 100 and found >= low * total
