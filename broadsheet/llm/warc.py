@@ -8,8 +8,8 @@ the number of members is bounded by the old format.
 Reading needs three small ranges of a package first (its tail, its central
 directory, each member's local header), then the index, and from there one range
 per record. Readers of packages without an index walk the gzip members of the
-archive in order. Packages of other writers work as long as the members read are
-stored, not deflated.
+archive in order. Records are expected in the form this module writes; packages
+with other kinds of records or another index format are refused with an error.
 
 Records with equal payloads of at least ``min_revisit`` bytes are written once:
 the one with the largest page id is the response, the others are revisits that
