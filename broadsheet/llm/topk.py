@@ -1,16 +1,17 @@
 """Exact top-k inner products by Fagin's threshold algorithm.
 
 Candidates are dealt into blocks. A block keeps, per dimension, its vectors
-sorted by that component. A query walks all lists of its non-zero dimensions in
-step, from the end where the product is largest, scores every vector it meets in
-full, and stops once the bound (the sum of the products at the present depth,
-which no unseen vector can exceed) lies below its kth score. A tie with the bound
-goes on, since an unseen vector could have the smaller id. Each block gives at
-most k rows per query; their ranking is the result.
-
-Queries meet candidates in cells of one query block and one candidate block, so
-memory is bounded by the block sizes whatever the tables hold. The search is
-exact, so every query block visits every candidate block.
+sorted by that component, and walks all lists in step from both ends: a positive
+weight has its largest products at one end, a negative one at the other. The
+vectors met at a step are scored in full for all queries still open, as one matrix
+product. A query is closed once the bound (the sum of its products at the present
+depth, which no unseen vector can exceed) lies below its kth score. A tie with the
+bound goes on, since an unseen vector could have the smaller id. Each block gives
+at most k rows per query; their ranking is the result.
+
+A candidate is sent once, to its block; queries are sent to every block, since the
+search is exact, and pass it batch after batch. A task holds one block and one
+batch of queries, whatever the tables hold.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, and
 rows without an id take no part; rows with the same id and vector count once;
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from broadsheet.session import materialise
 
 CANDIDATES = 8_192  # per block
-QUERIES = 1_024
+QUERIES = 256  # scored by one matrix product
+FIRST_DEPTH = 8
 EXACT = 2**53  # sums of products below this are exact in doubles
 
 
@@ -46,11 +48,15 @@ def quantise(df: DataFrame, vec_id: str, vector: str, scale: int = 256) -> DataF
     return rows.filter(F.col("v").isNotNull()).distinct()
 
 
-def matrix(vectors: list[list[int]], width: int) -> np.ndarray:
-    """One row per vector, continued with zeros."""
-    out = np.zeros((len(vectors), width), np.int64)
-    for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
+def matrix(vectors: pa.ListArray, width: int | None = None) -> np.ndarray:
+    """One row per vector, continued with zeros or cut to ``width``."""
+    sizes = vectors.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    width = int(sizes.max(initial=0)) if width is None else width
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(sizes), width), np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[row[place < width], place[place < width]] = flat[place < width]
     return out
 
 
@@ -62,62 +68,95 @@ class Lists:
         self.ids, self.values = ids[order], values[order]
         # one list per dimension, largest component first
         self.order = np.argsort(-self.values, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.values, self.order, 0)
         self.most = int(np.abs(self.values).max(initial=0))
         self.floats = self.values.astype(np.float64)
 
     def top(self, q_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best candidates with another id; ties to the smaller id."""
-        n = len(self.ids)
-        dims = np.nonzero(q)[0]
-        exact = int(np.abs(q).sum()) * self.most < EXACT
-        values = self.floats if exact else self.values
-        weights = q.astype(np.float64) if exact else q
-        # a negative weight walks its list from the smallest component
-        lists = np.where(q[dims] > 0, self.order[:, dims], self.order[::-1, dims])
-        seen = np.zeros(n, bool)
-        best_at, best = np.array([], np.int64), np.array([], weights.dtype)
-        depth, step = 0, 8
-        while True:
-            end = min(n, depth + step) if len(dims) else n
-            if len(dims):
-                met = np.zeros(n, bool)
-                met[lists[depth:end].ravel()] = True
-                new = np.nonzero(met & ~seen)[0]
-            else:  # a zero query scores 0 everywhere
-                new = np.arange(n)
+        return self.search(np.array([q_id]), q[None, :], k)[0]
+
+    def search(self, q_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The same for several queries, one per row."""
+        exact = np.abs(queries).sum(1, dtype=np.float64) * self.most < EXACT / 2
+        out: list = [None] * len(q_ids)
+        for mine, values, kind in ((exact, self.floats, np.float64), (~exact, self.values, np.int64)):
+            which = np.nonzero(mine)[0]
+            for i, found in zip(which, self._walk(q_ids[which], queries[which].astype(kind), values, k), strict=True):
+                out[i] = found
+        return out
+
+    def _walk(self, q_ids: np.ndarray, weights: np.ndarray, values: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, width = self.values.shape
+        up, down = np.maximum(weights, 0), np.minimum(weights, 0)
+        # rows with a query's own id are scored with the others and left out afterwards
+        own = np.searchsorted(self.ids, q_ids, "right") - np.searchsorted(self.ids, q_ids)
+        best = [(np.array([], np.int64), np.array([], weights.dtype)) for _ in q_ids]
+        least = -np.inf if weights.dtype == np.float64 else np.iinfo(np.int64).min
+        kth = np.full(len(q_ids), least, weights.dtype)
+        open_, seen, depth, step = np.arange(len(q_ids)), np.zeros(n, bool), 0, FIRST_DEPTH
+        while len(open_) and depth < n:
+            end = min(n, depth + step) if width else n
+            met = np.full(n, not width)
+            met[self.order[depth:end].ravel()] = True
+            met[self.order[n - end : n - depth].ravel()] = True
+            new = np.nonzero(met & ~seen)[0]
             seen[new] = True
-            new = new[self.ids[new] != q_id]
-            at = np.concatenate([best_at, new])
-            score = np.concatenate([best, values[new] @ weights])
-            order = np.lexsort((self.ids[at], -score))[:k]
-            best_at, best = at[order], score[order]
+            scores = weights[open_] @ values[new].T
+            for i, row in zip(open_.tolist(), scores, strict=True):
+                at = np.nonzero(row >= kth[i])[0]
+                spare = len(at) - k - int(own[i])
+                if spare > 0:
+                    at = at[row[at] >= np.partition(row[at], spare)[spare]]
+                at = at[self.ids[new[at]] != q_ids[i]]
+                if len(at):
+                    ids, score = np.append(best[i][0], self.ids[new[at]]), np.append(best[i][1], row[at])
+                    order = np.lexsort((ids, -score))[:k]
+                    best[i] = ids[order], score[order]
+                    if len(order) == k:
+                        kth[i] = best[i][1][-1]
+            bound = up[open_] @ self.sorted[end - 1] + down[open_] @ self.sorted[n - end]
+            open_ = open_[kth[open_] <= bound]
             depth, step = end, step * 4
-            if depth >= n:
-                break
-            bound = (values[lists[depth - 1], dims] * weights[dims]).sum()
-            if len(best) == k and best[-1] > bound:
-                break
-        return self.ids[best_at], best.astype(np.int64)
-
-
-def _search(k: int):
-    def run(rows: pa.Table) -> pa.Table:
-        is_query = rows.column("is_query").to_numpy()
-        ids = rows.column("vec_id").to_numpy()
-        vectors = rows.column("v").to_pylist()
-        width = max(map(len, vectors), default=0)
-        values = matrix(vectors, width)
-        lists = Lists(ids[~is_query], values[~is_query])
-        out = {"query_id": [], "query_key": [], "vec_id": [], "score": []}
-        keys = rows.column("key").to_numpy()
-        if len(lists.ids):
-            for q_id, key, q in zip(ids[is_query], keys[is_query], values[is_query], strict=True):
-                found, scores = lists.top(int(q_id), q, k)
-                out["query_id"] += [int(q_id)] * len(found)
-                out["query_key"] += [int(key)] * len(found)
-                out["vec_id"] += found.tolist()
-                out["score"] += scores.tolist()
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
+        return [(ids, score.astype(np.int64)) for ids, score in best]
+
+
+_FOUND = pa.schema([(c, pa.int64()) for c in ("query_id", "query_key", "vec_id", "score")])
+
+
+def _search(k: int, group: int):
+    """Rows sorted by block, the candidates of a block before the queries."""
+
+    def answers(lists: Lists, asked: pa.RecordBatch) -> pa.RecordBatch:
+        q_ids, keys = asked.column("vec_id").to_numpy(), asked.column("key").to_numpy()
+        queries = matrix(asked.column("v"), lists.values.shape[1])
+        found = []
+        for lo in range(0, len(q_ids), group):
+            found += lists.search(q_ids[lo : lo + group], queries[lo : lo + group], k)
+        sizes = [len(ids) for ids, _ in found]
+        columns = [np.repeat(q_ids, sizes), np.repeat(keys, sizes), *(np.concatenate(c) for c in zip(*found, strict=True))]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_FOUND)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, lists = None, [], None
+        for b in batches:
+            c, is_query = (b.column(x).to_numpy(zero_copy_only=False) for x in ("c", "is_query"))
+            cuts = np.nonzero((c[1:] != c[:-1]) | (is_query[1:] != is_query[:-1]))[0] + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(c)], strict=True):
+                if lo == hi:
+                    continue
+                if c[lo] != block:
+                    block, held, lists = c[lo], [], None
+                part = b.slice(int(lo), int(hi - lo))
+                if not is_query[lo]:
+                    held.append(part)
+                elif held or lists:
+                    if lists is None:
+                        rows = pa.Table.from_batches(held).combine_chunks()
+                        vectors = rows.column("v").combine_chunks()
+                        vectors = vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors
+                        lists, held = Lists(rows.column("vec_id").to_numpy(), matrix(vectors)), []
+                    yield answers(lists, part)
 
     return run
 
@@ -139,21 +178,12 @@ def top_k(
     rows = quantise(df, vec_id, vector).withColumn("key", F.xxhash64("vec_id", "v"))
     rows = materialise(rows, "vectors")
     asked = rows.filter(F.col("vec_id") % queries_every == 0)
-    n, m = rows.count(), asked.count()
-    row_blocks, query_blocks = max(1, -(-n // candidates)), max(1, -(-m // queries))
-    home = F.pmod(F.col("key"), F.lit(row_blocks))
-    group = F.pmod(F.xxhash64("key"), F.lit(query_blocks))
-    cells = rows.select(
-        F.explode(_numbers(query_blocks)).alias("q"), home.alias("c"),
-        F.lit(False).alias("is_query"), "vec_id", "key", "v",
-    ).union(
-        asked.select(
-            group.alias("q"), F.explode(_numbers(row_blocks)).alias("c"),
-            F.lit(True).alias("is_query"), "vec_id", "key", "v",
-        )
+    blocks = max(1, -(-rows.count() // candidates))
+    cells = rows.select(F.pmod("key", F.lit(blocks)).alias("c"), F.lit(False).alias("is_query"), "vec_id", "key", "v").union(
+        asked.select(F.explode(_numbers(blocks)).alias("c"), F.lit(True).alias("is_query"), "vec_id", "key", "v")
     )
-    dealt = cells.repartition(max(1, min(row_blocks * query_blocks, 100_000)), "q", "c")
-    found = dealt.groupBy("q", "c").applyInArrow(_search(k), "query_id long, query_key long, vec_id long, score long")
+    dealt = cells.repartition(min(blocks, 100_000), "c").sortWithinPartitions("c", "is_query")
+    found = dealt.mapInArrow(_search(k, queries), "query_id long, query_key long, vec_id long, score long")
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
