@@ -7,9 +7,19 @@ the number of members is bounded by the old format.
 
 Reading needs three small ranges of a package first (its tail, its central
 directory, each member's local header), then the index, and from there one range
-per record. Readers of packages without an index walk the gzip members of the
-archive in order. Records are expected in the form this module writes; packages
-with other kinds of records or another index format are refused with an error.
+per record. Indexes are read in the form written here and as CDXJ, stored or
+packed; archives that no index names, or whose index has another form, are walked
+record by record. Ranges are dealt to tasks by their bytes.
+
+Packages of other writers: records of pages (response, revisit, resource) are
+read, others (warcinfo, request, metadata and so on) are passed over. Their ids
+stay texts (``record_id``, ``refers_to_id``), ``page_id`` and ``refers_to`` are
+null. The payload of an HTTP response is what follows its headers, as stored;
+transfer encodings are undone only where the record's digest is that of the
+result. Digests may be base32 or hex; one that is no SHA-1, or is absent, is
+computed from the payload, or is null for a revisit. A revisit whose response is
+not among the records has a null length. A payload unlike its SHA-1, a gzip member
+with several records, and a package that ends early fail the job.
 
 Records with equal payloads of at least ``min_revisit`` bytes are written once:
 the one with the largest page id is the response, the others are revisits that
@@ -30,7 +40,10 @@ empty table gives no packages and an empty result.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import json
+import re
 import struct
 import uuid
 import zlib
@@ -150,14 +163,22 @@ class Package:
             out.append(Member(name, method, stored, header))
         return out
 
-    def start(self, m: Member) -> int:
-        """Offset of a member's data."""
+    def _data_at(self, m: Member) -> int:
         f = struct.unpack(LOCAL_FORM, self.range(m.header, struct.calcsize(LOCAL_FORM)))
         if f[0] != LOCAL:
             raise ValueError("no local header where the directory says")
+        return m.header + struct.calcsize(LOCAL_FORM) + f[9] + f[10]
+
+    def start(self, m: Member) -> int:
+        """Offset of a stored member's data."""
         if m.method:
             raise ValueError(f"{m.name} is compressed in the package, its records have no ranges")
-        return m.header + struct.calcsize(LOCAL_FORM) + f[9] + f[10]
+        return self._data_at(m)
+
+    def member(self, m: Member) -> bytes:
+        """A small member's content, stored or deflated."""
+        data = self.range(self._data_at(m), m.size)
+        return zlib.decompress(data, -15) if m.method == 8 else data
 
 
 def _zip64_values(extra: bytes) -> list[int]:
@@ -206,7 +227,10 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     if not first.startswith("WARC/"):
         raise ValueError("not a WARC record")
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-    return fields, rest[: int(fields["content-length"])]
+    n = int(fields["content-length"])
+    if len(rest) < n or rest[n:].strip(b"\r\n"):
+        raise ValueError("not one whole record")
+    return fields, rest[:n]
 
 
 def _open(path: str):
@@ -281,26 +305,63 @@ def write_packages(
 
 # ---- reading ----------------------------------------------------------------------------------
 
+READ_BYTES = 16 << 20  # stored bytes per task aimed at
+CHUNK_BYTES = 2 << 20  # neighbouring records that one task reads
+HELD_BYTES = 32 << 20  # payloads in one batch of rows
+PAGE_KINDS = ("response", "revisit", "resource")
+
+
+def index_spans(data: bytes) -> dict[str, list[tuple[int, int]]] | None:
+    """Offsets and lengths by archive name, from this module's index or CDXJ; None for another form."""
+    spans: dict[str, list[tuple[int, int]]] = {}
+    try:
+        for line in data.decode().splitlines():
+            if not line.strip() or line.startswith("!"):
+                continue
+            if line.endswith("}"):
+                fields = json.loads(line[line.index("{") :])
+                name, at, n = fields["filename"].rpartition("/")[2], fields["offset"], fields["length"]
+            else:
+                name = ARCHIVE.rpartition("/")[2]
+                _, at, n = line.split(" ")
+            spans.setdefault(name, []).append((int(at), int(n)))
+    except (KeyError, ValueError, AttributeError, TypeError):
+        return None
+    return spans
+
+
+def _indexed(package: Package, members: list[Member]) -> dict[str, list[tuple[int, int]]]:
+    """Spans of the archives that indexes name; none if one of the indexes has another form."""
+    spans: dict[str, list[tuple[int, int]]] = {}
+    for m in members:
+        if not re.fullmatch(r"indexes/.*\.cdxj?(\.gz)?", m.name):
+            continue
+        data = package.member(m)
+        found = index_spans(gzip.decompress(data) if m.name.endswith(".gz") else data)
+        if found is None:
+            return {}
+        for name, own in found.items():
+            spans.setdefault(name, []).extend(own)
+    return spans
+
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges of all records of each package, from its index or by walking the archive."""
+    """Ranges of all records of each package, from its indexes or by walking the archives."""
     for b in batches:
         for path in b.column(0).to_pylist():
             fs, where = _open(path)
+            spans = []
             with fs.open_input_file(where) as f:
                 package = Package(f)
                 members = package.members()
-                index = {m.name: m for m in members if m.name.startswith("indexes/")}
-                archives = [m for m in members if m.name.startswith("archive/")]
-                spans = []
-                for a in archives:
-                    start = package.start(a)
-                    listed = index.get(INDEX) if a.name == ARCHIVE else None
-                    if listed is not None:
-                        lines = package.range(package.start(listed), listed.size).decode().splitlines()
-                        spans += [(start + int(at), int(n)) for _, at, n in (x.split(" ") for x in lines)]
-                    else:
-                        spans += [(start + at, n) for at, n in _walk(package, start, a.size)]
+                indexed = _indexed(package, members)
+                for a in members:
+                    if not a.name.startswith("archive/") or a.name.endswith("/"):
+                        continue
+                    start, own = package.start(a), indexed.get(a.name.rpartition("/")[2])
+                    if own is None:
+                        own = _walk(package, start, a.size) if a.name.endswith(".gz") else _walk_plain(package, start, a.size)
+                    spans += sorted({(start + at, n) for at, n in own})
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([path] * len(spans), pa.string()), pa.array([s for s, _ in spans], pa.int64()),
@@ -323,66 +384,154 @@ def _walk(package: Package, start: int, size: int, step: int = 1 << 20) -> Itera
                 end = at - len(data)
                 yield begun, end - begun
                 begun, unpacker = end, zlib.decompressobj(31)
+    if begun < size:
+        raise ValueError("the archive ends within a record")
 
 
-_RECORDS = "page_id long, url string, record_type string, refers_to long, digest string, payload binary"
+def _walk_plain(package: Package, start: int, size: int, step: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    """Offsets and lengths of the records of an archive without compression."""
+    at = 0
+    while at < size:
+        head, end = b"", -1
+        while end < 0:
+            more = package.range(start + at + len(head), min(step, size - at - len(head)))
+            if not more:
+                raise ValueError("the archive ends within a record")
+            head += more
+            end = head.find(b"\r\n\r\n")
+        length = re.search(rb"\r\ncontent-length:[ \t]*(\d+)", head[: end + 2], re.IGNORECASE)
+        if length is None:
+            raise ValueError("a record without a length")
+        n = end + 4 + int(length[1]) + 4  # two line ends follow each record
+        if at + n > size:
+            raise ValueError("the archive ends within a record")
+        yield at, n
+        at += n
+
+
+_RECORDS = (
+    "page_id long, record_id string, url string, record_type string, refers_to long, refers_to_id string, digest string, payload binary"
+)
+_KINDS = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+
+
+def stated_sha1(field: str | None) -> str | None:
+    """The SHA-1 that a digest field states, as lower-case hex."""
+    kind, _, value = (field or "").partition(":")
+    if kind.lower().replace("-", "") != "sha1":
+        return None
+    if re.fullmatch(r"[0-9A-Fa-f]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch(r"[A-Za-z2-7]{32}", value) else None
+
+
+def _dechunked(body: bytes) -> bytes | None:
+    """The content of a body in HTTP chunks; None if it is not in that form."""
+    out, at = [], 0
+    while True:
+        size = re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r\n").match(body, at)
+        if size is None:
+            return None
+        n, at = int(size[1], 16), size.end()
+        if n == 0:
+            return b"".join(out)
+        if body[at + n : at + n + 2] != b"\r\n":
+            return None
+        out.append(body[at : at + n])
+        at += n + 2
+
+
+def page_record(data: bytes) -> tuple | None:
+    """The columns of a record of a page, from its decompressed bytes; None for a record of another kind."""
+    fields, body = parse_record(data)
+    kind = fields.get("warc-type", "").lower()
+    if kind not in PAGE_KINDS:
+        return None
+    stated = stated_sha1(fields.get("warc-payload-digest"))
+    payload = None
+    if kind != "revisit":
+        payload = body
+        if fields.get("content-type", "").lower().startswith("application/http"):
+            payload = body.partition(b"\r\n\r\n")[2]
+        digest = hashlib.sha1(payload).hexdigest()
+        if stated not in (None, digest):
+            payload = _dechunked(payload)
+            if payload is None or hashlib.sha1(payload).hexdigest() != stated:
+                raise ValueError(f"payload and digest differ in {fields.get('warc-record-id')}")
+        stated = stated or digest
+    own, uri = fields.get("warc-record-id"), fields.get("warc-target-uri", "")
+    url = unquote(uri) if _OWN.fullmatch(own or "") else uri.removeprefix("<").removesuffix(">")
+    to = fields.get("warc-refers-to")
+    return _page(own), own, url, kind, _page(to), to, stated, payload
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     name, file = None, None
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), _KINDS, strict=True)],
+            [c.split(" ")[0] for c in _RECORDS.split(", ")],
+        )
+
     for b in batches:
-        out = []
-        for path, start, size in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        out, held = [], 0
+        for path, start, size in zip(*(b.column(c).to_pylist() for c in ("package", "start", "size")), strict=True):
             if path != name:
                 if file is not None:
                     file.close()
                 fs, where = _open(path)
                 name, file = path, fs.open_input_file(where)
-            fields, payload = parse_record(zlib.decompress(file.read_at(size, start), 31))
-            digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-            kind = fields["warc-type"]
-            if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
-                raise ValueError(f"payload and digest differ in {path} at {start}")
-            out.append(
-                (
-                    _page(fields["warc-record-id"]), unquote(fields["warc-target-uri"]), kind, _page(fields.get("warc-refers-to")),
-                    digest, payload if kind == "response" else None,
-                )
-            )
-        columns = list(zip(*out, strict=True)) if out else [[]] * 6
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-            ["page_id", "url", "record_type", "refers_to", "digest", "payload"],
-        )
+            data = file.read_at(size, start)
+            found = page_record(zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data)
+            if found is not None:
+                out.append(found)
+                held += len(found[-1] or b"")
+            if held >= HELD_BYTES:
+                yield rows(out)
+                out, held = [], 0
+        if out:
+            yield rows(out)
     if file is not None:
         file.close()
 
 
+# ids that this module writes
+_OWN = re.compile(r"<urn:page:(-?\d*)>")
+
+
 def _page(record_id: str | None) -> int | None:
-    digits = (record_id or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(digits) if digits else None
+    found = _OWN.fullmatch(record_id or "")
+    return int(found[1]) if found and found[1] else None
 
 
 def read_records(packages: DataFrame) -> DataFrame:
     """Records of the packages in the column ``package``; a revisit has no payload of its own."""
     spark = packages.sparkSession
     tune(spark)
-    spans = packages.select("package").mapInArrow(_locate, "package string, start long, size long")
-    # records of a package stay in neighbouring partitions, a large package is read by several tasks
-    return spans.repartitionByRange("package", "start").sortWithinPartitions("package", "start").mapInArrow(_read, _RECORDS)
+    spans = materialise(packages.select("package").mapInArrow(_locate, "package string, start long, size long"), "spans")
+    stored = spans.agg(F.sum("size")).first()[0] or 0
+    # small chunks of neighbouring records, so that tasks hold about equal bytes; adaptive execution does not join them
+    chunk = F.floor(F.col("start") / CHUNK_BYTES)
+    dealt = spans.repartition(max(1, -(-stored // READ_BYTES)), "package", chunk)
+    return dealt.sortWithinPartitions("package", "start").mapInArrow(_read, _RECORDS)
 
 
 def digests(records: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to``; a revisit has its response's payload."""
-    rows = records.select("page_id", F.octet_length("payload").cast("long").alias("size"), "digest", "record_type", "refers_to")
-    rows = materialise(rows, "records")
-    responses = rows.filter("record_type = 'response'").groupBy(F.col("page_id").alias("to"), F.col("digest").alias("to_digest"))
+    return record_digests(records).drop("record_id", "refers_to_id")
+
+
+def record_digests(records: DataFrame) -> DataFrame:
+    """The columns of ``digests`` and the ids of the records, for packages of other writers."""
+    size = F.octet_length("payload").cast("long").alias("size")
+    rows = materialise(records.select("page_id", "record_id", size, "digest", "record_type", "refers_to", "refers_to_id"), "records")
+    responses = rows.filter("record_type != 'revisit'").groupBy(F.col("record_id").alias("to"), F.col("digest").alias("to_digest"))
     sizes = responses.agg(F.max("size").alias("to_size"))
-    same = (F.col("refers_to") == F.col("to")) & (F.col("digest") == F.col("to_digest"))
+    same = (F.col("refers_to_id") == F.col("to")) & (F.col("digest") == F.col("to_digest"))
     return rows.join(sizes, same, "left").select(
         "page_id", F.coalesce("size", "to_size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
-        "record_type", "refers_to",
+        "record_type", "refers_to", "record_id", "refers_to_id",
     )
 
 

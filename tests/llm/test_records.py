@@ -1,5 +1,6 @@
 """Packages, chat windows, top-k, rollups and line rules against plain Python."""
 
+import base64
 import gzip
 import hashlib
 import io
@@ -43,6 +44,93 @@ def test_other_writers_packages(tmp_path, spark):
     assert sorted((r["page_id"], r["url"], bytes(r["payload"])) for r in got) == [(i, f"http://x/{i}\r\n%", b"p" * i) for i in range(5)]
 
 
+def warc_record(kind, body, *lines):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Date: 2024-05-01T00:00:00Z", f"Content-Length: {len(body)}", *lines]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def other_records():
+    """What a crawler writes: descriptions, requests, HTTP responses, and a revisit, with random ids."""
+    sha1 = lambda b: hashlib.sha1(b).hexdigest()
+    page, parts = b"<p>caf\xc3\xa9</p>\r\n\r\nmore", b"4\r\nabcd\r\n3;x=1\r\nefg\r\n0\r\n\r\n"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    uuid = lambda i: f"<urn:uuid:0000000{i}-aaaa-bbbb-cccc-1234567890ab>"
+    kind = "Content-Type: application/http; msgtype=response"
+    records = [
+        warc_record("warcinfo", b"software: crawler\r\n", f"WARC-Record-ID: {uuid(0)}", "WARC-Filename: data.warc.gz"),
+        warc_record("request", b"GET / HTTP/1.1\r\n\r\n", f"WARC-Record-ID: {uuid(1)}", "WARC-Target-URI: http://x/a"),
+        warc_record(
+            "response", http + page, f"WARC-Record-ID: {uuid(2)}", "WARC-Target-URI: <http://x/a%20b>", kind,
+            "WARC-Payload-Digest: sha1:" + base64.b32encode(bytes.fromhex(sha1(page))).decode(),
+        ),
+        warc_record("response", http + parts, f"WARC-Record-ID: {uuid(3)}", "WARC-Target-URI: http://x/c", kind, f"WARC-Payload-Digest: SHA-1:{sha1(b'abcdefg')}"),
+        warc_record("response", http + parts, f"WARC-Record-ID: {uuid(4)}", "WARC-Target-URI: http://x/d", kind, f"WARC-Payload-Digest: sha1:{sha1(parts)}"),
+        warc_record("response", http, f"WARC-Record-ID: {uuid(5)}", "WARC-Target-URI: http://x/e", kind, "WARC-Payload-Digest: sha256:00"),
+        warc_record("resource", b"own", f"WARC-Record-ID: {uuid(6)}", "WARC-Target-URI: urn:text:1", "Content-Type: text/plain"),
+        warc_record("revisit", http, f"WARC-Record-ID: {uuid(7)}", "WARC-Target-URI: http://y/", kind, f"WARC-Refers-To: {uuid(2)}", f"WARC-Payload-Digest: sha1:{sha1(page)}"),
+        warc_record("revisit", b"", f"WARC-Record-ID: {uuid(8)}", "WARC-Target-URI: http://z/", f"WARC-Payload-Digest: sha1:{sha1(page)}"),
+        warc_record("metadata", b"a: b\r\n", f"WARC-Record-ID: {uuid(9)}"),
+    ]
+    want = [
+        (uuid(2), "http://x/a%20b", "response", None, sha1(page), page), (uuid(3), "http://x/c", "response", None, sha1(b"abcdefg"), b"abcdefg"),
+        (uuid(4), "http://x/d", "response", None, sha1(parts), parts), (uuid(5), "http://x/e", "response", None, sha1(b""), b""),
+        (uuid(6), "urn:text:1", "resource", None, sha1(b"own"), b"own"), (uuid(7), "http://y/", "revisit", uuid(2), sha1(page), None),
+        (uuid(8), "http://z/", "revisit", None, sha1(page), None),
+    ]
+    return records, want
+
+
+@pytest.mark.parametrize("form", ["cdxj", "packed cdxj", "unknown index", "no index", "plain archive"])
+def test_packages_of_crawlers(tmp_path, spark, form):
+    records, want = other_records()
+    members = [r if form == "plain archive" else gzip.compress(r) for r in records]
+    name = "rec-1.warc" if form == "plain archive" else "rec-1.warc.gz"
+    lines, at = [], 0
+    for i, m in enumerate(members):
+        if 2 <= i <= 8:
+            lines.append(f'x)/{i} 20240501000000 {{"url": "http://x/{i}", "offset": "{at}", "length": "{len(m)}", "filename": "{name}"}}\n')
+        at += len(m)
+    path = tmp_path / "crawl.wacz"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        z.writestr(f"archive/{name}", b"".join(members))
+        if form == "cdxj":
+            z.writestr("indexes/index.cdx", "".join(sorted(lines)), zipfile.ZIP_DEFLATED)
+        if form == "packed cdxj":
+            z.writestr("indexes/index.idx", "!meta 0 {}")
+            z.writestr("indexes/index.cdx.gz", gzip.compress("".join(lines[:3]).encode()) + gzip.compress("".join(lines[3:]).encode()))
+        if form == "unknown index":
+            z.writestr("indexes/index.cdx", " CDX N b a m s k r M S V g\nx)/ 20240501000000 http://x/ text/html 200 A - - 12 0 rec-1.warc.gz\n")
+        z.writestr("pages/pages.jsonl", "{}")
+    rows = warc.read_records(spark.createDataFrame([(str(path),)], "package string")).cache()
+    got = [(r["record_id"], r["url"], r["record_type"], r["refers_to_id"], r["digest"], r["payload"] and bytes(r["payload"])) for r in rows.collect()]
+    assert sorted((*r[:5], r[5] or b"") for r in [(*x[:3], x[3] or "", *x[4:]) for x in got]) == sorted(
+        (*r[:5], r[5] or b"") for r in [(*x[:3], x[3] or "", *x[4:]) for x in want]
+    )
+    sizes = {r["record_id"]: r["payload_bytes"] for r in warc.record_digests(rows).collect()}
+    assert sizes == {r[0]: len(r[5]) if r[5] is not None else sizes[want[0][0]] if r[3] else None for r in want}
+
+
+def test_broken_records_are_refused():
+    good = warc_record("response", b"abc", "WARC-Record-ID: <urn:uuid:1>", "Content-Type: text/html")
+    assert warc.page_record(good)[-1] == b"abc"
+    with pytest.raises(ValueError, match="one whole record"):
+        warc.page_record(good + good)
+    with pytest.raises(ValueError, match="one whole record"):
+        warc.page_record(good[:-6])
+    with pytest.raises(ValueError, match="digest differ"):
+        warc.page_record(warc_record("response", b"abc", f"WARC-Payload-Digest: sha1:{'0' * 40}"))
+
+
+def test_reading_is_dealt_by_bytes(spark, folder, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 2000)
+    monkeypatch.setattr(warc, "CHUNK_BYTES", 500)
+    rng = random.Random(4)
+    pages = [(i, "u", "".join(rng.choice("abcdefgh") for _ in range(400))) for i in range(100)]
+    manifest = warc.write_packages(spark.createDataFrame(pages, "page_id long, url string, html string"), f"{folder}/dealt")
+    rows = warc.read_records(manifest)
+    assert rows.rdd.getNumPartitions() > 10 and sorted((r[0], r[-1].decode()) for r in rows.collect()) == [(i, t) for i, _, t in pages]
+
+
 def test_compressed_members_and_broken_files_are_refused(tmp_path):
     path = tmp_path / "c.zip"
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
