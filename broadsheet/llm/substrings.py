@@ -19,8 +19,11 @@ per batch. Answers go back to the batch. A task holds one key range or one batch
 the number of ranges follows the number of words. No pairs are formed.
 
 Anchor keys may be short (``probe_bits``): a false hit costs comparisons, never a
-result. Window keys have 64 bits; among n windows that extend anchors the chance
-of any wrong match is about n^2 / 2^65.
+result. Window keys have 96 bits: 64, and 32 more that are made only of windows
+around anchors. Among n of those the chance of any wrong match is about n^2 / 2^97,
+a quarter of a percent for the words of 100 TB were all of them repeated.
+Words meet by 64-bit hashes, but a pair of words with one hash tells only where all
+other words of two windows are equal.
 
 Defined cases: a null or empty text has no words; a null id counts as smaller
 than any other; rows with one id and equal text are the same document and keep or
@@ -50,7 +53,8 @@ BATCH_BYTES = 8 << 20  # a batch ends after so many bytes of text (or one longer
 PART_BYTES = 24 << 20  # compressed batches per task aimed at
 KNOWN_WORDS = 1_000_000  # words whose hash a worker remembers
 
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd, so that no position of a window is lost
+# odd, so that no position of a window is lost
+_FACTOR, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint32(0x27D4EB2F)
 _NO_ID = np.iinfo(np.int64).min
 
 # ---- compact arrays ---------------------------------------------------------------
@@ -115,6 +119,35 @@ def _runs(values: np.ndarray) -> tuple[list[int], list[int]]:
     return [0, *cuts], [*cuts, len(values)]
 
 
+def _by_key(keys: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The stable order by both parts of the keys."""
+    order = np.argsort(keys, kind="stable")  # quick where they are sorted already
+    k, s = keys[order], second[order]
+    if ((k[1:] == k[:-1]) & (s[1:] != s[:-1])).any():  # hardly ever
+        order = np.lexsort((second, keys))
+    return order
+
+
+def _key_runs(keys: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs of equal keys."""
+    if not len(keys):
+        return np.array([], np.int64), np.array([], np.int64)
+    cuts = np.nonzero((keys[1:] != keys[:-1]) | (second[1:] != second[:-1]))[0] + 1
+    return np.append(0, cuts), np.append(cuts, len(keys))
+
+
+def among(keys: np.ndarray, second: np.ndarray, wanted: np.ndarray, wanted_second: np.ndarray) -> np.ndarray:
+    """Which keys are among the wanted ones, both parts compared."""
+    order = np.argsort(wanted, kind="stable")
+    wanted, wanted_second = wanted[order], wanted_second[order]
+    at, end = np.searchsorted(wanted, keys), np.searchsorted(wanted, keys, "right")
+    found = np.zeros(len(keys), bool)
+    while (left := at < end).any():  # more than one turn only where first parts are equal by chance
+        found[left] |= wanted_second[at[left]] == second[left]
+        at = at + 1
+    return found
+
+
 class Words:
     """The words of a batch in one row, documents in order of id."""
 
@@ -156,6 +189,15 @@ class Words:
         at = np.nonzero(np.arange(n) + k <= self.ends[self.doc[:n]])[0]
         return at, total[at]
 
+    def second(self, at: np.ndarray, k: int) -> np.ndarray:
+        """The second part of the keys of the windows of ``k`` words that start at ``at``."""
+        high = (self.hashes >> np.uint64(32)).astype("<u4")
+        total = np.zeros(len(at), "<u4")
+        for i in range(k):
+            total *= _SECOND
+            total += high[at + i]
+        return total
+
 
 def _parts(keys: np.ndarray, bits: int, parts: int) -> Iterator[tuple[int, slice]]:
     """Sorted keys of ``bits`` bits cut into ``parts`` (a power of two) ranges."""
@@ -263,15 +305,16 @@ def _send_windows(window: int, bits: int, parts: int):
             at, keys = at[near], keys[near]
             if not len(at):
                 continue
-            order = np.argsort(keys, kind="stable")  # of equal keys the earliest first
-            keys, at = keys[order], at[order]
-            first = np.array(_runs(keys)[0], np.int64)
-            keys, at = keys[first], at[first]
+            second = ws.second(at, window)
+            order = _by_key(keys, second)  # of equal keys the earliest first
+            first = order[_key_runs(keys[order], second[order])[0]]
+            keys, second, at = keys[first], second[first], at[first]
             out = []
             for p, s in _parts(keys, 64, parts):
                 docs, place = np.unique(ws.doc[at[s]], return_inverse=True)
                 ids = ws.id_values[docs].view(np.uint64)
-                out.append((p, name, pack(deltas(keys[s]), ids, place.astype("<u4"), ws.pos[at[s]].astype("<u4"))))
+                packed = pack(deltas(keys[s]), second[s], ids, place.astype("<u4"), ws.pos[at[s]].astype("<u4"))
+                out.append((p, name, packed))
             yield _table(out, _KEYS)
 
     return run
@@ -280,23 +323,25 @@ def _send_windows(window: int, bits: int, parts: int):
 def _find_later(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each batch's window keys in a range, those that another batch holds earlier."""
     for _, held in _grouped(rows):
-        keys, ids, pos = [], [], []
+        keys, seconds, ids, pos = [], [], [], []
         for r in held:
-            k, doc, place, p = unpack(r[2], "<u8", "<u8", "<u4", "<u4")
+            k, second, doc, place, p = unpack(r[2], "<u8", "<u4", "<u8", "<u4", "<u4")
             keys.append(np.cumsum(k, dtype=np.uint64))
+            seconds.append(second)
             ids.append(doc.view(np.int64)[place])
             pos.append(p)
         size = [len(k) for k in keys]
-        key, doc, at = np.concatenate(keys), np.concatenate(ids), np.concatenate(pos)
+        key, second, doc, at = (np.concatenate(x) for x in (keys, seconds, ids, pos))
         order = np.lexsort((at, doc, key))
-        lo, hi = (np.array(x, np.int64) for x in _runs(key[order]))
+        order = order[_by_key(key[order], second[order])]
+        lo, hi = _key_runs(key[order], second[order])
         lead = np.repeat(order[lo], hi - lo)
         late = np.zeros(len(key), bool)
         late[order] = (doc[order] != doc[lead]) | (at[order] != at[lead])
         out = []
-        for r, k, x in zip(held, keys, np.split(late, np.cumsum(size)[:-1]), strict=True):
+        for r, k, second, x in zip(held, keys, seconds, np.split(late, np.cumsum(size)[:-1]), strict=True):
             if x.any():
-                out.append((r[1], pack(deltas(k[x]))))
+                out.append((r[1], pack(deltas(k[x]), second[x])))
         if out:
             yield _table(out, _ANSWER)
 
@@ -304,17 +349,25 @@ def _find_later(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
 
-def removed_words(ws: Words, window: int, later: np.ndarray) -> np.ndarray:
+def removed_words(ws: Words, window: int, later: np.ndarray, later_second: np.ndarray) -> np.ndarray:
     """Which words of a batch go, given the keys that start earlier in another batch."""
     at, keys = ws.windows(window)
+    gone = np.zeros(len(at), bool)
     order = np.argsort(keys, kind="stable")
     lo, hi = (np.array(x, np.int64) for x in _runs(keys[order]))
-    gone = np.isin(keys, later)
-    if len(lo):
-        lead = at[np.repeat(order[lo], hi - lo)]
-        own = at[order]
-        same = (ws.id_values[ws.doc[own]] == ws.id_values[ws.doc[lead]]) & (ws.pos[own] == ws.pos[lead])
-        gone[order] |= ~same
+    # only windows whose first part occurs again, here or elsewhere, need the second
+    again = np.repeat((hi - lo > 1) | np.isin(keys[order][lo], later), hi - lo) if len(lo) else gone
+    few = np.zeros(len(at), bool)
+    few[order[again]] = True
+    few = np.nonzero(few)[0]
+    second = ws.second(at[few], window)
+    here = _by_key(keys[few], second)
+    few, second = few[here], second[here]
+    lo, hi = _key_runs(keys[few], second)
+    late = among(keys[few[lo]], second[lo], later, later_second)
+    own, lead = at[few], np.repeat(at[few[lo]], hi - lo)
+    same = (ws.id_values[ws.doc[own]] == ws.id_values[ws.doc[lead]]) & (ws.pos[own] == ws.pos[lead])
+    gone[few] = np.repeat(late, hi - lo) | ~same
     edges = np.zeros(len(ws.hashes) + 1, np.int64)
     np.add.at(edges, at[gone], 1)
     np.add.at(edges, at[gone] + window, -1)
@@ -324,9 +377,10 @@ def removed_words(ws: Words, window: int, later: np.ndarray) -> np.ndarray:
 def _remove(window: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, answers, data in _by_batch(rows):
-            later = [np.cumsum(unpack(a, "<u8")[0], dtype=np.uint64) for a in answers]
+            found = [unpack(a, "<u8", "<u4") for a in answers] or [(np.array([], np.uint64), np.array([], "<u4"))]
+            later = np.concatenate([np.cumsum(k, dtype=np.uint64) for k, _ in found])
             ws = Words(data)
-            gone = removed_words(ws, window, np.concatenate(later) if later else np.array([], np.uint64))
+            gone = removed_words(ws, window, later, np.concatenate([k for _, k in found]))
             out = []
             for i, lo, hi, own in zip(ws.ids, ws.starts.tolist(), ws.ends.tolist(), ws.words, strict=True):
                 mark = gone[lo:hi]

@@ -5,7 +5,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from broadsheet.llm import queries, substrings
 from broadsheet.llm.common import table
@@ -79,3 +81,53 @@ def test_query(spark):
     want = [(i, n, r, hashlib.sha256(k.encode()).hexdigest()) for i, n, r, k in plain(rows)]
     got = [tuple(r) for r in queries.QUERIES["op3_block_anchors"](spark, folder).collect()]
     assert sorted(got) == sorted(want) and any(r[2] for r in got)
+
+
+def batch_of(rows):
+    texts = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, texts.schema) as w:
+        w.write_batch(texts)
+    return zstandard.ZstdCompressor().compress(sink.getvalue().to_pybytes())
+
+
+def test_equal_first_parts_of_keys_remove_nothing(monkeypatch):
+    """With first parts cut to three bits nearly all windows share one; results are as before."""
+    whole = substrings.Words.windows
+
+    def short(self, k):
+        at, keys = whole(self, k)
+        return at, keys & np.uint64(7) if k == 20 else keys
+
+    monkeypatch.setattr(substrings.Words, "windows", short)
+    rows = sorted(random_rows(5, 40))
+    halves = rows[:20], rows[20:]
+    sent, anchors = [], []
+    for part, some in enumerate(halves):
+        _, keys = whole(substrings.Words(batch_of(some)), 10)
+        anchors.append(np.unique(keys >> np.uint64(24)))
+    every = np.unique(np.concatenate(anchors))
+    for part, some in enumerate(halves):
+        form = pa.schema([("batch", pa.string()), ("is_text", pa.bool_()), ("data", pa.binary())])
+        asked = pa.RecordBatch.from_pylist(
+            [
+                {"batch": str(part), "is_text": False, "data": substrings.pack(substrings.deltas(every))},
+                {"batch": str(part), "is_text": True, "data": batch_of(some)},
+            ],
+            form,
+        )
+        sent += [r for b in substrings._send_windows(20, 40, 1)(iter([asked])) for r in b.to_pylist()]
+    later = list(substrings._find_later(iter([pa.RecordBatch.from_pylist(sent, substrings._KEYS)])))
+    got = []
+    for part, some in enumerate(halves):
+        answers = [r for b in later for r in b.to_pylist() if r["batch"] == str(part)]
+        answers = [{"batch": str(part), "is_text": False, "data": r["data"]} for r in answers]
+        asked = pa.RecordBatch.from_pylist([*answers, {"batch": str(part), "is_text": True, "data": batch_of(some)}], form)
+        got += [tuple(r.values()) for b in substrings._remove(20)(iter([asked])) for r in b.to_pylist()]
+    assert sorted(got, key=repr) == plain(rows) and any(r[2] for r in got)
+
+
+def test_keys_among_others():
+    a = lambda *x: np.array(x, np.uint64)
+    found = substrings.among(a(1, 1, 2, 3, 9), a(5, 6, 5, 5, 5), a(3, 1, 1, 9), a(5, 7, 6, 4))
+    assert found.tolist() == [False, True, False, True, False]
