@@ -54,3 +54,10 @@ def test_feed_files_are_compressed_and_hold_every_item(spark, tables):
     # an article without text makes no item
     assert len(rows) == 2 * sum(i % 4 != 1 for i in [*range(1003), 7, 7])
     assert {r.title for r in rows} == {"One title", "", "Only 'a' \"title\" Заголовок", "more"}
+
+
+def test_stored_articles_are_compressed(spark, tables):
+    rows, files = run(spark, tables, "json_store_append")
+    assert len(rows) == 2 * 1005
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert not any("title_keywords" in line for f in files for line in gzip.open(f, "rt"))
