@@ -117,3 +117,17 @@ def test_texts_stay_below_the_join(spark, name):
 @pytest.mark.parametrize("name", ["named_aggregators", "validation_summary"])
 def test_documents_are_read_once(spark, name):
     assert len(re.findall(r"FileScan parquet [^\n]*documents.parquet", plan(spark, name))) == 1
+
+
+@pytest.mark.parametrize("name", ["window_keywords", "window_breakdowns"])
+def test_panes_become_windows_after_the_last_shuffle(spark, name):
+    """Read downwards from the result: no shuffle carries a pane once per window."""
+    text = plan(spark, name)
+    assert "Generate explode(sequence" in text
+    assert text.index("Generate explode(sequence") < text.index("Exchange hashpartitioning")
+
+
+def test_state_keys_are_not_counted():
+    from broadsheet.session import state_settings
+
+    assert state_settings()["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] == "false"
