@@ -23,8 +23,10 @@ of 1,000 pairs, and fewer above: by the bands (0.17 %), by more than ``RADIUS``
 differing bits of the fingerprint (0.1 %) or more than ``SKETCH_BITS`` of the 128
 min-hash bits (0.05 %) or ``SKETCH_BYTES`` of their 128 bytes (0.02 %). Shingles are compared by 64-bit hashes.
 
-Texts themselves move twice: those with a candidate partner, as shingle hashes, to
-be compared, and the kept documents once to remove repeated rows.
+Texts themselves are dealt out twice, however many rounds there are: once to find
+those that share a cell, which are written and read by every round, and once to find
+the kept documents and remove repeated rows. Rounds deal the texts of cells that
+have a candidate partner, and their shingle hashes.
 
 Defined cases: a null text is the empty text; texts without words are near each
 other and nothing else; a null id takes part and counts as the largest; of rows
@@ -247,16 +249,20 @@ def _sets(size: int):
     return run
 
 
-def similar(
-    pairs: DataFrame, docs: DataFrame, classes: DataFrame, text: str, doc_id: str, similarity: float, size: int
-) -> DataFrame:
-    """The pairs ``u, v`` whose shingle sets are as similar as asked."""
-    needed = pairs.select(F.col("u").alias("c_node")).union(pairs.select("v")).distinct()
-    wanted = classes.join(needed, F.col("node") == F.col("c_node")).select("node", "least", F.col("h1").alias("c1"), F.col("h2").alias("c2"))
+def cell_texts(docs: DataFrame, classes: DataFrame, cells: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """``node, text`` of every class that shares a cell; a row that is repeated in full comes as often."""
+    inside = cells.select(F.col("node").alias("c_node")).distinct()
+    wanted = classes.join(inside, F.col("node") == F.col("c_node")).select("node", "least", F.col("h1").alias("c1"), F.col("h2").alias("c2"))
     h1, h2 = _hashes(F.col(text))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), h1.alias("h1"), h2.alias("h2"), F.col(text).alias("text"))
     same = (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & F.col("doc_id").eqNullSafe(F.col("least"))
-    grams = rows.join(wanted, same).select("node", "text").mapInArrow(_sets(size), "node long, grams array<long>")
+    return materialise(rows.join(wanted, same).select("node", "text"), "cell-texts")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """The pairs ``u, v`` whose shingle sets are as similar as asked; ``texts`` has the ``node, text`` of their ends."""
+    needed = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    grams = texts.join(needed, "node", "left_semi").select("node", "text").mapInArrow(_sets(size), "node long, grams array<long>")
     grams = materialise(grams.groupBy("node").agg(F.any_value("grams").alias("grams")), "shingle-sets")
     both = pairs.join(grams.toDF("u", "u_grams"), "u").join(grams.toDF("v", "v_grams"), "v")
     common, total = F.size(F.array_intersect("u_grams", "v_grams")), F.size("u_grams") + F.size("v_grams")
@@ -274,16 +280,17 @@ def groups(
     cells = classes.select("node", F.explode(F.array_distinct("bands")).alias("cell"))
     hubs = cells.groupBy("cell").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     cells = materialise(cells.join(hubs, "cell"), "cells")
+    texts = cell_texts(docs, classes, cells, text, doc_id)
     star = cells.filter("node != hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
     tested = materialise(_ends(star, classes), "candidates")
-    links = similar(tested, docs, classes, text, doc_id, similarity, size)
+    links = similar(tested, texts, similarity, size)
     stars = materialise(components(links), "components")
     most, cut = PROPOSED, True
     while cut:
         pairs = materialise(_unconnected(cells, classes, stars, cell_rows, most), "candidates")
         cut = pairs.filter("cut").limit(1).count() > 0
         new = materialise(pairs.select("u", "v").join(tested, ["u", "v"], "left_anti"), "new-candidates")
-        more = similar(new, docs, classes, text, doc_id, similarity, size)
+        more = similar(new, texts, similarity, size)
         if not more.isEmpty():
             links = links.union(more)
             stars = materialise(components(links), "components")
@@ -311,10 +318,10 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how)
     order = F.struct(F.col("least").isNull().alias("nameless"), "least", "h1", "h2")
     first = groups(docs, text, doc_id, **how).groupBy("root").agg(F.min(order).alias("k")).select("k.least", "k.h1", "k.h2")
     h1, h2 = _hashes(F.col(text))
-    a = fresh(docs, "_h1")
-    b = fresh(docs, "_h2")
-    rows = docs.withColumn(a, h1).withColumn(b, h2).alias("d")
-    same = (F.col(f"d.{a}") == F.col("k.h1")) & (F.col(f"d.{b}") == F.col("k.h2"))
-    same &= F.col(f"d.{doc_id}").cast("long").eqNullSafe(F.col("k.least"))
-    kept = rows.join(first.alias("k"), same, "left_semi")
-    return kept.dropDuplicates([doc_id, a, b]).select(*docs.columns)
+    # plain columns without nulls, the same for the join and the repeated rows: texts are dealt out once for both
+    a, b, i, n = (fresh(docs, c) for c in ("_h1", "_h2", "_id", "_nameless"))
+    number = F.col(doc_id).cast("long")
+    rows = docs.withColumns({a: h1, b: h2, i: F.coalesce(number, F.lit(0)), n: number.isNull()})
+    named = F.coalesce("least", F.lit(0)).alias(i), F.col("least").isNull().alias(n)
+    first = first.select(F.col("h1").alias(a), F.col("h2").alias(b), *named)
+    return rows.join(first, [a, b, i, n], "left_semi").dropDuplicates([doc_id, a, b, i, n]).select(*docs.columns)

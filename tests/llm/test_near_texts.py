@@ -8,6 +8,7 @@ from test_simhash import plain_words
 
 from broadsheet.llm import near_texts
 from broadsheet.llm.common import table
+from broadsheet.session import settings
 
 
 def grams(text, size=5):
@@ -125,3 +126,23 @@ def test_recall_on_documents(spark):
     # no group joins texts that no chain of links connects
     plain = dict(zip([r[0] for r in rows], want))
     assert all(plain[d] == plain[g] for d, g in group.items())
+
+
+def test_texts_are_dealt_out_twice(spark, monkeypatch):
+    """Once for all rounds together, and once for the kept documents and their repeated rows."""
+    hashed, own = [], near_texts._hashes
+    monkeypatch.setattr(near_texts, "_hashes", lambda c: hashed.append(c) or own(c))
+    df = spark.createDataFrame(list(enumerate(family_texts(1))), "doc_id long, text string")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        kept = near_texts.keep_one(df)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert len(hashed) == 3  # the classes, the texts of cells, the kept documents
+    above = plan[: plan.index("LeftSemi")]
+    assert "Aggregate" in above and "Exchange" not in above
+
+
+def test_repeated_rows_without_an_id(spark):
+    rows = [(None, "one two"), (None, "one two"), (0, "three four"), (0, "three four"), (0, "five six"), (None, None), (None, "")]
+    kept = near_texts.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(((r[0], r[1] or "") for r in kept), key=repr)
+    assert got == sorted([(None, "one two"), (0, "three four"), (0, "five six"), (None, "")], key=repr)
