@@ -52,3 +52,16 @@ def test_topics(spark):
     assert sorted(map(sorted, words.values())) == [["apple", "pear", "plum"], ["brake", "engine", "wheel"]]
     by_window = modules.topic_evolution(shares, WindowSpec.tumbling(600)).groupBy("window_start").agg(F.sum("mean_share").alias("s"))
     assert all(r.s == pytest.approx(1.0) for r in by_window.collect())
+
+
+def test_topics_take_keywords_once(spark):
+    """Keywords that are there need no text, and the shares are read from the written counts, not joined again."""
+    texts = [(0, ["apple", "pear"] * 4), (1, ["engine", "wheel"] * 4)]
+    texts = spark.createDataFrame(texts, "text_id long, title_keywords array<string>")
+    rows = frame(spark, [article(i, i * 60) for i in range(20)]).select("ts", (F.col("doc_id") % 2).alias("text_id"))
+    described, shares = modules.topics(rows.join(texts, "text_id"), 2, iterations=5)
+    assert {r.word for r in described.collect()} == {"apple", "pear", "engine", "wheel"}
+    assert "Join" not in shares._jdf.queryExecution().executedPlan().toString()
+    assert shares.columns == ["text_id", "ts", "title_keywords", "topic_shares"] and shares.count() == 20
+    _, shares = modules.topics(rows.join(texts, "text_id"), 2, iterations=1, keep=["ts"])
+    assert shares.columns == ["ts", "topic_shares"] and shares.count() == 20
