@@ -1,10 +1,13 @@
 """Analysis modules and the optional analyses."""
 
+import numpy as np
 import pytest
 from helpers import article, at, frame, values
 from pyspark.sql import functions as F
 
 from broadsheet.config import WindowSpec
+from broadsheet.functions import lda
+from broadsheet.functions.text import keywords
 from broadsheet.operators import modules, windows
 
 
@@ -65,3 +68,79 @@ def test_topics_take_keywords_once(spark):
     assert shares.columns == ["text_id", "ts", "title_keywords", "topic_shares"] and shares.count() == 20
     _, shares = modules.topics(rows.join(texts, "text_id"), 2, iterations=1, keep=["ts"])
     assert shares.columns == ["ts", "topic_shares"] and shares.count() == 20
+
+
+def plain_topics(articles, start, iterations, steps=20_000):
+    """Shares and weights by the plain steps of variational Bayes, an article at a time."""
+    k, model, prior = len(start), start, np.full(len(start), 1 / len(start))
+
+    def settle(words, n):
+        now = prior + n.sum() / k
+        for _ in range(steps):
+            shares = np.exp(lda.digamma(now))[:, None] * heavy[:, words]
+            parts = shares / shares.sum(0) * n
+            then = prior + parts.sum(1)
+            if np.abs(then - now).max() < 1e-9:
+                break
+            now = then
+        return then, parts
+
+    for i in range(iterations + 1):
+        heavy = np.exp(lda.expected_log(model, 1))
+        found = [settle(*a) for a in articles]
+        if i == iterations:
+            return np.array([f / f.sum() for f, _ in found]), model
+        model, logs = np.full(model.shape, 1 / k), 0
+        for (words, _), (f, parts) in zip(articles, found):
+            model[:, words] += parts
+            logs = logs + lda.expected_log(f, 0)
+        prior = lda.new_prior(prior, logs / len(articles), len(articles))
+
+
+def test_topics_are_those_of_plain_steps(spark):
+    """Every article counts in every iteration, however they lie in partitions; one without words has no shares."""
+    rng = np.random.default_rng(7)
+    titles = [" ".join(f"word{w}" for w in rng.integers(0, 8, rng.integers(1, 40)) + 8 * (i % 3)) for i in range(60)]
+    rows = frame(spark, [article(i, i, title=t) for i, t in enumerate([*titles, "", None])]).cache()
+    results = []
+    for parts in (1, 7):
+        described, shares = modules.topics(rows.repartition(parts), 3, described=30, iterations=4, keep=["doc_id"])
+        results.append({r.doc_id: r.topic_shares for r in shares.collect()})
+        weights = {(r.topic, r.word): r.weight for r in described.collect()}
+    assert results[0][60] == results[0][61] == [0, 0, 0]
+    # terms are numbered as the operator numbers them: frequent ones first, then by hash
+    words = rows.select(F.explode(keywords(F.col("title"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    words = words.select("w", "n", F.xxhash64(F.lit(0), F.col("w")).alias("h")).collect()
+    place = {r.w: i for i, r in enumerate(sorted(words, key=lambda r: (-r.n, r.h)))}
+    counted = [np.unique([place[w] for w in t.split()], return_counts=True) for t in titles]
+    start = np.random.default_rng(1).gamma(100, 1 / 100, (3, len(place)))
+    expected, model = plain_topics(counted, start, 4)
+    for got in results:
+        assert max(np.abs(np.array(got[i]) - expected[i]).max() for i in range(60)) < 0.02
+    by_topic = model / model.sum(1, keepdims=True)
+    assert weights == {(t, w): pytest.approx(by_topic[t, i], abs=0.005) for t in range(3) for w, i in place.items()}
+    assert all(results[0][i] == pytest.approx(results[1][i], abs=1e-6) for i in range(62))
+
+
+def test_slow_and_long_articles_settle():
+    """Articles of very different lengths, some undecided between topics, settle where plain steps do."""
+    rng = np.random.default_rng(3)
+    sizes = np.array([0, 1, 2, 3, 400, 30, 30, 31, 0, 5])
+    words = np.concatenate([rng.permutation(500)[:n] for n in sizes]).astype("int32")
+    counts = rng.integers(1, 4, sizes.sum()).astype("int32")
+    weights, prior, sums = rng.gamma(100, 1 / 100, (500, 3)), np.full(3, 1 / 3), np.zeros((3, 500))
+    got = lda.infer(words, counts, sizes, weights, prior, sums)
+    assert (got[sizes == 0] == 0).all() and sums.sum() == pytest.approx(counts.sum())
+    ends = np.cumsum(sizes)
+    for i in np.flatnonzero(sizes):
+        w, n, now = words[ends[i] - sizes[i] : ends[i]], counts[ends[i] - sizes[i] : ends[i]], got[i]
+        shares = np.exp(lda.digamma(now)) * weights[w]
+        then = prior + (shares / shares.sum(1, keepdims=True) * n[:, None]).sum(0)
+        assert np.abs(then - now).mean() < 1e-3 and now.sum() == pytest.approx(n.sum() + 1)
+    assert lda.digamma(np.array([1.0, 0.25])) == pytest.approx([-0.5772156649, -4.2274535334])
+    assert lda.trigamma(np.array([1.0, 0.25])) == pytest.approx([np.pi**2 / 6, 17.1973291545])
+
+
+def test_topics_without_any_word(spark):
+    described, shares = modules.topics(frame(spark, [article(1, 1, title="")]), 2, keep=["doc_id"])
+    assert described.collect() == [] and [tuple(r) for r in shares.collect()] == [(1, [0, 0])]
