@@ -9,6 +9,7 @@ from broadsheet.config import WindowSpec
 from broadsheet.functions import lda
 from broadsheet.functions.text import keywords
 from broadsheet.operators import modules, windows
+from broadsheet.plans import catalog, views
 
 
 class Longest(modules.AnalysisModule):
@@ -144,3 +145,19 @@ def test_slow_and_long_articles_settle():
 def test_topics_without_any_word(spark):
     described, shares = modules.topics(frame(spark, [article(1, 1, title="")]), 2, keep=["doc_id"])
     assert described.collect() == [] and [tuple(r) for r in shares.collect()] == [(1, [0, 0])]
+
+
+def test_title_topics_fits_as_often_as_the_operator(spark, folder):
+    """The query leaves the number of iterations to the operator."""
+    texts = [" ".join(f"word{(i * j) % 13}" for j in range(2, 9)) for i in range(30)]
+    docs = [(i, t, "en", f"src{i % 3}") for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{folder}/documents.parquet")
+    events = spark.range(60).select(F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, int(id))").alias("ts"))
+    events = events.withColumns({"user_id": F.lit(1).cast("long"), "event_type": F.lit("click"), "value": F.lit(1.0), "props": F.lit(None).cast("string")})
+    events.write.parquet(f"{folder}/events.parquet")
+    articles = views.articles(spark, folder)
+    _, shares = modules.topics(articles, 4, keep=["ts"])
+    expected = modules.topic_evolution(views.plain(shares).withColumn("ts", F.col("ts").cast("timestamp")), WindowSpec.tumbling(21_600))
+    expected = {(r.window_start, r.topic): r.mean_share for r in views.plain(expected).collect()}
+    got = {(r.window_start, r.topic): r.mean_share for r in catalog.QUERIES["title_topics"](spark, folder).collect()}
+    assert got == {k: pytest.approx(v, abs=1e-6) for k, v in expected.items()} and len(got) == 4 * 10
