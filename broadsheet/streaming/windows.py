@@ -36,14 +36,32 @@ def stream_window_stats(articles: DataFrame, spec: WindowSpec, stream: StreamSpe
 
 
 def stream_key_counts(
-    articles: DataFrame, spec: WindowSpec, kinds: tuple[str, ...], stream: StreamSpec = StreamSpec()
+    articles: DataFrame, spec: WindowSpec, kinds: tuple[str, ...], stream: StreamSpec = StreamSpec(), panes: bool = False
 ) -> DataFrame:
-    """Count per closed window, kind and key, as ``window_key_counts``."""
+    """Count per closed window, kind and key, as ``window_key_counts``.
+
+    ``panes`` gives the counts per closed pane instead, as ``pane, kind, key, n``. State is then one row per pane and key,
+    none per window that holds the pane; ``closed_key_counts`` sums the emitted panes into windows.
+    """
     marked = articles.withWatermark("ts", stream.watermark)
     pane = F.window("ts", f"{spec.pane_s} seconds").alias("pane")
-    panes = batch.key_rows(marked, kinds).groupBy(pane, "kind", "key").agg(F.count(F.lit(1)).alias("n"))
+    rows = batch.key_rows(marked, kinds)
+    if panes:
+        # a single kind need not stand in the state
+        by, kind = (["key"], F.lit(kinds[0]).alias("kind")) if len(kinds) == 1 else (["kind", "key"], F.col("kind"))
+        counts = rows.groupBy(pane, *by).agg(F.count(F.lit(1)).alias("n"))
+        return counts.select(F.col("pane.start").alias("pane"), kind, "key", "n")
+    counts = rows.groupBy(pane, "kind", "key").agg(F.count(F.lit(1)).alias("n"))
     w = F.window("pane", spec.size, spec.slide).alias("w")
-    return _flat(panes.groupBy(w, "kind", "key").agg(F.sum("n").alias("n")))
+    return _flat(counts.groupBy(w, "kind", "key").agg(F.sum("n").alias("n")))
+
+
+def closed_key_counts(panes: DataFrame, spec: WindowSpec, closed: str | None) -> DataFrame:
+    """Counts of the closed windows from the panes that a stream emitted, as ``window_key_counts``."""
+    counts = batch.with_end(batch.sum_windows(panes, spec, ["kind", "key"]), spec)
+    counts = counts.select("window_start", "window_end", "kind", "key", "n")
+    # a pane is emitted before all windows that hold it are closed
+    return counts if closed is None else counts.filter(F.col("window_end") <= F.lit(closed).cast("timestamp"))
 
 
 def stream_unique_links(articles: DataFrame, keep_for: str, key: str = "link", salts: int = 16) -> DataFrame:

@@ -71,6 +71,22 @@ def test_key_counts_equal_the_batch(spark, folder):
     assert values(art.gather([closed, tail]), *columns) == values(windows.window_key_counts(frame(spark, rows), spec), *columns)
 
 
+@pytest.mark.parametrize("kinds", [("keyword",), ("source", "category")])
+def test_windows_of_closed_panes_are_those_of_the_stream(spark, folder, kinds):
+    """Panes are the only state; the windows summed from them are those that the stream itself would close."""
+    rows, chunks = in_order()
+    write_files(spark, folder, chunks)
+    spec, columns = WindowSpec(), ["window_start", "window_end", "kind", "key", "n"]
+    panes, q = run(spark, streams.stream_key_counts(stream(spark, folder), spec, kinds, panes=True), folder)
+    assert len(q.lastProgress["stateOperators"]) == 1
+    until = streams.closed_until(q, panes, F.col("pane") + F.expr("INTERVAL 60 SECONDS"))
+    closed = streams.closed_key_counts(panes, spec, until)
+    emitted, _ = run(spark, streams.stream_key_counts(stream(spark, folder), spec, kinds), folder, "windows")
+    assert values(closed, *columns) == values(emitted, *columns) and closed.count() > 0
+    tail = streams.finalize_key_counts(frame(spark, rows), spec, kinds, until)
+    assert values(art.gather([closed, tail]), *columns) == values(windows.window_key_counts(frame(spark, rows), spec, kinds), *columns)
+
+
 def test_late_rows_are_not_counted(spark, folder):
     chunks = [[article(1, 10), article(2, 400)], [article(3, 700)], [article(4, 20), article(5, 710)], [article(6, 2000)], [article(7, 2001)]]
     write_files(spark, folder, chunks)
