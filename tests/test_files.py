@@ -10,7 +10,7 @@ from helpers import T0
 from pyspark.sql import functions as F
 
 from broadsheet.functions.packing import pack, unpack
-from broadsheet.plans import catalog
+from broadsheet.plans import catalog, views
 from broadsheet.session import shared_root
 
 TEXTS = ["One title\nand <more> & text", None, "", "Only 'a' \"title\" Заголовок"]
@@ -34,6 +34,12 @@ def run(spark, tables, name):
     return rows, sorted(found() - before)
 
 
+def stored(spark):
+    """Names of the blocks that the session holds on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return [files.apply(i).getName() for i in range(files.size())]
+
+
 def test_packed_texts(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS], "t string").withColumn("p", pack(F.col("t")))
     assert [r[0] for r in df.select(unpack(F.col("p"))).collect()] == TEXTS
@@ -56,6 +62,29 @@ def test_feed_files_are_compressed_and_hold_every_item(spark, tables):
     assert {r.title for r in rows} == {"One title", "", "Only 'a' \"title\" Заголовок", "more"}
 
 
+@pytest.mark.parametrize("name", ["json_array_files", "rss_files"])
+def test_files_are_written_in_rounds_that_leave_no_shuffle(spark, tables, name, monkeypatch):
+    """Articles dealt out a few hundred at a time give the same rows and files, and what was shuffled is gone before they are read."""
+    rows, files = run(spark, tables, name)
+    assert len(files) == 3
+    shuffled = lambda: [f for f in stored(spark) if "shuffle_" in f]
+    written = []
+    monkeypatch.setattr(views, "DEALT_TOGETHER", 300)
+    write = catalog._write_files
+
+    def noted(*args):
+        before = shuffled()
+        write(*args)
+        written.append(len(set(shuffled()) - set(before)))
+
+    monkeypatch.setattr(catalog, "_write_files", noted)
+    again, other = run(spark, tables, name)
+    assert written == [0, 0, 0, 0]
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+    other = [f for f in other if f.endswith(".gz")]
+    assert sorted(gzip.open(f).read() for f in other) == sorted(gzip.open(f).read() for f in files)
+
+
 def test_stored_articles_are_compressed(spark, tables):
     rows, files = run(spark, tables, "json_store_append")
     assert len(rows) == 2 * 1005
